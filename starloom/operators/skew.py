@@ -1,0 +1,42 @@
+"""Joins whose left side may have a few keys with very many rows."""
+
+from pyspark.sql import functions as F
+
+from starloom.operators.sizing import small
+
+SALTS = 64
+HOT_ROWS = 5_000_000
+
+
+def salted_join(left, right, keys, spread, on=None, how="inner", hot_rows=HOT_ROWS, salts=SALTS):
+    """Equi-join on `keys` that spreads the left rows of hot keys over `salts` tasks.
+
+    Hot keys are counted first (partial counts, one row per key); only they are
+    salted, by the hash of the `spread` columns, and only their right rows are
+    repeated. `on` adds a condition between the two sides, as a function of them.
+    """
+    hot = (
+        left.groupBy(*keys)
+        .agg(F.count("*").alias("_n"))
+        .filter(F.col("_n") > hot_rows)
+        .select(*keys, F.lit(salts).alias("_salts"))
+    )
+    hot = small(hot)
+    salted_left = left.join(hot, keys, "left").withColumn(
+        "_salt",
+        F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_salts").cast("long")), F.lit(0)),
+    )
+    repeated = right.join(hot, keys, "left").withColumn(
+        "_salt",
+        F.explode(
+            F.sequence(F.lit(0).cast("long"), F.coalesce("_salts", F.lit(1)).cast("long") - 1)
+        ),
+    )
+    a, b = salted_left.drop("_salts").alias("a"), repeated.drop("_salts").alias("b")
+    condition = F.lit(True)
+    for k in (*keys, "_salt"):
+        condition = condition & (F.col(f"a.{k}") == F.col(f"b.{k}"))
+    if on is not None:
+        condition = condition & on("a", "b")
+    joined = a.join(b, condition, how)
+    return joined.select("a.*").drop("_salt") if how in ("left_semi", "left_anti") else joined
