@@ -28,14 +28,15 @@ FROM (SELECT *, {LY} / (parallax * 0.001::double) AS dist FROM {source}) s"""
 def published_sql(source, extra="source_id"):
     """The rounded projection, as decimals."""
     rounded = ", ".join(
-        f"round({c}::decimal(38,15), {n}) AS {c}"
+        f"round({c}::varchar::decimal(38,15), {n}) AS {c}"
         for c, n in (("x", 1), ("y", 1), ("z", 1), ("color", 1), ("abs_mag", 0))
     )
     return f"SELECT {extra}, {rounded}, dist FROM {source}"
 
 
 def fixed_text_sql(c, n):
-    return f"CAST(round({c}::decimal(38,15), {n}) AS VARCHAR)"
+    # By way of text: a double times a power of ten would be rounded on the way.
+    return f"CAST(round({c}::varchar::decimal(38,15), {n}) AS VARCHAR)"
 
 
 # Derived tables of the checks; `t_` names may be used in any check.
