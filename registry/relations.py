@@ -705,9 +705,9 @@ def _values(name, numbers):
 
 
 GRID_SQL = f"""SELECT CAST(i_snr AS INTEGER) AS i_snr, CAST(i_dist AS INTEGER) AS i_dist, CAST(i_mag AS INTEGER) AS i_mag,
- snr, g.dist AS dist, mag, count(s.source_id) AS rows
+ g.snr, g.dist, g.mag, count(s.source_id) AS rows
 FROM (SELECT * FROM {_values('snr', fixed.GRID_SNR)}, {_values('dist', fixed.GRID_DIST)}, {_values('mag', fixed.GRID_MAG)}) g
-LEFT JOIN t_stars_large s ON s.px_over_err > snr AND s.dist < g.dist AND s.abs_mag < mag GROUP BY ALL"""
+LEFT JOIN t_stars_large s ON s.px_over_err > g.snr AND s.dist < g.dist AND s.abs_mag < g.mag GROUP BY ALL"""
 
 
 @query("a10_threshold_grid", GRID_SQL)
