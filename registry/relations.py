@@ -540,10 +540,18 @@ def _(t):
     return rounded(found.select("source_id", "dist"))
 
 
-@query("j08_within_boxes_by_grid", INSIDE_SQL)
+@query("j08_within_boxes_nested_loop", INSIDE_SQL)
+def _(t):
+    found = regions.within_any(t.stars, regions.boxes(places(t)), few=2000)
+    return rounded(found.select("source_id", "dist"))
+
+
+@query("j08_within_boxes_by_shuffle", INSIDE_SQL)
 def _(t):
     # As for a list too long to broadcast, with hot cells spread from 50 stars on.
-    found = regions.within_any(t.stars, regions.boxes(places(t)), few=0, hot_rows=50, salts=4)
+    found = regions.within_any(
+        t.stars, regions.boxes(places(t)), few=0, many=0, hot_rows=50, salts=4
+    )
     return rounded(found.select("source_id", "dist"))
 
 

@@ -9,13 +9,13 @@ from starloom import fixed
 AXES = ("snr", "dist", "mag")
 
 
-def _misses(value, thresholds, above):
-    """Number of thresholds, from the strictest on, that a value does not satisfy."""
-    total = F.lit(0)
-    for t in thresholds:
-        kept = value > F.lit(float(t)) if above else value < F.lit(float(t))
-        total = total + F.when(kept, F.lit(0)).otherwise(F.lit(1))
-    return total
+def _first_kept(value, thresholds, above):
+    """Place of the strictest threshold that a value satisfies; their number if none."""
+    place = F
+    for i, t in enumerate(thresholds):
+        limit = F.lit(float(t))
+        place = place.when(value > limit if above else value < limit, F.lit(i))
+    return place.otherwise(F.lit(len(thresholds)))
 
 
 def threshold_counts(
@@ -30,9 +30,9 @@ def threshold_counts(
     """
     cells = (
         stars.select(
-            _misses(F.col("px_over_err"), snr, True).alias("i_snr"),
-            _misses(F.col("dist"), dist, False).alias("i_dist"),
-            _misses(F.col("abs_mag"), mag, False).alias("i_mag"),
+            _first_kept(F.col("px_over_err"), snr, True).alias("i_snr"),
+            _first_kept(F.col("dist"), dist, False).alias("i_dist"),
+            _first_kept(F.col("abs_mag"), mag, False).alias("i_mag"),
         )
         .filter(
             (F.col("i_snr") < len(snr)) & (F.col("i_dist") < len(dist)) & (F.col("i_mag") < len(mag))

@@ -1,16 +1,17 @@
 """Neighbourhood boxes around a list of objects and the stars inside them."""
 
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import functions as F
 
 from starloom import fixed
-from starloom.operators.sizing import fits
+from starloom.operators.sizing import ROWS, fits
 from starloom.operators.skew import salted_join
+from starloom.session import staged
 
 AXES = ("x", "y", "z")
-FEW_BOXES = 1000
+FEW_BOXES = 32
 FINEST_CELL = 64.0
 
 
@@ -32,67 +33,95 @@ def boxes(objects, relative=fixed.BOX_RELATIVE, margin=fixed.BOX_MARGIN, whole=T
     return objects.withColumns(out)
 
 
-def _strictly_inside(star, box):
+def _inside(position, box):
+    """Strictly inside on all axes; `position` and `box` give the columns by name."""
     return reduce(
-        and_,
-        [
-            (F.col(f"{star}.{a}") > F.col(f"{box}.lo_{a}"))
-            & (F.col(f"{star}.{a}") < F.col(f"{box}.hi_{a}"))
-            for a in AXES
-        ],
+        and_, [(position(a) > box(f"lo_{a}")) & (position(a) < box(f"hi_{a}")) for a in AXES]
     )
 
 
-def within_any(stars, box_list, key="source_id", few=FEW_BOXES, **skew):
+def _of(alias):
+    return lambda name: F.col(f"{alias}.{name}")
+
+
+def within_any(stars, box_list, key="source_id", few=FEW_BOXES, many=ROWS, **skew):
     """Stars strictly inside at least one box, each once.
 
-    A short list is broadcast and every star is tested against it; a longer one
-    goes through a grid of cells, so that a star only meets the boxes nearby.
+    Every star is tested against a handful of boxes directly. A longer list is
+    laid out on a grid of cells, so that a star only meets the boxes of its own
+    cells: as a broadcast lookup while the cells are at most `many`, so that the
+    stars are scanned but never shuffled, and beyond that as a shuffled join.
     """
     edges = box_list.select(*[f"{s}_{a}" for a in AXES for s in ("lo", "hi")])
     if fits(edges, rows=few):
         return (
             stars.alias("s")
-            .join(F.broadcast(edges).alias("b"), _strictly_inside("s", "b"), "left_semi")
+            .join(F.broadcast(edges).alias("b"), _inside(_of("s"), _of("b")), "left_semi")
             .select("s.*")
         )
-    return within_any_by_grid(stars, edges, key, **skew)
+    cells = staged(box_cells(edges), "cells")
+    # Levels are powers of two of a length, so there are a few dozen at most.
+    levels = sorted(r["level"] for r in cells.select("level").distinct().collect())
+    if not levels:
+        return stars.limit(0)
+    if fits(cells, rows=many):
+        return _by_lookup(stars, cells, levels)
+    return _by_shuffle(stars, cells, levels, key, **skew)
+
+
+def _cell(v, level, finest=FINEST_CELL):
+    return F.floor(v / (F.lit(finest) * F.pow(F.lit(2.0), level))).cast("long")
 
 
-def within_any_by_grid(stars, edges, key="source_id", finest=FINEST_CELL, **skew):
-    """The same by cells of several sizes.
+def box_cells(edges, finest=FINEST_CELL):
+    """One row per box and grid cell it touches.
 
     A box goes to the level whose cells are at least as long as its longest
-    edge, so it touches at most two cells per axis; a star looks up one cell on
-    each level that is in use.
+    edge, so it touches at most two cells per axis, however large it is.
     """
     longest = F.greatest(*[F.col(f"hi_{a}") - F.col(f"lo_{a}") for a in AXES])
-    levelled = edges.filter(longest > 0).withColumn(
-        "level",
-        F.greatest(F.ceil(F.log2(longest / F.lit(finest))), F.lit(0)).cast("int"),
+    out = edges.filter(longest > 0).withColumn(
+        "level", F.greatest(F.ceil(F.log2(longest / F.lit(finest))), F.lit(0)).cast("int")
     )
-    # Levels are powers of two of a length, so there are a few dozen at most.
-    levels = sorted(r["level"] for r in levelled.select("level").distinct().collect())
-    if not levels:
-        return stars.limit(0)
-
-    def cell(v, level):
-        return F.floor(v / (F.lit(finest) * F.pow(F.lit(2.0), level))).cast("long")
-
     level = F.col("level")
-    spread = levelled
     for a in AXES:
-        spread = spread.withColumn(
-            f"c{a}",
-            F.explode(F.sequence(cell(F.col(f"lo_{a}"), level), cell(F.col(f"hi_{a}"), level))),
+        first, last = _cell(F.col(f"lo_{a}"), level), _cell(F.col(f"hi_{a}"), level)
+        out = out.withColumn(f"c{a}", F.explode(F.sequence(first, last)))
+    return out
+
+
+def _by_lookup(stars, cells, levels):
+    """One existence test per level in use; no star is repeated, moved or counted twice."""
+    tests = []
+    for level in levels:
+        here = F.broadcast(cells.filter(F.col("level") == level).alias("b"))
+        same_cell = reduce(
+            and_,
+            [
+                F.col(f"b.c{a}") == _cell(F.col(f"s.{a}").outer(), F.lit(level))
+                for a in AXES
+            ],
         )
+        inside = _inside(lambda n: F.col(f"s.{n}").outer(), _of("b"))
+        tests.append(here.where(same_cell & inside).exists())
+    return stars.alias("s").where(reduce(or_, tests)).select("s.*")
+
+
+def _by_shuffle(stars, cells, levels, key, **skew):
+    """A star looks up one cell per level in a join by cell; hot cells are salted."""
     probes = stars.withColumn("level", F.explode(F.array(*[F.lit(v) for v in levels])))
-    probes = probes.withColumns({f"c{a}": cell(F.col(a), level) for a in AXES})
-    cells = ["level", *[f"c{a}" for a in AXES]]
+    probes = probes.withColumns({f"c{a}": _cell(F.col(a), F.col("level")) for a in AXES})
+    names = ["level", *[f"c{a}" for a in AXES]]
     found = salted_join(
-        probes, spread, cells, [key], on=_strictly_inside, how="left_semi", **skew
+        probes,
+        cells,
+        names,
+        [key],
+        on=lambda a, b: _inside(_of(a), _of(b)),
+        how="left_semi",
+        **skew,
     )
-    return found.drop(*cells).dropDuplicates([key])
+    return found.drop(*names).dropDuplicates([key])
 
 
 def distance_matrix(objects, order, points=40, open_tour=True):
