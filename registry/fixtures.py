@@ -13,6 +13,7 @@ from starloom import schemas
 from starloom.functions.text import array_text
 from starloom.plans.stars import derived, ingested, merged
 from starloom.session import staging_path
+from starloom.sources.tables import star_table
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -194,12 +195,29 @@ def text_for(name, engine):
     return FIXTURES[name].replace("<<sha256>>", _SHA[engine])
 
 
+_star_tables = {}
+
+
 class Tables:
-    """The given tables and the fixtures of one scale, as DataFrames."""
+    """The given tables and the fixtures of one scale, as DataFrames.
+
+    Star sets, bins and regions work on a stored star table, as they do in
+    practice; the first query of a session that needs one derives it from the
+    given tables and writes it to the shared folder.
+    """
 
     def __init__(self, spark, folder):
         self.spark, self.folder = spark, folder
 
+    def _star_table(self, name, rows):
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _star_tables:
+            path = self.scratch(name)
+            # Sorted by distance inside each file, so row-group statistics prune.
+            derived(rows).sortWithinPartitions("dist").write.parquet(path)
+            _star_tables[key] = path
+        return star_table(self.spark, _star_tables[key])
+
     def table(self, name):
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
@@ -232,11 +250,11 @@ class Tables:
 
     @property
     def stars(self):
-        return derived(self.positive)
+        return self._star_table("stars", self.positive)
 
     @property
     def stars_large(self):
-        return derived(self.positive_large)
+        return self._star_table("stars-large", self.positive_large)
 
     def scratch(self, label):
         return staging_path(self.spark, label)

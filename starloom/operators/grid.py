@@ -26,7 +26,8 @@ def threshold_counts(
     Each list runs from strict to loose. Every star is put in the strictest cell
     it satisfies, in one scan whose partial results are at most one row per
     cell; running sums along the three axes over the small cube give the counts.
-    The cost does not depend on how many thresholds there are.
+    The cost does not depend on how many thresholds there are. Stars that miss
+    a loosest threshold land outside the cube and find no partner in it.
     """
     cells = (
         stars.select(
@@ -34,9 +35,6 @@ def threshold_counts(
             _first_kept(F.col("dist"), dist, False).alias("i_dist"),
             _first_kept(F.col("abs_mag"), mag, False).alias("i_mag"),
         )
-        .filter(
-            (F.col("i_snr") < len(snr)) & (F.col("i_dist") < len(dist)) & (F.col("i_mag") < len(mag))
-        )
         .groupBy("i_snr", "i_dist", "i_mag")
         .agg(F.count("*").alias("n"))
     )
