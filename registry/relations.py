@@ -80,7 +80,7 @@ def _(t):
 
 def digest_of(t):
     path = t.scratch("digest")
-    head = t.fixture("digest").limit(1).select(F.lit("File,sources,ra,ra,dec,dec").alias("line"))
+    head = t.spark.range(1).select(F.lit("File,sources,ra,ra,dec,dec"))
     t.fixture("digest").select("line").unionAll(head).write.text(path)
     return manifests.file_digest(t.spark, path)
 
@@ -784,14 +784,15 @@ def _(t):
 @query(
     "a15_size_groups",
     f"""SELECT round(size_class, 6) AS size_class, count(*) AS rows, round(sum(r), 4) AS r, round(sum(g), 4) AS g, round(sum(b), 4) AS b
-FROM ({RGB_SQL.format(source='(SELECT * FROM t_stars WHERE sqrt(x * x + y * y + z * z) BETWEEN 3000 AND 70000 AND abs_mag <= -5)')}) a GROUP BY size_class""",
+FROM ({RGB_SQL.format(source='t_stars')}) a GROUP BY ALL""",
 )
 def _(t):
     path = t.scratch("sizes")
-    publish.write_size_groups(publish.render_attributes(t.stars), path)
+    publish.write_size_groups(publish.render_attributes(t.stars, window=False), path)
     groups = t.spark.read.parquet(path).groupBy(F.col("size_class").cast("double").alias("size_class"))
-    return rounded(groups.agg(F.count("*").alias("rows"))).join(
-        groups.agg(*[F.round(F.sum(c), 4).alias(c) for c in "rgb"]), "size_class"
+    sums = [F.round(F.sum(c), 4).alias(c) for c in "rgb"]
+    return groups.agg(F.count("*").alias("rows"), *sums).withColumn(
+        "size_class", F.round("size_class", 6)
     )
 
 

@@ -537,11 +537,11 @@ def _(t):
 
 @query(
     "m30_cluster_suffix",
-    "SELECT dist_pc, name || ' (gc)' AS name FROM t_sky",
+    """SELECT dist_pc, name FROM t_clusters UNION ALL SELECT dist_pc, name || ' (gc)' FROM t_sky""",
 )
 def _(t):
-    sky = t.fixture("sky").select("dist_pc", "name")
-    return combined_clusters(sky.limit(0), sky)
+    opened, globular = (t.fixture(n).select("dist_pc", "name") for n in ("clusters", "sky"))
+    return combined_clusters(opened, globular)
 
 
 @query(

@@ -17,6 +17,7 @@ from starloom.operators.loads import one_per_key
 from starloom.operators.ranking import arrange, positions
 from starloom.operators.sets import published
 from starloom.operators.sizing import fits, small
+from starloom.session import staged
 
 SEPARATOR = " / "
 PIECE = 10_000
@@ -150,10 +151,10 @@ def resolve(numbers, neighbours, by_number, stars, newer, older):
     """Place every number: star table, else the newer catalogue, else the older.
 
     Adds `resolved_by` (dr3, dr3_ident, cat2007, cat1997 or none) and the
-    position; the small tables are joined to each other, and the star table
-    only meets the keys that are looked up.
+    position. The catalogues are joined to each other; the star table is scanned
+    once against the keys that are looked up.
     """
-    keyed = with_sources(numbers, neighbours, by_number)
+    keyed = staged(with_sources(numbers, neighbours, by_number), "keyed")
     places = star_positions(stars, keyed)
     tiers = [
         places.select("source_id", F.struct("x", "y", "z").alias("_star")),

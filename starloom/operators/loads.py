@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators.ranking import running_total
 from starloom.operators.sizing import fits, small
+from starloom.session import staged
 
 
 def one_per_key(df, key, order):
@@ -23,7 +24,7 @@ def known_keys(batch, table, key):
     A batch with few keys is broadcast over the table's key column, so the
     table is scanned but never shuffled.
     """
-    keys = batch.select(key).distinct()
+    keys = staged(batch.select(key).distinct(), "keys")
     if fits(keys):
         return F.broadcast(table.select(key).join(F.broadcast(keys), key, "left_semi").distinct())
     return keys.join(table.select(key), key, "left_semi")
@@ -53,7 +54,7 @@ def insert_outcome(batch, table, key="source_id"):
 
 def upserted(batch, table, order, key="source_id"):
     """The table after an upsert: rows of `batch` replace those with the same key."""
-    latest = one_per_key(batch, [key], order).select(*table.columns)
+    latest = staged(one_per_key(batch, [key], order).select(*table.columns), "latest")
     kept = table.join(small(latest.select(key)), key, "left_anti").select(*table.columns)
     return kept.unionByName(latest)
 

@@ -8,21 +8,13 @@ BYTES = 64 * 1024 * 1024
 
 
 def fits(df, rows=ROWS, size=BYTES):
-    """Whether `df` has at most `rows` rows and `size` bytes; stops counting beyond that."""
-    texts = [
-        F.octet_length(f.name)
-        for f in df.schema
-        if isinstance(f.dataType, (T.StringType, T.BinaryType))
-    ]
-    width = sum(8 for f in df.schema if not isinstance(f.dataType, (T.StringType, T.BinaryType)))
-    row_bytes = F.lit(width)
+    """Whether `df` has at most `rows` rows and `size` bytes, by a distributed count."""
+    variable = (T.StringType, T.BinaryType)
+    texts = [f.name for f in df.schema if isinstance(f.dataType, variable)]
+    row_bytes = F.lit(8 * (len(df.columns) - len(texts))).cast("long")
     for t in texts:
-        row_bytes = row_bytes + F.coalesce(t, F.lit(0))
-    seen = (
-        df.limit(rows + 1)
-        .agg(F.count("*").alias("n"), F.sum(row_bytes.cast("long")).alias("bytes"))
-        .first()
-    )
+        row_bytes = row_bytes + F.coalesce(F.octet_length(t), F.lit(0))
+    seen = df.agg(F.count("*").alias("n"), F.sum(row_bytes).alias("bytes")).first()
     return seen["n"] <= rows and (seen["bytes"] or 0) <= size
 
 

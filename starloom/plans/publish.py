@@ -92,10 +92,11 @@ def threshold_report(stars, minimum, maximum, **axes):
     return accepted(threshold_counts(stars, **axes), minimum, maximum)
 
 
-def render_attributes(stars):
-    """What a viewer draws for every star in its window."""
+def render_attributes(stars, window=True):
+    """What a viewer draws for every star, by default only of those in its window."""
     colour = rgb()
-    return render_window(stars).select(
+    shown = render_window(stars) if window else stars
+    return shown.select(
         "source_id",
         "x",
         "y",

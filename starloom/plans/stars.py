@@ -12,6 +12,8 @@ from starloom.functions.astrometry import (
 from starloom.functions.photometry import merged_colour, merged_magnitude
 from starloom.operators.filters import ingest_quality, load_quality
 from starloom.operators.loads import file_presence, reconciled, rows_per_file
+from starloom.operators.sizing import small
+from starloom.session import staging
 from starloom.sinks.tables import read_if_there, replace_partitions
 from starloom.sources.tables import file_name, survey_files
 
@@ -64,10 +66,22 @@ def load(spark, filtered_path, star_path):
     good = filtered.filter(load_quality(signal_to_noise("parallax", "parallax_error")))
     stars = read_if_there(spark, star_path)
     todo = good
-    if stars is not None:
-        present = file_presence(good, stars, "file_id").filter("present").select("file_id")
-        todo = good.join(present, "file_id", "left_anti")
-    # Sorting by distance inside each file lets row-group statistics prune distance limits.
-    rows = derived(todo, "file_id").sortWithinPartitions("file_id", "dist")
-    replace_partitions(rows, star_path, ["file_id"])
+    with staging(spark):
+        if stars is not None:
+            present = file_presence(good, stars, "file_id").filter("present").select("file_id")
+            todo = good.join(small(present), "file_id", "left_anti")
+        # Sorted by distance inside each file, so page statistics prune distance limits.
+        rows = derived(todo, "file_id").sortWithinPartitions("file_id", "dist")
+        replace_partitions(rows, star_path, ["file_id"])
     return rows_per_file(good, "file_id"), reconciled(good, spark.read.parquet(star_path))
+
+
+def cluster(spark, star_path, path):
+    """Job: the star table once more, in files that each hold one range of distances.
+
+    A distance limit then skips whole files, which pays when sets are drawn from
+    the table again and again.
+    """
+    stars = spark.read.parquet(star_path).select(*schemas.STAR_COLUMNS)
+    ranges = stars.repartitionByRange("dist", "source_id")
+    ranges.sortWithinPartitions("dist").write.mode("overwrite").parquet(path)

@@ -3,7 +3,9 @@
 import atexit
 import shutil
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -52,9 +54,36 @@ def staging_path(spark, label):
     return f"{shared_root(spark)}/starloom/{label}-{uuid.uuid4().hex}"
 
 
-def staged(df, label, partition_by=()):
-    """Write `df` to the shared folder and read it back: lineage ends at durable files."""
+_scopes = threading.local()
+
+
+def _open_scopes():
+    if not hasattr(_scopes, "stack"):
+        _scopes.stack = []
+    return _scopes.stack
+
+
+def staged(df, label):
+    """Write `df` to the shared folder and read it back.
+
+    What follows starts from files that outlive any executor, and nothing ahead
+    of them is computed twice.
+    """
     spark = df.sparkSession
     path = staging_path(spark, label)
-    df.write.partitionBy(*partition_by).parquet(path)
+    if _open_scopes():
+        _open_scopes()[-1].append(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging(spark):
+    """Drops the tables staged inside at the end: for jobs that have written their result by then."""
+    _open_scopes().append([])
+    try:
+        yield
+    finally:
+        for path in _open_scopes().pop():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -7,6 +7,7 @@ from starloom.functions.rounding import fixed_text, number_text
 from starloom.functions.text import array_text, quoted
 from starloom.operators.ranking import arrange, positions, sliced
 from starloom.operators.sizing import fits
+from starloom.session import staging
 
 
 def framed(row, first, last, name):
@@ -70,9 +71,10 @@ def array_lines(df, fields, order, name):
 
 def write_array(df, fields, order, name, path):
     """One array file; a large one is left in parts whose names sort in row order."""
-    lines = array_lines(df, fields, order, name)
-    if fits(lines):
-        lines = lines.repartition(1)
-    else:
-        lines = lines.repartitionByRange("position")
-    lines.sortWithinPartitions("position").select("line").write.mode("overwrite").text(path)
+    with staging(df.sparkSession):
+        lines = array_lines(df, fields, order, name)
+        if fits(lines):
+            lines = lines.repartition(1)
+        else:
+            lines = lines.repartitionByRange("position")
+        lines.sortWithinPartitions("position").select("line").write.mode("overwrite").text(path)

@@ -7,7 +7,8 @@ from starloom.functions.rounding import fixed_text
 from starloom.operators.loads import fingerprint, insertable, new_rows, one_per_key
 from starloom.operators.filters import export_quality
 from starloom.functions.text import array_text, cut_decimals
-from starloom.session import staged
+from starloom.operators.sizing import small
+from starloom.session import staged, staging
 
 
 def read_if_there(spark, path):
@@ -36,20 +37,27 @@ def replace_partitions(df, path, partition_by):
 
 def append_new(batch, path, order, key="source_id"):
     """Appends one row per key that the table does not have; a second run adds nothing."""
-    table = read_if_there(batch.sparkSession, path)
-    rows = one_per_key(batch, [key], order) if table is None else insertable(batch, table, order, key)
-    rows.write.mode("append").parquet(path)
+    spark = batch.sparkSession
+    table = read_if_there(spark, path)
+    with staging(spark):
+        if table is None:
+            rows = one_per_key(batch, [key], order)
+        else:
+            rows = insertable(batch, table, order, key)
+        rows.write.mode("append").parquet(path)
 
 
 def append_files(batch, path, file_column, key="source_id"):
     """Appends the rows of files none of whose keys are loaded yet."""
-    table = read_if_there(batch.sparkSession, path)
-    if table is not None:
-        fresh = new_rows(batch, table, key).groupBy(file_column).agg(F.count("*").alias("_new"))
-        sizes = batch.groupBy(file_column).agg(F.count("*").alias("_all"))
-        whole = sizes.join(fresh, file_column).filter(F.col("_new") == F.col("_all"))
-        batch = batch.join(whole.select(file_column), file_column, "left_semi")
-    batch.write.mode("append").parquet(path)
+    spark = batch.sparkSession
+    table = read_if_there(spark, path)
+    with staging(spark):
+        if table is not None:
+            fresh = new_rows(batch, table, key).groupBy(file_column).agg(F.count("*").alias("_new"))
+            sizes = batch.groupBy(file_column).agg(F.count("*").alias("_all"))
+            whole = sizes.join(fresh, file_column).filter(F.col("_new") == F.col("_all"))
+            batch = batch.join(small(whole.select(file_column)), file_column, "left_semi")
+        batch.write.mode("append").parquet(path)
 
 
 def csv_rows(df, digits=3):
@@ -72,11 +80,12 @@ def unchanged(df, path):
 
 def write_if_changed(df, path):
     """Writes `df` unless the stored rows are the same; tells whether it wrote."""
-    rows = staged(df, "candidate")
-    if unchanged(rows, path):
-        return False
-    replace(rows, path)
-    return True
+    with staging(df.sparkSession):
+        rows = staged(df, "candidate")
+        changed = not unchanged(rows, path)
+        if changed:
+            replace(rows, path)
+    return changed
 
 
 def file_export(filtered, columns=("x", "y", "z", "color", "abs_mag"), file_column="file_id"):
@@ -104,7 +113,8 @@ def write_file_export(filtered, path, file_column="file_id"):
     spark = filtered.sparkSession
     rows = file_export(filtered, file_column=file_column)
     old = read_if_there(spark, path)
-    if old is not None:
-        stale = stale_files(rows, old, file_column).filter("stale").select(file_column)
-        rows = staged(rows.join(stale, file_column, "left_semi"), "export")
-    replace_partitions(rows, path, [file_column])
+    with staging(spark):
+        if old is not None:
+            stale = stale_files(rows, old, file_column).filter("stale").select(file_column)
+            rows = staged(rows.join(small(stale), file_column, "left_semi"), "export")
+        replace_partitions(rows, path, [file_column])
