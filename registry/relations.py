@@ -522,12 +522,7 @@ def _(t):
     labels = t.table("customer").select(
         (F.col("c_custkey") * 5).alias("source_id"), F.col("c_name").alias("name")
     )
-    found = catalogues.named_stars(t.stars, labels)
-    return found.select(
-        "source_id",
-        "name",
-        *[F.col(c).cast("double").alias(c) for c in ("x", "y", "z", "color", "abs_mag")],
-    )
+    return catalogues.named_stars(t.stars, labels).drop("dist")
 
 
 INSIDE_SQL = """SELECT source_id, round(dist, 6) AS dist FROM t_stars s WHERE EXISTS (SELECT 1 FROM t_boxes b
@@ -550,7 +545,7 @@ def _(t):
 def _(t):
     # As for a list too long to broadcast, with hot cells spread from 50 stars on.
     found = regions.within_any(
-        t.stars, regions.boxes(places(t)), few=0, many=0, hot_rows=50, salts=4
+        t.stars, regions.boxes(places(t)), few=0, many=0, hot_rows=50, share=1, salts=4
     )
     return rounded(found.select("source_id", "dist"))
 

@@ -47,12 +47,7 @@ def _(t):
  abs_mag::double AS abs_mag, round(dist, 6) AS dist FROM t_published""",
 )
 def _(t):
-    df = sets.published(t.stars, "source_id")
-    return df.select(
-        "source_id",
-        *[F.col(c).cast("double").alias(c) for c in ("x", "y", "z", "color", "abs_mag")],
-        F.round("dist", 6).alias("dist"),
-    )
+    return sets.published(t.stars, "source_id").withColumn("dist", F.round("dist", 6))
 
 
 @query(

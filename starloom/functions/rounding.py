@@ -4,6 +4,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 EXACT = "decimal(38,15)"
+NEAR_HALF = 1e-3
+LARGEST = 1e12
 
 
 def col(c):
@@ -21,8 +23,20 @@ def half_even(c, digits):
 
 
 def half_away(c, digits):
-    """Halves away from zero at `digits` decimals, on the decimal value."""
-    return F.round(col(c).try_cast(EXACT), digits)
+    """Halves away from zero at `digits` decimals, on the decimal value, as a double.
+
+    Only a value next to a half needs decimal arithmetic to tell which way it
+    goes; all others are rounded in floating point, many times faster.
+    """
+    c = col(c)
+    power = F.lit(float(10**digits))
+    size = F.abs(c) * power
+    whole = F.floor(size)
+    plain = (F.abs(size - whole - F.lit(0.5)) > NEAR_HALF) & (size < LARGEST)
+    nearest = F.floor(size + F.lit(0.5)) / power
+    exact = F.round(c.try_cast(EXACT), digits).cast("double")
+    # Adding 0 turns a negative zero into zero.
+    return F.when(plain, F.when(c < 0, -nearest).otherwise(nearest) + F.lit(0.0)).otherwise(exact)
 
 
 def toward_zero(c):
@@ -32,7 +46,7 @@ def toward_zero(c):
 
 def fixed_text(c, digits):
     """Text with exactly `digits` decimals; never prints a negative zero."""
-    return half_away(c, digits).cast("string")
+    return half_away(c, digits).try_cast(f"decimal(38,{digits})").cast("string")
 
 
 def number_text(c, digits=1):

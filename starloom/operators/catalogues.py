@@ -133,7 +133,7 @@ def star_positions(stars, keys):
     """Published position of the stars whose source is in `keys` (one scan, no shuffle of stars)."""
     wanted = small(keys.select("source_id").filter(F.col("source_id").isNotNull()).distinct())
     found = published(stars.join(wanted, "source_id", "left_semi"), "source_id")
-    return found.select("source_id", *[F.col(c).cast("double").alias(c) for c in ("x", "y", "z")])
+    return found.select("source_id", "x", "y", "z")
 
 
 def catalogue_positions(catalogue, fill_magnitude):

@@ -19,15 +19,16 @@ def one_per_key(df, key, order):
 
 
 def known_keys(batch, table, key):
-    """The keys of `batch` that `table` already has, each once.
+    """The keys of `table` that matter to `batch`, each once.
 
-    A batch with few keys is broadcast over the table's key column, so the
+    The keys of a small batch are broadcast over the table's key column, so the
     table is scanned but never shuffled.
     """
-    keys = staged(batch.select(key).distinct(), "keys")
+    keys, held = batch.select(key), table.select(key)
     if fits(keys):
-        return F.broadcast(table.select(key).join(F.broadcast(keys), key, "left_semi").distinct())
-    return keys.join(table.select(key), key, "left_semi")
+        found = held.join(F.broadcast(keys.distinct()), key, "left_semi")
+        return F.broadcast(found.distinct())
+    return held.distinct()
 
 
 def new_rows(batch, table, key="source_id"):

@@ -74,7 +74,7 @@ def published_columns():
 
 
 def published(stars, *extra):
-    """Stars in the rounded projection, as decimals, with `extra` columns kept."""
+    """Stars in the rounded projection, with `extra` columns kept."""
     return stars.select(*extra, *[c.alias(n) for n, c in published_columns().items()])
 
 

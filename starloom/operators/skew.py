@@ -3,25 +3,32 @@
 from pyspark.sql import functions as F
 
 from starloom.operators.sizing import small
+from starloom.session import staged
 
 SALTS = 64
 HOT_ROWS = 5_000_000
 
 
-def salted_join(left, right, keys, spread, on=None, how="inner", hot_rows=HOT_ROWS, salts=SALTS):
+def hot_keys(df, keys, hot_rows=HOT_ROWS, share=1e-3):
+    """Keys with more than about `hot_rows` rows, told from a share of the rows.
+
+    Which keys are salted changes the speed of a join and never its result, so
+    an estimate will do. It is written down, because both sides of the join have
+    to see the same keys.
+    """
+    seen = df.select(*keys).sample(share, seed=1) if share < 1 else df.select(*keys)
+    counts = seen.groupBy(*keys).agg(F.count("*").alias("_n"))
+    return staged(counts.filter(F.col("_n") > hot_rows * share).select(*keys), "hot")
+
+
+def salted_join(left, right, keys, spread, on=None, how="inner", salts=SALTS, **hot):
     """Equi-join on `keys` that spreads the left rows of hot keys over `salts` tasks.
 
-    Hot keys are counted first (partial counts, one row per key); only they are
-    salted, by the hash of the `spread` columns, and only their right rows are
-    repeated. `on` adds a condition between the two sides, as a function of them.
+    Only the hot keys are salted, by the hash of the `spread` columns, and only
+    their right rows are repeated. `on` adds a condition between the two sides,
+    as a function of their aliases.
     """
-    hot = (
-        left.groupBy(*keys)
-        .agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > hot_rows)
-        .select(*keys, F.lit(salts).alias("_salts"))
-    )
-    hot = small(hot)
+    hot = small(hot_keys(left, keys, **hot)).withColumn("_salts", F.lit(salts))
     salted_left = left.join(hot, keys, "left").withColumn(
         "_salt",
         F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_salts").cast("long")), F.lit(0)),

@@ -43,7 +43,7 @@ def append_new(batch, path, order, key="source_id"):
         if table is None:
             rows = one_per_key(batch, [key], order)
         else:
-            rows = insertable(batch, table, order, key)
+            rows = insertable(staged(batch, "batch"), table, order, key)
         rows.write.mode("append").parquet(path)
 
 
@@ -53,6 +53,7 @@ def append_files(batch, path, file_column, key="source_id"):
     table = read_if_there(spark, path)
     with staging(spark):
         if table is not None:
+            batch = staged(batch, "batch")
             fresh = new_rows(batch, table, key).groupBy(file_column).agg(F.count("*").alias("_new"))
             sizes = batch.groupBy(file_column).agg(F.count("*").alias("_all"))
             whole = sizes.join(fresh, file_column).filter(F.col("_new") == F.col("_all"))

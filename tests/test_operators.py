@@ -157,7 +157,7 @@ def test_boxes_by_every_route(spark, star_frame):
 
     want = sorted(s[0] for s in stars if any(inside(s, b) for b in edges))
     boxes, df = box_frame(spark, edges), star_frame(stars)
-    for options in (dict(few=100), dict(few=0), dict(few=0, many=0), dict(few=0, many=0, hot_rows=100, salts=4)):
+    for options in (dict(few=100), dict(few=0), dict(few=0, many=0), dict(few=0, many=0, hot_rows=100, share=1, salts=4)):
         found = regions.within_any(df, boxes, **options)
         assert found.columns == df.columns
         assert sorted(r.source_id for r in found.collect()) == want, options
@@ -173,7 +173,7 @@ def test_box_bounds(spark):
 def test_salted_join_keeps_every_pair(spark):
     left = spark.createDataFrame([(i, 0 if i % 3 else i % 7) for i in range(300)], "id long, k int")
     right = spark.createDataFrame([(k, v) for k in range(7) for v in range(2)], "k int, v int")
-    joined = skew.salted_join(left, right, ["k"], ["id"], hot_rows=50, salts=8)
+    joined = skew.salted_join(left, right, ["k"], ["id"], hot_rows=50, share=1, salts=8)
     assert joined.select("a.id", "b.v").distinct().count() == 600
     assert joined.count() == 600
 
