@@ -24,7 +24,7 @@ TABLES = (
 def _raw(table, key, other, price, extra):
     return f"""
 SELECT *, parallax / parallax_error AS parallax_over_error FROM (
- SELECT {key} AS source_id, {key} % 16 AS file_no, {extra}
+ SELECT {key} AS source_id, CAST(floor({key} / 4000.0) AS BIGINT) AS file_no, {extra}
   ({key} * CAST(137.50776405 AS DOUBLE)) % CAST(360 AS DOUBLE) AS ra,
   CAST({other} % 179 - 89 AS DOUBLE) AS dec,
   CASE WHEN {key} % 97 = 0 THEN CAST(-1 AS DOUBLE)
@@ -266,7 +266,8 @@ def write_text_files(lines, path, compression="none", file_column="file_no"):
         lines.repartition(file_column)
         .sortWithinPartitions(file_column, "n")
         .select(file_column, "line")
-        .write.partitionBy(file_column)
+        .write.mode("append")
+        .partitionBy(file_column)
         .text(path, compression=compression)
     )
     return path

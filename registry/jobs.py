@@ -62,7 +62,7 @@ FROM (SELECT file_no, count(*) AS rows FROM t_filtered WHERE parallax / parallax
 )
 def _(t):
     path, stars = t.scratch("filtered"), t.scratch("stars")
-    kept = t.filtered.withColumn("file_id", F.format_string("%04d", "file_no"))
+    kept = t.filtered.withColumn("file_id", F.format_string("%012d", "file_no"))
     kept.drop("file_no").write.partitionBy("file_id").parquet(path)
     sizes, totals = load(t.spark, path, stars)
     return sizes.select(
@@ -253,26 +253,28 @@ def _(t):
 # Streams
 
 
+def arrivals_of(t):
+    """The rows in the order their files arrive: what is loaded first, then the rest."""
+    return t.raw.filter("loaded"), t.raw.filter("NOT loaded")
+
+
 @query("t01_file_stream", STARS_SQL + LOADED)
 def _(t):
-    source = write_source_files(t.raw, t.scratch("source"))
-    path, log = t.scratch("stream"), t.scratch("stream-log")
-    raw = arrivals.arriving(t.spark, source, files_per_trigger=6)
-    arrivals.run_to_files(arrivals.star_stream(raw), path, log).awaitTermination()
-    # A restart finds no new file.
-    raw = arrivals.arriving(t.spark, source, files_per_trigger=6)
-    arrivals.run_to_files(arrivals.star_stream(raw), path, log).awaitTermination()
+    source, path, log = t.scratch("source"), t.scratch("stream"), t.scratch("stream-log")
+    for rows in arrivals_of(t):
+        write_source_files(rows, source)
+        stars = arrivals.star_stream(arrivals.arriving(t.spark, source))
+        arrivals.run_to_files(stars, path, log).awaitTermination()
     return rounded(t.spark.read.parquet(path), "color")
 
 
 @query("t02_keyed_stream", STARS_SQL + LOADED)
 def _(t):
-    source = write_source_files(t.raw, t.scratch("source"))
-    path = t.scratch("keyed")
-    # The second stream has its own log, so every file comes again; its keys are known.
-    for _ in range(2):
-        raw = arrivals.arriving(t.spark, source, files_per_trigger=8)
-        stars = arrivals.star_stream(raw)
+    source, path = t.scratch("source"), t.scratch("keyed")
+    for rows in arrivals_of(t):
+        write_source_files(rows, source)
+        stars = arrivals.star_stream(arrivals.arriving(t.spark, source))
+        # Each run has its own log, so the first files come twice; their keys are known.
         arrivals.run_keyed(stars, path, t.scratch("keyed-log"), ["dist"]).awaitTermination()
     return rounded(t.spark.read.parquet(path), "color")
 
@@ -284,9 +286,9 @@ def _(t):
 {LOADED} GROUP BY 1, 2, 3""",
 )
 def _(t):
-    source = write_source_files(t.raw, t.scratch("source"))
-    path = t.scratch("bin-stream")
-    stars = arrivals.star_stream(arrivals.arriving(t.spark, source, files_per_trigger=6))
-    running = arrivals.bin_stream(stars, 500, "abs_mag")
-    arrivals.run_bins(running, path, t.scratch("bin-log")).awaitTermination()
+    source, path, log = t.scratch("source"), t.scratch("bin-stream"), t.scratch("bin-log")
+    for rows in arrivals_of(t):
+        write_source_files(rows, source)
+        stars = arrivals.star_stream(arrivals.arriving(t.spark, source))
+        arrivals.run_bins(arrivals.bin_stream(stars, 500, "abs_mag"), path, log).awaitTermination()
     return rounded(arrivals.latest_bins(t.spark, path))

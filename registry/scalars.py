@@ -190,10 +190,10 @@ def _(t):
 
 @query(
     "f12_file_gate",
-    """SELECT file_no, count(*) AS rows, count(*) >= 880 AS accepted FROM t_filtered GROUP BY file_no""",
+    """SELECT file_no, count(*) AS rows, count(*) >= 3890 AS accepted FROM t_filtered GROUP BY file_no""",
 )
 def _(t):
-    return filters.file_gate(t.filtered, "file_no", 880)
+    return filters.file_gate(t.filtered, "file_no", 3890)
 
 
 # Scalar functions
