@@ -214,7 +214,7 @@ class Tables:
         if key not in _star_tables:
             path = self.scratch(name)
             # Sorted by distance inside each file, so row-group statistics prune.
-            derived(rows).sortWithinPartitions("dist").write.parquet(path)
+            derived(rows()).sortWithinPartitions("dist").write.parquet(path)
             _star_tables[key] = path
         return star_table(self.spark, _star_tables[key])
 
@@ -250,11 +250,11 @@ class Tables:
 
     @property
     def stars(self):
-        return self._star_table("stars", self.positive)
+        return self._star_table("stars", lambda: self.positive)
 
     @property
     def stars_large(self):
-        return self._star_table("stars-large", self.positive_large)
+        return self._star_table("stars-large", lambda: self.positive_large)
 
     def scratch(self, label):
         return staging_path(self.spark, label)

@@ -67,6 +67,29 @@ def _(t):
     return tables.catalogue(t.spark, path, names=names, columns=names[:-1])
 
 
+@query(
+    "s03_identifier_list",
+    "SELECT oid, id, row_number() OVER (ORDER BY pos) - 1 AS pos FROM t_identifiers",
+)
+def _(t):
+    lines = t.fixture("identifiers").select(
+        F.format_string("%012d", F.floor(F.col("oid") / 4000)).alias("file_no"),
+        F.col("pos").alias("n"),
+        F.concat_ws("|", "oid", "id").alias("line"),
+    )
+    top = F.inline(
+        F.array(
+            *[
+                F.struct(F.lit(n).cast("long").alias("n"), F.lit(text).alias("line"))
+                for n, text in ((-2, "oidref|id"), (-1, "------|--"))
+            ]
+        )
+    )
+    heads = lines.select("file_no").distinct().select("file_no", top)
+    path = write_text_files(lines.unionByName(heads), t.scratch("identifiers"))
+    return tables.identifier_list(t.spark, path).drop("file_no")
+
+
 @query(
     "s04_star_table",
     "SELECT source_id, round(dist, 6) AS dist FROM t_stars WHERE dist < 5000 AND px_over_err > 20",

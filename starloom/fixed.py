@@ -70,3 +70,10 @@ BLEND_LOW, BLEND_HIGH = (1.0, 0.0, 0.0), (0.0, 0.0, 1.0)
 ID_NUMBER = r"^HIP\s+(\d+)"
 ID_NAME = r"^NAME\s+(.*?)\s+$"
 ID_SOURCE = r"^Gaia DR3\s+(\d+)"
+
+# Patterns that shorten numbers in exported text, in the order they apply.
+CUT_PATTERNS = (
+    (r"(\d\.\d{3})\d+", "$1"),
+    (r"(\d{3}\.\d)\d+", "$1"),
+    (r"(\d\.\d)\d+\]", "$1]"),
+)

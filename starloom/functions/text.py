@@ -5,48 +5,54 @@ from pyspark.sql import functions as F
 from starloom import fixed
 from starloom.functions.rounding import col
 
-GLOBULAR = r"^\s+(.*?)\s(\d+\^h.*?\^s)\s(.*?\d+°\s*\d+.*?″)\s.*?([0-9.]+)[^0-9+]*$"
-OPEN = r"^\s+(.*?)\s(\d+\^h.*?\^m)\s(.*?\d+°\s*\d+.*?)\s[\w\s]*?(\d+,*\d+)\s.*$"
+# A table line: name, hour angle, declination, and the rest of the line.
+LINE = r"^\s+(\S.*?)\s+(\d+\^h[^|]*?\^{hours})\s+(\S?\d+°\s*\d+[^|]*?{degrees})\s(.*)$"
+LAST_NUMBER = r"(\d[\d.]*)\D*$"
+THOUSANDS = r"(\d{1,3}(?:,\d{3})+|\d{2,})\s"
 
 
 def cut_decimals(text):
     """Fewer decimals by cutting text: 3 after a single digit, 1 after three digits, 1 at row end."""
-    text = F.regexp_replace(col(text), r"(\d\.\d{3})\d+", "$1")
-    text = F.regexp_replace(text, r"(\d{3}\.\d)\d+", "$1")
-    return F.regexp_replace(text, r"(\d\.\d)\d+\]", "$1]")
+    text = col(text)
+    for pattern, kept in fixed.CUT_PATTERNS:
+        text = F.regexp_replace(text, pattern, kept)
+    return text
 
 
 def without_footnotes(line):
     return F.regexp_replace(col(line), r"\[\d+\]", "")
 
 
-def table_fields(line, pattern):
+def _table_fields(line, hours, degrees, distance):
     """Distance, ra, dec and name of a table line as a struct; NULL for other lines."""
-    line = col(line)
+    pattern = LINE.format(hours=hours, degrees=degrees)
     # One pass of the pattern: rewrite the line to delimited text, then split it.
-    parts = F.split(F.regexp_replace(line, pattern, "$4|$2|$3|$1"), r"\|")
+    parts = F.split(F.regexp_replace(col(line), pattern, "$1|$2|$3|$4"), r"\|", 4)
+    dist = distance(parts[3])
     return F.when(
-        line.rlike(pattern) & (F.size(parts) == 4),
+        (F.size(parts) == 4) & (dist != ""),
         F.struct(
-            parts[0].alias("dist_text"),
+            dist.alias("dist_text"),
             parts[1].alias("ra_text"),
             parts[2].alias("dec_text"),
-            parts[3].alias("name"),
+            parts[0].alias("name"),
         ),
     )
 
 
 def globular_fields(line):
-    return table_fields(line, GLOBULAR)
+    """A line with seconds in its position; the distance is its last number."""
+    return _table_fields(line, "s", "″", lambda rest: F.regexp_extract(rest, LAST_NUMBER, 1))
 
 
 def open_cluster_fields(line):
-    """As above; the distance loses its thousands comma."""
-    fields = table_fields(line, OPEN)
-    return F.when(
-        fields.isNotNull(),
-        fields.withField("dist_text", F.replace(fields["dist_text"], F.lit(","), F.lit(""))),
-    )
+    """A line without seconds; the distance is the first number after the position of two
+    or more digits, and loses its thousands comma."""
+
+    def distance(rest):
+        return F.replace(F.regexp_extract(rest, THOUSANDS, 1), F.lit(","), F.lit(""))
+
+    return _table_fields(line, "m", "′", distance)
 
 
 def kiloparsec_text_to_parsec(text):

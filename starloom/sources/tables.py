@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom import schemas
+from starloom.operators.ranking import arrange, positions
 
 
 def number(name, dtype):
@@ -72,6 +73,27 @@ def catalogue(spark, path, sep=",", comment=None, names=None, header=True, colum
     return df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df
 
 
+def in_file_order(rows, name="pos"):
+    """Numbers rows that come straight from a file scan in the order of the files.
+
+    For lists whose order means something. The place of a row is the file, the
+    block of the file and the row in the block, whichever task reads it.
+    """
+    place = {
+        "_file": F.col("_metadata.file_path"),
+        "_block": F.col("_metadata.file_block_start"),
+        "_row": F.monotonically_increasing_id(),
+    }
+    placed = positions(arrange(rows.select("*", *[c.alias(n) for n, c in place.items()]), *place))
+    return placed.withColumnRenamed("position", name).drop(*place, "total")
+
+
+def identifier_list(spark, path):
+    """The pipe-separated list of identifiers (oid, id, pos), ruled by lines of dashes."""
+    rows = catalogue(spark, path, sep="|", comment="-", names=("oid", "id"))
+    return in_file_order(rows).withColumn("oid", F.col("oid").try_cast("long"))
+
+
 def cluster_list(spark, path):
     """The pipe-separated list of clusters: distance in parsec, ra and dec text, name."""
     df = catalogue(spark, path, sep="|", header=False, schema=schemas.CLUSTER)
