@@ -101,15 +101,28 @@ def test_field_radius(spark):
     assert values(spark, angles.radius_arcmin, inputs, "string") == [90.0, 30.0, 12.5, 0.0, None]
 
 
+# Listed clusters with their published positions.
+CLUSTERS = (
+    (47.0, "04^h 26.9^m", "+15° 52′", "Hyades", (58.3, 135.5, 41.9)),
+    (86.0, "12^h 22.5^m", "+25° 51′", "Coma Star Cluster", (-251.2, -24.7, 122.3)),
+    (136.0, "03^h 47.4^m", "+24° 07′", "Messier 45 Pleiades", (221.4, 339.0, 181.2)),
+    (2400.0, "17^h 40.7^m", "-53° 40.5′", "NGC 6397", (-390.0, -4620.5, -6306.6)),
+    (6900.0, "11^h 15.3^m", "-61° 15′", "NGC 3603", (-10619.3, 2097.9, -19730.6)),
+    (8870.0, "07^h 38.8^m", "−33° 51′", "Arp-Madore 2", (-10039.8, 21828.2, -16114.6)),
+    (48500.0, "05^h 38.7^m", "−69° 06′", "NGC 2070", (5237.1, 56187.4, -147777.9)),
+    (1400.0, "02^h 27^m 15^s", "+61° 37′ 28″", "FSR 584 (gc)", (1737.4, 1300.3, 4017.6)),
+    (2400.0, "17^h 40^m 42.04^s", "−53° 40′ 26.3″", "NGC 6397 (gc)", (-390.0, -4620.6, -6306.5)),
+    (3200.0, "18^h 36^m 23.97^s", "−23° 54′ 14.5″", "M22 (gc)", (1509.1, -9421.7, -4229.1)),
+    (123300.0, "03^h 55^m 02.30^s", "−49° 36′ 55.0″", "Arp-Madore 1 (gc)", (135134.4, 222778.7, -306322.7)),
+)
+
+
 def test_cluster_positions(spark):
-    # Published positions of two clusters.
-    rows = [
-        (47.0, "04^h 26.9^m", "+15° 52′", "Hyades"),
-        (136.0, "03^h 47.4^m", "+24° 07′", "Messier 45 Pleiades"),
-    ]
-    df = spark.createDataFrame(rows, "dist_pc double, ra_text string, dec_text string, name string")
-    got = placed_clusters(df).select(*[F.round(c, 1) for c in "xyz"]).collect()
-    assert [tuple(r) for r in got] == [(58.3, 135.5, 41.9), (221.4, 339.0, 181.2)]
+    schema = "dist_pc double, ra_text string, dec_text string, name string"
+    df = spark.createDataFrame([c[:4] for c in CLUSTERS], schema)
+    placed = placed_clusters(df).select("name", *[rounding.fixed_text(c, 1).alias(c) for c in "xyz"])
+    got = {r.name: (float(r.x), float(r.y), float(r.z)) for r in placed.collect()}
+    assert got == {c[3]: c[4] for c in CLUSTERS}
 
 
 def test_cut_decimals(spark):
