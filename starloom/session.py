@@ -17,6 +17,10 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Stream state on local disk with remote checkpoints, so that bins may outgrow memory.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 _local_root = None
