@@ -669,12 +669,15 @@ for _name, _spec, (_where, _step) in (
         lambda t, spec=_spec: bins.build(t.stars_large, spec)
     )
 
-for _name, _spec, _field in (
-    ("a05_bin_mean_magnitude", bins.BIN_SETS[3], "abs_mag"),
-    ("a05_bin_mean_colour", bins.BIN_SETS[4], "color"),
+# Colours have two decimals, so their means may lie on a half at six decimals.
+for _name, _spec, _field, _digits in (
+    ("a05_bin_mean_magnitude", bins.BIN_SETS[3], "abs_mag", 6),
+    ("a05_bin_mean_colour", bins.BIN_SETS[4], "color", 10),
 ):
-    query(_name, bins_sql(100, f"round(avg({_field}), 6) AS {_field}", NEAR))(
-        lambda t, spec=_spec: rounded(bins.build(t.stars_large, spec))
+    query(_name, bins_sql(100, f"round(avg({_field}), {_digits}) AS {_field}", NEAR))(
+        lambda t, spec=_spec, digits=_digits: rounded(
+            bins.build(t.stars_large, spec), digits=digits
+        )
     )
 
 SUMMARY_SQL = """SELECT min(n)::double AS lowest, max(n)::double AS highest, round(avg(n), 6) AS mean,

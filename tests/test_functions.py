@@ -1,4 +1,6 @@
 import math
+import random
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pytest
 from pyspark.sql import functions as F
@@ -23,6 +25,26 @@ def test_each_rounding_mode(spark):
     assert values(spark, rounding.number_text, [4.0, 4.25, -2.0]) == ["4", "4.3", "-2"]
 
 
+@pytest.mark.parametrize("digits", [0, 1, 3])
+def test_fast_rounding_equals_decimal_rounding(spark, digits):
+    rnd = random.Random(7)
+    numbers = [rnd.uniform(-10, 10) * 10 ** rnd.randint(-3, 9) for _ in range(300)]
+    halves = [(rnd.randint(-5000, 5000) + 0.5) / 10**digits for _ in range(300)]
+    numbers += halves + [math.nextafter(h, d) for h in halves for d in (-math.inf, math.inf)]
+    numbers += [0.0, -0.0, 1.2 + 0.15, 0.1 + 0.2, 1e15, 12345678901234.25]
+
+    def exact(v):
+        v = Decimal(repr(v)).quantize(Decimal(1).scaleb(-15), ROUND_HALF_UP)
+        return float(v.quantize(Decimal(1).scaleb(-digits), ROUND_HALF_UP))
+
+    with localcontext(prec=60):
+        assert values(spark, lambda c: rounding.half_away(c, digits), numbers) == [
+            exact(v) for v in numbers
+        ]
+    unusable = values(spark, lambda c: rounding.half_away(c, digits), [math.nan, math.inf, None])
+    assert unusable == [None, None, None]
+
+
 def test_distance_has_no_value_for_parallax_zero(spark):
     got = values(spark, astrometry.distance_ly, [1.0, 0.0, None, -1.0])
     assert got[0] == pytest.approx(3261.563777)

@@ -111,9 +111,9 @@ def test_verify_folder(spark, tmp_path):
 def test_published_sets_and_neighbourhood(spark, star_frame, tmp_path):
     rows = [(i, 100.0, float(i), 0.0, 0.0, float(i), 1.0, -4.0) for i in range(1, 400)]
     df = star_frame(rows)
-    publish.write_sets(df, str(tmp_path / "sets"))
+    publish.write_sets(df, str(tmp_path / "sets"), publish.STAR_SETS[:2])
     lines = spark.read.text(str(tmp_path / "sets"))
-    assert lines.select("set_name").distinct().count() == 13
+    assert lines.select("set_name").distinct().count() == 2
     assert lines.filter("set_name = 'snr20-dist5000-mag15'").count() == 399
     # No set at all when all are too large.
     assert publish.set_slices(df, limit=10).count() == 0
