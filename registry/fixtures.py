@@ -10,7 +10,6 @@ import re
 from pyspark.sql import functions as F
 
 from starloom import schemas
-from starloom.functions.text import array_text
 from starloom.plans.stars import derived, ingested, merged
 from starloom.session import staging_path
 from starloom.sources.tables import star_table
@@ -303,7 +302,3 @@ def write_pages(lines, path):
     return write_text_files(
         lines.select("page", "n", "line").unionByName(heading), path, file_column="page"
     )
-
-
-def array_line(*columns):
-    return array_text([F.col(c) for c in columns])

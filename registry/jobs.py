@@ -20,9 +20,9 @@ from registry.relations import (
 )
 from registry.scalars import SETS_SQL, places, rounded
 from starloom import schemas
-from starloom.operators import bins, filters
+from starloom.operators import bins
 from starloom.plans import objects, publish, worklist
-from starloom.plans.stars import ingest, load, loadable
+from starloom.plans.stars import ingest, load
 from starloom.streaming import arrivals
 
 FILTERED_SQL = ", ".join(schemas.FILTERED_COLUMNS)

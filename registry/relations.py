@@ -1,13 +1,11 @@
 """Scans, sinks, joins, aggregations, windows, sorts and set operations."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from registry.core import LY, fixed_text_sql, query
 from registry.fixtures import write_pages, write_source_files, write_text_files
 from registry.scalars import (
-    ARRAY_TEXT,
     BRIGHT,
     CUT_SQL,
     GOOD,
@@ -18,11 +16,11 @@ from registry.scalars import (
     rounded,
 )
 from starloom import fixed, schemas
-from starloom.functions.astrometry import signal_to_noise
-from starloom.functions.rounding import fixed_text
-from starloom.operators import bins, catalogues, filters, grid, loads, ranking, regions, sets
+from starloom.functions.astrometry import radius
+from starloom.functions.text import open_cluster_fields
+from starloom.operators import bins, catalogues, grid, loads, ranking, regions, sets
 from starloom.plans import objects, publish, worklist
-from starloom.plans.stars import derived, ingested
+from starloom.plans.stars import derived
 from starloom.sinks import arrays as array_sinks
 from starloom.sinks import tables as table_sinks
 from starloom.sources import manifests, pages, tables
@@ -819,8 +817,6 @@ def _(t):
 
 @query("a16_farthest", "SELECT round(max(sqrt(x * x + y * y + z * z)), 6) AS farthest FROM t_stars_large")
 def _(t):
-    from starloom.functions.astrometry import radius
-
     return t.stars_large.agg(F.round(F.max(radius()), 6).alias("farthest"))
 
 
@@ -963,8 +959,6 @@ UNION ALL SELECT CASE WHEN regexp_full_match(kpc_text, '\\d+\\.\\d{3}') THEN kpc
  ELSE round(kpc_text::double * 1000, 0) END, ra_text, dec_text, name || ' (gc)' FROM t_page_lines""",
 )
 def _(t):
-    from starloom.functions.text import open_cluster_fields
-
     lines = t.fixture("page_lines")
     opened = lines.select(open_cluster_fields("open_line").alias("f")).select(
         F.col("f.dist_text").cast("double").alias("dist_pc"), "f.ra_text", "f.dec_text", "f.name"

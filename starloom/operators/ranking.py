@@ -35,13 +35,6 @@ def arrange(df, *order, label="arranged"):
     return staged(laid, label)
 
 
-def _null_safe(left, right, names):
-    condition = F.lit(True)
-    for n in names:
-        condition = condition & left[n].eqNullSafe(right[n])
-    return condition
-
-
 def _attach(rows, blocks, by):
     """Joins one row per (group, partition) back to the rows."""
     blocks = blocks.withColumnsRenamed({n: f"_b{n}" for n in (*by, PART)})
