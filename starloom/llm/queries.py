@@ -4,7 +4,11 @@ Each takes (spark, folder of the tables) and applies one operator, with producti
 parameters, to its whole table.
 """
 
-from starloom.llm import licenses
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from starloom.llm import bpe, licenses, token_planes
+from starloom.session import staging_path
 
 QUERIES, ORACLE = {}, {}
 
@@ -18,6 +22,26 @@ def table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer():
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op2_bpe_round_trip(spark, folder):
+    """Ids of all documents and the text that they decode to."""
+    done = bpe.encoded(table(spark, folder, "documents").select("doc_id", "text"), tokenizer(), decode=True)
+    return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query
+def op3_token_planes(spark, folder):
+    """Ids of all documents, written as bit planes and read back."""
+    path = staging_path(spark, "planes")
+    token_planes.written(table(spark, folder, "documents"), path, tokenizer(), end_id=2)
+    return token_planes.digests(spark, path).withColumnRenamed("key", "doc_id")
+
+
 @query
 def op5_license_scan(spark, folder):
     """License rules over all documents."""
