@@ -4,18 +4,26 @@ Each takes (spark, folder of the tables) and applies one operator, with producti
 parameters, to its whole table.
 """
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, licenses, token_planes
+from starloom.llm import bpe, licenses, token_planes, top_k, url_filter
+from starloom.llm.shipping import ship
 from starloom.session import staging_path
 
 QUERIES, ORACLE = {}, {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark, folder):
+        ship(spark)
+        return fn(spark, folder)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def table(spark, folder, name):
@@ -46,3 +54,64 @@ def op3_token_planes(spark, folder):
 def op5_license_scan(spark, folder):
     """License rules over all documents."""
     return licenses.scan(table(spark, folder, "documents")).select("doc_id", *licenses.RESULT)
+
+
+# The rules of the check, and hosts that are blocked wherever no rule fits.
+URL_RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
+             ("net/es/", "block"), ("net/fr/", "block"))
+BLOCKED_NAMES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+BLOCKED_HOSTS = tuple(f"{name}.example.{end}" for name in BLOCKED_NAMES for end in ("com", "net", "org"))
+
+
+@query
+def op8_url_filter(spark, folder):
+    """Rules and a list of blocked hosts over the urls of all pages."""
+    rules = spark.createDataFrame(URL_RULES, "entry string, verdict string")
+    listed = spark.createDataFrame([(f"{h}/", "block") for h in BLOCKED_HOSTS], "entry string, verdict string")
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return url_filter.judged(pages, rules, listed).select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLE["op8_url_filter"] = f"""
+WITH parts AS (
+  SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+split AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM parts),
+rules(rule, verdict) AS (VALUES {", ".join(f"('{r}', '{v}')" for r, v in URL_RULES)}),
+cut AS (SELECT rule, verdict, substr(rule, 1, strpos(rule, '/') - 1) AS rhost, substr(rule, strpos(rule, '/')) AS rpath FROM rules),
+keyed AS (SELECT *, row_number() OVER () AS k FROM split),
+fit AS (
+  SELECT k, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+  FROM keyed JOIN cut ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+  GROUP BY k),
+blocked(name) AS (VALUES {", ".join(f"('{h}')" for h in BLOCKED_HOSTS)}),
+listed AS (
+  SELECT DISTINCT k FROM keyed JOIN blocked ON (host = name OR ends_with(host, '.' || name)) AND starts_with(path, '/'))
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, fit.rule AS rule,
+       CASE WHEN fit.verdict IS NOT NULL THEN fit.verdict WHEN listed.k IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM keyed LEFT JOIN fit USING (k) LEFT JOIN listed USING (k)
+"""
+
+
+@query
+def op7_top_k(spark, folder):
+    """The ten best inner products of every hundredth vector among all others."""
+    vectors = top_k.integer_vectors(table(spark, folder, "embeddings"), "vec_id", "embedding")
+    return top_k.top_k(vectors, vectors.filter("id % 100 = 0"))
+
+
+ORACLE["op7_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+  FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
