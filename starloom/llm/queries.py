@@ -9,7 +9,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, licenses, token_planes, top_k, url_filter
+from starloom.llm import bpe, language_net, licenses, quality_ranker, token_planes, top_k, url_filter
 from starloom.llm.shipping import ship
 from starloom.session import staging_path
 
@@ -115,3 +115,26 @@ ranked AS (
   FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+
+def held_out(key="doc_id"):
+    return F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0
+
+
+@query
+def op1_quality_ranker(spark, folder):
+    """Quality of all documents, learned from the labels that aren't held out."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").filter(~held_out())
+    ranker = quality_ranker.fit(documents, labels)
+    return quality_ranker.scored(documents, ranker).select(
+        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query
+def op9_language_net(spark, folder):
+    """Language of all documents, learned from those that aren't held out."""
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    net = language_net.fit(documents.filter(~held_out()))
+    return language_net.predicted(documents.select("doc_id", "text"), net).select(
+        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score")
