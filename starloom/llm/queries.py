@@ -9,7 +9,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, language_net, licenses, quality_ranker, token_planes, top_k, url_filter
+from starloom.llm import bpe, decontamination, language_net, licenses, line_dedup, quality_ranker, token_planes, top_k, url_filter
 from starloom.llm.shipping import ship
 from starloom.session import staging_path
 
@@ -138,3 +138,16 @@ def op9_language_net(spark, folder):
     net = language_net.fit(documents.filter(~held_out()))
     return language_net.predicted(documents.select("doc_id", "text"), net).select(
         "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_line_dedup(spark, folder):
+    """All documents without the blocks of lines that an earlier document has."""
+    rows = table(spark, folder, "documents").select("doc_id", "text")
+    return line_dedup.deduplicated(rows).select("doc_id", "text", "n_lines", "n_deleted", "sources")
+
+
+@query
+def op6_decontamination(spark, folder):
+    """The benchmark items that all documents hold, with word edits."""
+    return decontamination.passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
