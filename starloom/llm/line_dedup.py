@@ -179,15 +179,15 @@ def deduplicated(df, key="doc_id", text="text", min_words=MIN_WORDS):
     """
     names = ("n_lines", "n_deleted", "sources")
     rows = _identified(df.select([F.col(f"`{c}`") for c in df.columns if c not in names]), key, text)
-    cut = cuts(df, key, text, min_words).select(F.col("rank").alias("__rank"), F.col("sig").alias("__sig"), "cut", "sources")
+    cut = cuts(df, key, text, min_words).select(F.col("rank").alias("__rank"), F.col("sig").alias("__sig"), F.col("cut").alias("__cut"), F.col("sources").alias("__sources"))
     body = F.split(F.col(f"`{text}`"), "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(body) - 1), F.col("cut"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(body) - 1), F.col("__cut"))
     shorter = F.array_join(F.transform(kept, lambda i: F.get(body, i)), "\n")
     joined = rows.join(cut, ["__rank", "__sig"], "left")
     return joined.select(
-        *[F.when(F.col("cut").isNull(), F.col(f"`{c}`")).otherwise(shorter).alias(c) if c == text else F.col(f"`{c}`")
+        *[F.when(F.col("__cut").isNull(), F.col(f"`{c}`")).otherwise(shorter).alias(c) if c == text else F.col(f"`{c}`")
           for c in rows.columns if c not in ("__rank", "__sig")],
         F.when(F.col(f"`{text}`").isNull(), 0).otherwise(F.size(body)).alias("n_lines"),
-        F.coalesce(F.size("cut"), F.lit(0)).alias("n_deleted"),
-        F.coalesce("sources", F.array().cast("array<bigint>")).alias("sources"),
+        F.coalesce(F.size("__cut"), F.lit(0)).alias("n_deleted"),
+        F.coalesce("__sources", F.array().cast("array<bigint>")).alias("sources"),
     )

@@ -9,7 +9,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, decontamination, language_net, licenses, line_dedup, quality_ranker, token_planes, top_k, url_filter
+from starloom.llm import bpe, decontamination, language_net, licenses, line_dedup, ngram_join, quality_ranker, token_planes, top_k, url_filter
 from starloom.llm.shipping import ship
 from starloom.session import staging_path
 
@@ -151,3 +151,10 @@ def op10_line_dedup(spark, folder):
 def op6_decontamination(spark, folder):
     """The benchmark items that all documents hold, with word edits."""
     return decontamination.passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op4_ngram_join(spark, folder):
+    """Groups of near-duplicate documents."""
+    found = ngram_join.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")

@@ -182,7 +182,8 @@ def judged(df, rules, listed, url="url"):
     Both lists have the columns entry and verdict. A url that no rule fits is judged by
     the second list, and allowed if it isn't in there either.
     """
-    ruled = looked_up(df, rules, url).withColumnRenamed("entry", "rule").withColumnRenamed("listed", "__by_rule")
+    plain = df.select([F.col(f"`{c}`") for c in df.columns if c not in ("rule", "verdict")])
+    ruled = looked_up(plain, rules, url).withColumnRenamed("entry", "rule").withColumnRenamed("listed", "__by_rule")
     both = looked_up(ruled, listed, url)
     verdict = F.coalesce("__by_rule", "listed", F.lit("allow"))
     return both.withColumn("verdict", verdict).drop("entry", "listed", "__by_rule")
