@@ -9,9 +9,9 @@ both, from the number of sets of each size, is least.
 
 The order puts shingles that very many sets hold last, so that passages which many
 documents share don't bring their documents together. Equal sets are one node. Groups
-of near copies are linked without all their pairs: neighbours within an inverted list
-are verified first, and then only sets that are still in different components; every
-pair that shares a list and isn't joined by then is verified.
+of near copies are linked without all their pairs: neighbours within many lists are
+verified first, and then only sets that are still in different components: every pair
+of them that shares as many lists as alike sets of their sizes must is verified.
 
 Shingles are 64-bit digests, and so are the sets; the rest is exact.
 """
@@ -33,7 +33,7 @@ SHINGLE = 5
 PERCENT = 75
 MOST_LIGHT = 12
 VERIFY_COST = 6  # of a posting and its verification, against one of a subset
-FREQUENT = 64
+FREQUENT = 8
 MOST_FREQUENT = 1_000_000
 FILTER_BITS = 26  # the filter of documents to verify has 2^26 bits: 8 MB
 NO_KEY = -(2**63)
@@ -74,8 +74,9 @@ def sizes_near(n, percent=PERCENT):
     return range(-(-percent * n // 100), 100 * n // percent + 1)
 
 
-def subset_sizes(n, percent=PERCENT):
-    return sorted({overlap_of(n, b, percent) for b in sizes_near(n, percent) if overlap_of(n, b, percent) <= min(n, b)})
+def partners(n, percent=PERCENT):
+    """The sizes that a set of n can be alike to, and how many shingles they then share."""
+    return [(b, overlap_of(n, b, percent)) for b in sizes_near(n, percent) if overlap_of(n, b, percent) <= min(n, b)]
 
 
 def front(n, percent=PERCENT):
@@ -93,7 +94,7 @@ def boundary(counts, percent=PERCENT):
     from math import comb
 
     def cost(x):
-        light = sum(c * sum(comb(n, k) for k in subset_sizes(n, percent)) for n, c in counts.items() if n <= x)
+        light = sum(c * sum(comb(n, k) for b, k in partners(n, percent) if b <= x) for n, c in counts.items() if n <= x)
         heavy = sum(c * VERIFY_COST * front(n, percent) for n, c in counts.items() if n > -(-percent * (x + 1) // 100) - 1)
         return light + heavy
 
@@ -127,22 +128,35 @@ def described(df, key, text, percent):
 
 
 def light_links(sets, light, percent):
-    """Links of light sets: equal subsets lead to the first set that has them."""
+    """Links of light sets through the subsets that they must share.
+
+    A subset is enumerated for each pair of sizes. Sets of the two sizes that meet in it
+    are alike; so each set is linked to the first one of the other size that has it.
+    """
     def run(batches):
         for batch in batches:
-            keys, owners = [], []
+            keys, owners, sides = [], [], []
             for sig, first in zip(*(c.to_pylist() for c in batch.columns)):
-                for k in subset_sizes(len(first), percent):
+                n = len(first)
+                for other, k in partners(n, percent):
+                    if other > light:
+                        continue
+                    side, seed = (n > other) - (n < other), min(n, other) << 8 | max(n, other)
                     for chosen in combinations(sorted(first), k):
-                        keys.append(xxhash.xxh3_64_intdigest(np.array(chosen, np.int64).tobytes(), k) - 2**63)
+                        keys.append(xxhash.xxh3_64_intdigest(np.array(chosen, np.int64).tobytes(), seed) - 2**63)
                         owners.append(sig)
-            yield _batch((keys, owners), (pa.int64(), pa.int64()), ["subset", "sig"])
+                        sides.append(side)
+            yield _batch((keys, owners, sides), (pa.int64(), pa.int64(), pa.int32()), ["subset", "sig", "side"])
 
-    rows = sets.filter((F.col("n") > 0) & (F.col("n") <= light)).select("sig", "first").mapInArrow(run, "subset bigint, sig bigint")
-    least = rows.groupBy("subset").agg(F.min("sig").alias("b"), F.max("sig").alias("c")).filter("b < c").select(
-        F.bitwise_not("subset").alias("__subset"), "b")
-    return rows.join(least, F.bitwise_not("subset") == F.col("__subset")).filter("sig <> b").select(
-        F.col("sig").alias("a"), "b").distinct()
+    rows = sets.filter((F.col("n") > 0) & (F.col("n") <= light)).select("sig", "first").mapInArrow(
+        run, "subset bigint, sig bigint, side int")
+    firsts = rows.groupBy("subset").agg(
+        *[F.min(F.when(F.col("side") == side, F.col("sig"))).alias(name) for side, name in ((-1, "small"), (0, "same"), (1, "large"))],
+        F.count("*").alias("n"),
+    ).filter("n > 1").withColumn("subset", F.bitwise_not("subset")).withColumnRenamed("subset", "__subset")
+    first = F.when(F.col("side") == 0, F.col("same")).when(F.col("side") < 0, F.col("large")).otherwise(F.col("small"))
+    return rows.join(firsts, F.bitwise_not("subset") == F.col("__subset")).select(
+        F.col("sig").alias("a"), first.alias("b")).filter("a <> b").distinct()
 
 
 def frequent(described_rows):
@@ -187,12 +201,19 @@ def postings(df, key, text, last, least, percent):
         "shingle", "sig", (F.shiftleft("n", 32) + F.col("rank")).alias("place"))
 
 
-def could_link(a, b, percent):
-    """Whether sets that first meet at these places can share enough; a and b are columns."""
+def sizes_fit(a, b, percent):
+    """Whether sets at these places may be alike by their sizes; a and b are columns."""
     na, nb = F.shiftright(a, 32), F.shiftright(b, 32)
-    ra, rb = a.bitwiseAND(0xFFFFFFFF), b.bitwiseAND(0xFFFFFFFF)
-    return ((100 + percent) * F.least(na - ra, nb - rb) >= percent * (na + nb)) & (
-        100 * F.least(na, nb) >= percent * F.greatest(na, nb))
+    return 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
+
+
+def lists_needed(na, nb, percent):
+    """How many lists two alike sets of these sizes share at least; sizes are columns.
+
+    What they share beyond the fronts lies in the rest of the set whose front ends first.
+    """
+    rest = [F.ceil(percent * n / 100) - 1 for n in (na, nb)]
+    return F.greatest(F.ceil(percent * (na + nb) / (100 + percent)) - F.greatest(*rest), F.lit(1))
 
 
 def shared_postings(rows, percent):
@@ -265,9 +286,29 @@ def unjoined_pairs(lists, roots, light, percent):
     other = mixed.filter("root <> main").select("shingle", F.col("sig").alias("a"), F.col("place").alias("pa"), F.col("root").alias("ra"))
     every = mixed.select("shingle", F.col("sig").alias("b"), F.col("place").alias("pb"), F.col("root").alias("rb"), (F.col("root") == F.col("main")).alias("in_main"))
     met = other.join(every, "shingle").filter(
-        (F.col("ra") != F.col("rb")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & could_link(F.col("pa"), F.col("pb"), percent)
+        (F.col("ra") != F.col("rb")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & sizes_fit(F.col("pa"), F.col("pb"), percent)
         & (F.shiftright(F.greatest("pa", "pb"), 32) > light))
-    return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    counted = met.select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"),
+        F.shiftright(F.greatest("pa", "pb"), 32).alias("na"), F.shiftright(F.least("pa", "pb"), 32).alias("nb"),
+    ).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("lists"))
+    return counted.filter(F.col("lists") >= lists_needed(F.col("na"), F.col("nb"), percent)).select("a", "b")
+
+
+def neighbours(lists, percent):
+    """Pairs of sets that often stand side by side in the lists and so are likely alike."""
+    beside = lists.filter((F.col("before") != F.col("sig")) & sizes_fit(F.col("place"), F.col("before_place"), percent)).select(
+        F.greatest("sig", "before").alias("a"), F.least("sig", "before").alias("b"),
+        F.shiftright("place", 32).alias("na"), F.shiftright("before_place", 32).alias("nb"))
+    # Sizes rise along a list, so na >= nb whichever way the pair is named.
+    counted = beside.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("lists"))
+    return counted.filter(4 * F.col("lists") >= lists_needed(F.col("na"), F.col("nb"), percent)).select("a", "b")
+
+
+def wanted_of(pairs, sets):
+    """rank and body of the documents that stand for the sets of `pairs`."""
+    ends = pairs.select(F.col("a").alias("sig")).unionAll(pairs.select(F.col("b").alias("sig"))).distinct()
+    return ends.join(sets, "sig").select("rep.rank", "rep.body")
 
 
 def near_duplicates(df, key="doc_id", text="text", percent=PERCENT):
@@ -286,16 +327,13 @@ def near_duplicates(df, key="doc_id", text="text", percent=PERCENT):
     least = -(-percent * (light + 1) // 100)
     small = light_links(sets, light, percent)
     lists = staged(shared_postings(postings(df, key, text, frequent(rows), least, percent), percent), "lists")
-    wanted = lists.select("sig").distinct().join(sets, "sig").select("rep.rank", "rep.body")
-    whole = staged(whole_sets(df, key, text, wanted), "whole")
-    beside = lists.filter(F.col("before").isNotNull() & (F.col("before") != F.col("sig"))).filter(
-        could_link(F.col("place"), F.col("before_place"), percent)).select(
-        F.greatest("sig", "before").alias("a"), F.least("sig", "before").alias("b")).distinct()
-    tried = staged(beside, "tried")
+    tried = staged(neighbours(lists, percent), "tried")
+    whole = staged(whole_sets(df, key, text, wanted_of(tried, sets)), "whole")
     links = staged(verified(tried, whole, percent).unionAll(small).distinct(), "first-links")
     roots = components(links)
-    open_pairs = unjoined_pairs(lists, roots, light, percent).join(tried, ["a", "b"], "left_anti")
-    more = staged(verified(open_pairs, whole, percent), "more-links")
+    left = staged(unjoined_pairs(lists, roots, light, percent).join(tried, ["a", "b"], "left_anti"), "left")
+    rest = staged(whole_sets(df, key, text, wanted_of(left, sets)), "whole")
+    more = staged(verified(left, rest, percent), "more-links")
     ended = components(links.unionAll(more).distinct())
     least_key = sets.select("sig", "rep.rank").join(ended.withColumnRenamed("node", "sig"), "sig").groupBy("root").agg(
         F.min(F.when(F.col("rank") != NO_KEY, F.col("rank"))).alias("component"))
