@@ -4,8 +4,8 @@ Vectors become integers. A slab of candidates keeps one list per dimension, sort
 that component; for a query, each list is read from the end where its products are
 largest. What has been read of a candidate, with the best or the worst product that the
 unread part of each list can still hold, gives an upper and a lower bound of its score.
-Candidates whose upper bound is below the k-th lower bound are out; reading stops when
-no unread candidate can qualify and few are left, whose scores are then summed up.
+Candidates whose upper bound is below the k-th best lower bound are out; reading stops
+when few can still qualify, or at the last depth, and their scores are then summed up.
 
 Slabs and groups of queries have a fixed number of rows and meet in a grouped join, so
 a task never holds more than one of each.
@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 
 SLAB_ROWS = 2048
 QUERY_ROWS = 4096
-DEPTHS = (1 / 16, 1 / 8, 3 / 16, 1 / 4, 3 / 8, 1 / 2, 3 / 4, 1)
+DEPTHS = (1 / 2, 5 / 8)  # parts of the lists read before bounds are compared
+FEW = 4  # so many times k candidates are simply summed up
+QUERY_BATCH = 256
 MOST_COMPONENT = 1 << 27
 
 
@@ -51,57 +53,69 @@ def _matrix(column, width):
 
 
 class SortedLists:
-    """One list per dimension over a slab of integer vectors."""
+    """One list per dimension over a slab of integer vectors, read from either end.
+
+    With the lists read to some depth, a candidate's bound is a product of the query
+    with what is known of the candidate: the components that have been read, and for
+    the others the last value read (upper bound) or the end of the list (lower bound).
+    Which end counts depends on the sign of the query's component only, so the bounds
+    of many queries are two matrix products.
+    """
 
     def __init__(self, ids, vectors):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
-        self.up = np.argsort(self.vectors, axis=0, kind="stable").astype(np.int32)
         n = len(ids)
-        rank = np.empty_like(self.up)
-        np.put_along_axis(rank, self.up, np.broadcast_to(np.arange(n, dtype=np.int32)[:, None], rank.shape), axis=0)
-        self.rank = rank
-        self.sorted = np.take_along_axis(self.vectors, self.up, axis=0)
-
-    def best(self, query, k, skip=None):
-        """(ids, scores) of the k largest inner products, ties to smaller ids; `skip` is left out."""
-        n, dims = self.vectors.shape
+        up = np.argsort(self.vectors, axis=0, kind="stable")
+        self.rank = np.empty_like(up)
+        np.put_along_axis(self.rank, up, np.broadcast_to(np.arange(n)[:, None], up.shape), axis=0)
+        self.sorted = np.take_along_axis(self.vectors, up, axis=0)
+
+    def _read_to(self, depth):
+        """Known values with unread ones replaced: for upper and lower bounds, from the high and the low end."""
+        n = len(self.ids)
+        high, low = self.rank >= n - depth, self.rank < depth
+        v, ends = self.vectors, self.sorted
+        return (np.where(high, v, ends[n - depth]).astype(float), np.where(low, v, ends[depth - 1]).astype(float),
+                np.where(high, v, ends[0]).astype(float), np.where(low, v, ends[-1]).astype(float))
+
+    def best(self, queries, skips, k):
+        """For each query (ids, scores) of the k largest inner products, ties to smaller ids.
+
+        `skips` holds for each query the id that is no candidate.
+        """
+        n = len(self.ids)
+        found = [None] * len(queries)
         if not n:
-            return self.ids, np.zeros(0, np.int64)
-        used = np.flatnonzero(query)
-        q = query[used].astype(np.float64)
-        falling = q > 0
-        values = self.sorted[:, used] * q  # products in the order of the lists
-        worst = np.where(falling, values[0], values[-1])
-        alive = np.ones(n, bool)
-        if skip is not None:
-            at = np.searchsorted(self.ids, skip)
-            if at < n and self.ids[at] == skip:
-                alive[at] = False
-        known, left = np.zeros(n), np.flatnonzero(alive)
-        done = 0
-        for part in DEPTHS:
-            if len(left) <= 4 * k or done == n or not len(used):
-                break
-            depth = max(done + 1, int(n * part))
-            # Read each list from its good end, from place `done` to place `depth`.
-            ups, downs = slice(n - depth, n - done), slice(done, depth)
-            for side, mine in ((ups, falling), (downs, ~falling)):
-                if mine.any():
-                    who = self.up[side][:, used[mine]]
-                    known += np.bincount(who.ravel(), values[side][:, mine].ravel(), minlength=n)
-            done = depth
-            last = np.where(falling, values[n - done], values[done - 1])
-            ranks = self.rank[left][:, used]
-            unread = np.where(falling, ranks < n - done, ranks >= done).astype(np.float64)
-            bounds = unread @ np.stack([last, worst], axis=1)
-            upper, lower = known[left] + bounds[:, 0], known[left] + bounds[:, 1]
-            if len(left) > k:
-                least = np.partition(lower, len(lower) - k)[len(lower) - k]
-                left = left[upper >= least]
-        scores = self.vectors[left] @ query
-        order = np.lexsort((self.ids[left], -scores))[:k]
-        return self.ids[left][order], scores[order]
+            return [(self.ids, np.zeros(0, np.int64))] * len(queries)
+        bounds = [self._read_to(max(1, int(n * part))) for part in DEPTHS] if n > FEW * k else []
+        for start in range(0, len(queries), QUERY_BATCH):
+            part = queries[start : start + QUERY_BATCH]
+            rise, fall = np.maximum(part, 0).T.astype(float), np.minimum(part, 0).T.astype(float)
+            slack = 1e-9 * (np.abs(part).sum(axis=1) * max(1, np.abs(self.vectors).max(initial=0)) + 1.0)
+            alive = [np.flatnonzero(self.ids != skip) for skip in skips[start : start + QUERY_BATCH]]
+            wide = list(range(len(part))) if bounds else []
+            for high, low, worst_high, worst_low in bounds:
+                upper = high @ rise[:, wide] + low @ fall[:, wide]
+                lower = worst_high @ rise[:, wide] + worst_low @ fall[:, wide]
+                again = []
+                for column, one in enumerate(wide):
+                    left = alive[one]
+                    most, least = upper[left, column], lower[left, column]
+                    if len(left) > FEW * k:
+                        # The most promising are summed up now: k of them give the bar for all others.
+                        first = left[np.argpartition(-most, FEW * k)[: FEW * k]]
+                        sums = self.vectors[first] @ part[one]
+                        bar = max(np.partition(sums, -k)[-k], np.partition(least, -k)[-k])
+                        alive[one] = left[most >= bar - slack[one]]
+                        if len(alive[one]) > n // 8:
+                            again.append(one)
+                wide = again
+            for one, left in enumerate(alive):
+                scores = self.vectors[left] @ part[one]
+                order = np.lexsort((self.ids[left], -scores))[:k]
+                found[start + one] = (self.ids[left][order], scores[order])
+        return found
 
 
 def top_k(vectors, queries, k=10, slab_rows=SLAB_ROWS, query_rows=QUERY_ROWS):
@@ -127,8 +141,8 @@ def top_k(vectors, queries, k=10, slab_rows=SLAB_ROWS, query_rows=QUERY_ROWS):
         found = ([], [], [])
         if candidates.num_rows and asked.num_rows:
             lists = SortedLists(candidates.column("id").to_numpy(), _matrix(candidates.column("v"), width))
-            for one, query in zip(asked.column("id").to_numpy(), _matrix(asked.column("v"), width)):
-                ids, scores = lists.best(query, k, one)
+            asking = asked.column("id").to_numpy()
+            for one, (ids, scores) in zip(asking, lists.best(_matrix(asked.column("v"), width), asking, k)):
                 found[0].append(np.full(len(ids), one))
                 found[1].append(ids)
                 found[2].append(scores)
