@@ -29,9 +29,20 @@ LOWER = {first + i: lower + i for first, last, lower in NEWER_LOWER for i in ran
 SPECIAL_LOWER = regex.compile("[Σ" + "".join(map(chr, LOWER)) + "]")
 LOWER[ord("Σ")] = ord("σ")
 
+# Characters that are letters or numbers in newer Unicode tables, and symbols to the tokenizer.
+LATER_ASSIGNED = (
+    "0558 058B-058C 088F 0C5C 0CDC 208F 209D-209F A7CE-A7CF A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF 10940-10959 "
+    "10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DDB 11DE0-11DE9 11DF1 1246F 12475-1247F 12550-12686 16EA0-16EB8 "
+    "16EBB-16ED3 16FF2-16FF6 187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191 191A0-191D2 1B123-1B128 "
+    "1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED "
+    "1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F"
+)
+LATER_CLASS = "[" + "".join(
+    "-".join(chr(int(end, 16)) for end in part.split("-")) for part in LATER_ASSIGNED.split()) + "]"
+
 CHUNK_CHARS = 2_000_000
-CACHED_WORDS = 150_000
-CACHED_CHARS = 4_000_000
+CACHED_WORDS = 300_000
+CACHED_PIECES = 300_000
 
 
 def byte_symbols():
@@ -61,7 +72,11 @@ class Vocabulary:
         self.longest_inner = max(map(len, self.inner))
         self.longest_final = max(map(len, self.final))
         steps = spec["pre_tokenizer"]["pretokenizers"]
-        self.words = regex.compile(steps[0]["pattern"]["Regex"])
+        pattern = steps[0]["pattern"]["Regex"]
+        self._ascii_words = regex.compile(pattern).findall
+        for kind in (r"\p{L}", r"\p{N}"):
+            pattern = pattern.replace(kind, f"[{kind}--{LATER_CLASS}]")
+        self._any_words = regex.compile("(?V1)" + pattern).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")") if self.added else None
         self.symbols = byte_symbols()
         self._own, self._pairs = {}, {}
@@ -125,20 +140,24 @@ class Vocabulary:
         return found
 
     def split(self, text):
-        """The words of a text as (word or None, id of an added token or None)."""
+        """The parts of a text as (pieces, None) or (None, id of an added token).
+
+        Pieces are in the form that words are cut from; no word goes beyond one.
+        """
         if self.cut is None or "<" not in text:
-            return [(self._words(text), None)]
-        out = []
-        for part in self.cut.split(text):
-            out.append((None, self.added[part]) if part in self.added else (self._words(part), None))
-        return out
+            return [(self._pieces(text), None)]
+        return [(None, self.added[part]) if part in self.added else (self._pieces(part), None)
+                for part in self.cut.split(text)]
+
+    def cut_words(self, piece):
+        return self._ascii_words(piece) if piece.isascii() else self._any_words(piece)
 
-    def _words(self, text):
+    def _pieces(self, text):
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
             if SPECIAL_LOWER.search(text):
                 text = text.translate(LOWER)
-        return self.words.findall(text.lower())
+        return text.lower().replace("\n", " ").split(" ")
 
 
 @lru_cache(maxsize=2)
@@ -146,37 +165,41 @@ def vocabulary(path):
     return Vocabulary(path)
 
 
-class Encoder:
-    """Encodes texts chunk by chunk; remembers the encodings of a bounded number of words."""
+class CachedEncoder:
+    """Encodes texts; remembers the ids of a bounded number of words and pieces between spaces."""
 
     def __init__(self, path):
         self.vocabulary = vocabulary(path)
-        self.known, self.known_chars = {}, 0
+        self.words, self.pieces = {}, {}
 
-    def _learn(self, words):
-        new = words - self.known.keys()
-        if len(self.known) + len(new) > CACHED_WORDS or self.known_chars > CACHED_CHARS:
-            self.known, self.known_chars, new = {}, 0, words
-        symbols = self.vocabulary.symbols
-        as_symbols = {w if w.isascii() and w.isalpha() else "".join([symbols[b] for b in w.encode("utf-8", "replace")]): w for w in new}
-        for name, ids in self.vocabulary.encode_words(as_symbols).items():
-            self.known[as_symbols[name]] = b"".join([i.to_bytes(4, "little") for i in ids])
-            self.known_chars += len(name)
+    def encode_words(self, words):
+        """{word: ids as bytes} of distinct words."""
+        raise NotImplementedError
+
+    def _learn(self, pieces):
+        new = pieces - self.pieces.keys()
+        if len(self.pieces) + len(new) > CACHED_PIECES:  # only what this chunk needs stays
+            self.pieces = {p: self.pieces[p] for p in pieces if p in self.pieces}
+        cut = self.vocabulary.cut_words
+        parts = {p: cut(p) for p in new}
+        words = set().union(*parts.values()) if parts else set()
+        missing = words - self.words.keys()
+        if len(self.words) + len(missing) > CACHED_WORDS:
+            self.words = {w: self.words[w] for w in words if w in self.words}
+        if missing:
+            self.words.update(self.encode_words(missing))
+        known = self.words
+        self.pieces.update({p: b"".join([known[w] for w in ws]) for p, ws in parts.items()})
 
     def encode(self, texts):
         """Ids of each text as little-endian unsigned 32-bit integers, one after the other."""
         split = [self.vocabulary.split(t or "") for t in texts]
-        distinct = set()
-        for parts in split:
-            for words, _ in parts:
-                if words:
-                    distinct.update(words)
-        self._learn(distinct)
-        known = self.known
+        self._learn({p for parts in split for pieces, _ in parts for p in pieces or ()})
+        known = self.pieces
         return [
             b"".join([
-                token.to_bytes(4, "little") if words is None else b"".join([known[w] for w in words])
-                for words, token in parts
+                token.to_bytes(4, "little") if pieces is None else b"".join([known[p] for p in pieces])
+                for pieces, token in parts
             ])
             for parts in split
         ]
@@ -187,6 +210,22 @@ class Encoder:
         return " ".join([names[i] for i in memoryview(ids).cast("I").tolist()])
 
 
+class Encoder(CachedEncoder):
+    """Encodes new words by the walk over their shared prefixes."""
+
+    def encode_words(self, words):
+        symbols = self.vocabulary.symbols
+        named = {w if w.isascii() and w.isprintable() else "".join([symbols[b] for b in w.encode("utf-8", "replace")]): w for w in words}
+        return {named[name]: b"".join([i.to_bytes(4, "little") for i in ids])
+                for name, ids in self.vocabulary.encode_words(named).items()}
+
+
+@lru_cache(maxsize=1)
+def encoder(path):
+    """The encoder of this worker process; its caches serve task after task."""
+    return Encoder(path)
+
+
 def chunks(batch, column, most=CHUNK_CHARS):
     """Slices of a batch whose texts hold about `most` characters, or one row."""
     texts, start, size = batch.column(column).to_pylist(), 0, 0
@@ -215,13 +254,13 @@ def encoded(df, path, text="text", decode=False):
         out = out.add("decoded", "string")
 
     def run(batches):
-        encoder = Encoder(path)
+        coder = encoder(path)
         for batch in batches:
             for part, texts in chunks(batch, text):
-                ids = encoder.encode(texts)
+                ids = coder.encode(texts)
                 columns = [*part.columns, pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
                 if decode:
-                    columns.append(pa.array([encoder.decode(x) for x in ids], pa.string()))
+                    columns.append(pa.array([coder.decode(x) for x in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=out.names)
 
     return rows.mapInArrow(run, out)
@@ -233,9 +272,9 @@ def decoded(df, path, ids="ids"):
     out = T.StructType(list(rows.schema.fields)).add("decoded", "string")
 
     def run(batches):
-        encoder = Encoder(path)
+        coder = encoder(path)
         for batch in batches:
-            texts = [encoder.decode(x or b"") for x in batch.column(ids).to_pylist()]
+            texts = [coder.decode(x or b"") for x in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=out.names)
 
     return rows.mapInArrow(run, out)

@@ -24,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.bpe import chunks, vocabulary
+from starloom.llm.bpe import CachedEncoder, chunks
 
 HEAD = struct.Struct("<4sBBIQ")
 CHUNKS = T.StructType(
@@ -39,7 +39,6 @@ CHUNKS = T.StructType(
 )
 BLOCK_IDS = 16_384
 CHUNK_IDS = 262_144
-CACHED_WORDS = 200_000
 
 
 def pack(ids, block_ids=BLOCK_IDS, unit="bit", level=1):
@@ -101,44 +100,35 @@ def _library(path):
     return Tokenizer.from_file(path)
 
 
-class LibraryEncoder:
-    """Ids by the tokenizers library, which sees each distinct word of a task once.
+class LibraryEncoder(CachedEncoder):
+    """Ids by the tokenizers library, which sees each new word of a chunk once.
 
-    The distinct words go to the library in one string; each word's ids end with a
-    token that closes a word, and so are told apart.
+    The words go to the library in one string; each word's ids end with a token that
+    closes a word, and so are told apart.
     """
 
     def __init__(self, path):
-        self.vocabulary, self.library, self.known = vocabulary(path), _library(path), {}
+        super().__init__(path)
+        self.library = _library(path)
         self.closes = np.array([n.endswith(self.vocabulary.suffix) for n in self.vocabulary.names])
 
-    def _learn(self, words):
-        new = list(words - self.known.keys())
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known, new = {}, list(words)
-        if not new:
-            return
-        coded = self.library.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids
-        ids = np.array(coded, "<u4")
+    def encode_words(self, words):
+        new = list(words)
+        ids = np.array(self.library.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.closes[ids]) + 1
         if len(ends) != len(new):
             raise ValueError("the library cuts words differently")
-        data, start = ids.tobytes(), 0
+        data, found, start = ids.tobytes(), {}, 0
         for word, end in zip(new, (4 * ends).tolist()):
-            self.known[word] = data[start:end]
+            found[word] = data[start:end]
             start = end
+        return found
 
-    def encode(self, texts):
-        split = [self.vocabulary.split(t or "") for t in texts]
-        self._learn({w for parts in split for words, _ in parts for w in words or ()})
-        known = self.known
-        return [
-            b"".join([
-                token.to_bytes(4, "little") if words is None else b"".join([known[w] for w in words])
-                for words, token in parts
-            ])
-            for parts in split
-        ]
+
+@lru_cache(maxsize=1)
+def library_encoder(path):
+    """The encoder of this worker process; its cache serves task after task."""
+    return LibraryEncoder(path)
 
 
 def written(df, path, tokenizer, end_id=None, key="doc_id", text="text", unit="bit",
@@ -153,7 +143,7 @@ def written(df, path, tokenizer, end_id=None, key="doc_id", text="text", unit="b
     tail = b"" if end_id is None else int(end_id).to_bytes(4, "little")
 
     def run(batches):
-        encoder, shard, number = LibraryEncoder(tokenizer), TaskContext.get().partitionId(), 0
+        encoder, shard, number = library_encoder(tokenizer), TaskContext.get().partitionId(), 0
         keys, parts, held = [], [], 0
 
         def chunk():
