@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm import bpe, decontamination, line_dedup, ngram_join, quality_ranker
 from starloom.llm.shipping import ship
-from starloom.session import staged
+from starloom.session import staging, staging_path
 
 
 def keep_quality(spark, docs, sf_dir):
@@ -67,8 +67,15 @@ ORACLE_SQL = None  # no stage but the last can be told in SQL; tests hold each a
 
 
 def run(spark, sf_dir):
-    """The stages one after the other; each result is staged in the shared folder."""
+    """The stages one after the other; each result is written to the shared folder.
+
+    What a stage stages for itself goes when it is done; the stages' own results stay
+    until the session ends, so that a lost executor costs one stage at most.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = staging_path(spark, name.replace(" ", "-"))
+        with staging(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
