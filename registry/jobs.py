@@ -77,13 +77,12 @@ SET_SLICES = SLICE_SQL.replace("SELECT slice,", "SELECT set_name, slice,", 1)
 SET_SLICES = SET_SLICES.replace("GROUP BY slice", "GROUP BY set_name, slice")
 SET_SLICES = SET_SLICES.replace("OVER (ORDER BY dist, x", "OVER (PARTITION BY set_name ORDER BY dist, x")
 SET_SLICES = SET_SLICES.replace("count(*) OVER ()", "count(*) OVER (PARTITION BY set_name)")
-SUITABLE = f"""(SELECT * FROM ({published_sql(f"({SETS_SQL.format(source='t_stars')}) m", "set_name, source_id")}) s
- WHERE set_name IN (SELECT set_name FROM ({SETS_SQL.format(source='t_stars')}) g GROUP BY set_name HAVING count(*) <= 6000)) p"""
+ALL_SETS = f"({published_sql(f"({SETS_SQL.format(source='t_stars')}) m", 'set_name, source_id')}) p"
 
 
-@query("c03_set_export", SET_SLICES.format(source=SUITABLE))
+@query("c03_set_export", SET_SLICES.format(source=ALL_SETS))
 def _(t):
-    return slice_report(publish.set_slices(t.stars, limit=6000), "set_name")
+    return slice_report(publish.set_slices(t.stars), "set_name")
 
 
 @query(

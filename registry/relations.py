@@ -564,13 +564,35 @@ def _(t):
 
 @query("j08_within_boxes_by_shuffle", INSIDE_SQL)
 def _(t):
-    # As for a list too long to broadcast, with hot cells spread from 50 stars on.
-    found = regions.within_any(
-        t.stars, regions.boxes(places(t)), few=0, many=0, hot_rows=50, share=1, salts=4
-    )
+    # As for a list too long to broadcast.
+    found = regions.within_any(t.stars, regions.boxes(places(t)), few=0, many=0)
+    return rounded(found.select("source_id", "dist"))
+
+
+INSIDE_TWICE_SQL = """SELECT source_id, round(dist, 6) AS dist
+FROM (SELECT source_id, dist, x, y, z FROM t_stars UNION ALL SELECT -7, dist, x, y, z FROM t_stars
+ UNION ALL SELECT NULL, dist, x, y, z FROM t_stars) s WHERE EXISTS (SELECT 1 FROM t_boxes b
+WHERE s.x > lo_x AND s.x < hi_x AND s.y > lo_y AND s.y < hi_y AND s.z > lo_z AND s.z < hi_z)"""
+
+
+def _with_repeated_keys(t, **route):
+    """Each star also under one key that all share, and without a key: none may get lost."""
+    stars = t.stars.select("source_id", "dist", "x", "y", "z")
+    keys = F.explode(F.array("source_id", F.lit(-7).cast("long"), F.lit(None).cast("long")))
+    found = regions.within_any(stars.withColumn("source_id", keys), regions.boxes(places(t)), **route)
     return rounded(found.select("source_id", "dist"))
 
 
+@query("j08_repeated_keys_by_lookup", INSIDE_TWICE_SQL)
+def _(t):
+    return _with_repeated_keys(t)
+
+
+@query("j08_repeated_keys_by_shuffle", INSIDE_TWICE_SQL)
+def _(t):
+    return _with_repeated_keys(t, few=0, many=0)
+
+
 @query(
     "j09_distance_matrix",
     """SELECT CAST(a.n AS INTEGER) AS p, CAST(b.n AS INTEGER) AS q, CASE WHEN b.n = 0 OR a.n = b.n THEN 0

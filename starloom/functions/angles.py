@@ -20,7 +20,8 @@ def _part(text, pattern, group):
 
 def _seconds(text, mark):
     # The unit mark may stand before the decimal point, as in 03s.4 or 43″.73.
-    return F.coalesce(F.replace(text, F.lit(mark), F.lit("")).try_cast("double"), F.lit(0.0))
+    # No seconds are 0; seconds that can't be read make the whole text unreadable.
+    return F.when(text == "", 0.0).otherwise(F.replace(text, F.lit(mark), F.lit("")).try_cast("double"))
 
 
 def _settle(value, on_error):

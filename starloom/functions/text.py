@@ -8,7 +8,7 @@ from starloom.functions.rounding import col
 # A table line: name, hour angle, declination, and the rest of the line.
 LINE = r"^\s+(\S.*?)\s+(\d+\^h[^|]*?\^{hours})\s+(\S?\d+°\s*\d+[^|]*?{degrees})\s(.*)$"
 LAST_NUMBER = r"(\d[\d.]*)\D*$"
-THOUSANDS = r"(\d{1,3}(?:,\d{3})+|\d{2,})\s"
+THOUSANDS = r"(?<![\d.,])(\d{1,3}(?:,\d{3})+|\d{2,})\s"
 
 
 def cut_decimals(text):

@@ -14,33 +14,20 @@ from starloom.functions.text import (
 )
 from starloom.operators.filters import identifier_kind, listed_under
 from starloom.operators.loads import one_per_key
-from starloom.operators.ranking import arrange, positions
 from starloom.operators.sets import published
 from starloom.operators.sizing import fits, small
 from starloom.session import staged
 
 SEPARATOR = " / "
-PIECE = 10_000
 
 
-def joined_text(df, keys, order, value, name, separator=SEPARATOR, piece=PIECE):
-    """Texts of each key joined in order, as (keys, part, name).
+def joined_text(df, keys, order, value, name, separator=SEPARATOR):
+    """Texts of each key joined in order, as (keys, name): one row per key.
 
-    No group ever holds more than `piece` texts: if a key has more, its text
-    comes in several rows, numbered by `part`, which joined in order are the
-    whole. Usually every key has the one part 0.
+    The joined text is one value, and so is as large as the key's texts together.
     """
-    rows = df.select(*keys, *order, value)
-    most = rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if most <= piece:
-        rows = rows.withColumn("part", F.lit(0))
-    else:
-        placed = positions(arrange(rows, *keys, *order, label="texts"), keys)
-        rows = placed.withColumn("part", F.floor(F.col("position") / piece).cast("int"))
     listed = F.array_sort(F.collect_list(F.struct(*order, value)))
-    return rows.groupBy(*keys, "part").agg(
-        F.array_join(F.transform(listed, lambda s: s[value]), separator).alias(name)
-    )
+    return df.groupBy(*keys).agg(F.array_join(F.transform(listed, lambda s: s[value]), separator).alias(name))
 
 
 def numbered(names):
@@ -79,7 +66,7 @@ def objects(identifiers):
 
 
 def object_names(identifiers):
-    """The names of each object in order, as (oid, part, name)."""
+    """The names of each object in order, as (oid, name)."""
     named = parsed_identifiers(identifiers).filter(F.col("name").isNotNull())
     return joined_text(named, ["oid"], ["pos"], "name", "name")
 
@@ -98,11 +85,11 @@ def objects_by_source(found):
 
 
 def label_keys(list_labels, object_labels, keep_duplicates=False):
-    """Both lists of (hip, part, name); by default a number in the first hides the second."""
-    second = object_labels.select("hip", "part", "name")
+    """Both lists of (hip, name); by default a number in the first hides the second."""
+    second = object_labels.select("hip", "name")
     if not keep_duplicates:
         second = second.join(list_labels.select("hip").distinct(), "hip", "left_anti")
-    return list_labels.select("hip", "part", "name", F.lit("list").alias("origin")).unionByName(
+    return list_labels.select("hip", "name", F.lit("list").alias("origin")).unionByName(
         second.withColumn("origin", F.lit("identifier"))
     )
 

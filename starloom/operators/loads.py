@@ -75,6 +75,13 @@ def file_presence(filtered, table, file_column, key="source_id"):
     )
 
 
+def whole_files(filtered, table, file_column):
+    """Files of which the table holds as many rows as there are."""
+    want = filtered.groupBy(file_column).agg(F.count("*").alias("rows"))
+    have = table.groupBy(file_column).agg(F.count("*").alias("rows"))
+    return want.join(have, [file_column, "rows"], "left_semi").select(file_column)
+
+
 def rows_per_file(filtered, file_column):
     """Rows of every file and the running total over files in name order."""
     sizes = filtered.groupBy(file_column).agg(F.count("*").alias("rows"))

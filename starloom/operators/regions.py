@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from starloom import fixed
 from starloom.operators.sizing import ROWS, fits
-from starloom.operators.skew import salted_join
 from starloom.session import staged
 
 AXES = ("x", "y", "z")
@@ -44,8 +43,8 @@ def _of(alias):
     return lambda name: F.col(f"{alias}.{name}")
 
 
-def within_any(stars, box_list, key="source_id", few=FEW_BOXES, many=ROWS, **skew):
-    """Stars strictly inside at least one box, each once.
+def within_any(stars, box_list, few=FEW_BOXES, many=ROWS):
+    """Stars strictly inside at least one box, each as often as it is in the table.
 
     Every star is tested against a handful of boxes directly. A longer list is
     laid out on a grid of cells, so that a star only meets the boxes of its own
@@ -66,7 +65,7 @@ def within_any(stars, box_list, key="source_id", few=FEW_BOXES, many=ROWS, **ske
         return stars.limit(0)
     if fits(cells, rows=many):
         return _by_lookup(stars, cells, levels)
-    return _by_shuffle(stars, cells, levels, key, **skew)
+    return _by_shuffle(stars, cells, levels)
 
 
 def _cell(v, level, finest=FINEST_CELL):
@@ -107,21 +106,20 @@ def _by_lookup(stars, cells, levels):
     return stars.alias("s").where(reduce(or_, tests)).select("s.*")
 
 
-def _by_shuffle(stars, cells, levels, key, **skew):
-    """A star looks up one cell per level in a join by cell; hot cells are salted."""
-    probes = stars.withColumn("level", F.explode(F.array(*[F.lit(v) for v in levels])))
-    probes = probes.withColumns({f"c{a}": _cell(F.col(a), F.col("level")) for a in AXES})
+def _by_shuffle(stars, cells, levels):
+    """A star looks up one cell per level in a join by cell, which adaptive execution splits.
+
+    Stars alike in all columns look up together, and come back as often as they were.
+    """
     names = ["level", *[f"c{a}" for a in AXES]]
-    found = salted_join(
-        probes,
-        cells,
-        names,
-        [key],
-        on=lambda a, b: _inside(_of(a), _of(b)),
-        how="left_semi",
-        **skew,
-    )
-    return found.drop(*names).dropDuplicates([key])
+    alike = stars.groupBy(*stars.columns).agg(F.count("*").alias("_copies"))
+    probes = alike.withColumn("level", F.explode(F.array(*[F.lit(v) for v in levels])))
+    probes = probes.withColumns({f"c{a}": _cell(F.col(a), F.col("level")) for a in AXES})
+    same_cell = reduce(and_, [F.col(f"s.{n}") == F.col(f"b.{n}") for n in names])
+    found = probes.alias("s").join(cells.alias("b"), same_cell & _inside(_of("s"), _of("b")), "left_semi")
+    each = found.drop(*names).distinct()
+    return each.withColumn("_copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).drop("_copies")
+
 
 
 def distance_matrix(objects, order, points=40, open_tour=True):

@@ -54,6 +54,11 @@ def neighbourhood(stars, placed, **options):
     return published(within_any(stars, boxes(usable), **options), "source_id")
 
 
+def with_place(placed):
+    """The rows whose position could be read; `rejected` lists the others."""
+    return placed.filter("x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL")
+
+
 def neighbourhood_slices(stars, placed):
     return sliced(
         neighbourhood(stars, placed), schemas.SET_ORDER, ["source_id"], fixed.SLICES_PER_SET
@@ -61,8 +66,8 @@ def neighbourhood_slices(stars, placed):
 
 
 def write_neighbourhood(stars, placed, path):
-    """Job: the cluster labels and the set of stars around them."""
-    write_array(placed, LABEL_FIELDS, ["dist", "name"], "clusters", f"{path}/labels")
+    """Job: the labels of the clusters that have a position, and the set of stars around them."""
+    write_array(with_place(placed), LABEL_FIELDS, ["dist", "name"], "clusters", f"{path}/labels")
     return write_slices(
         neighbourhood(stars, placed),
         schemas.SET_ORDER,
@@ -88,8 +93,9 @@ def placed_nebulae(nebulae, on_error="null"):
 
 
 def write_nebulae(placed, path):
+    """Job: the nebulae that have a position."""
     fields = ("x", "y", "z", "name", "size_ly", "rotation_deg", "dirname")
-    write_array(placed, fields, ["name", "x", "y", "z"], "nebulae", path)
+    write_array(with_place(placed), fields, ["name", "x", "y", "z"], "nebulae", path)
 
 
 def parsed_globulars(lines):
@@ -132,7 +138,6 @@ def resolved_labels(inputs, keep_duplicates=False):
     by_number = C.objects_by_number(C.objects(inputs.identifiers))
     names = by_number.join(C.object_names(inputs.identifiers), "oid", "left").select(
         "hip",
-        F.coalesce("part", F.lit(0)).alias("part"),
         F.coalesce("name", F.lit("")).alias("name"),
     )
     keys = C.label_keys(lists, names, keep_duplicates)
@@ -157,7 +162,6 @@ def unnumbered_labels(inputs):
         "x",
         "y",
         "z",
-        F.coalesce("part", F.lit(0)).alias("part"),
         F.coalesce("name", F.lit("")).alias("name"),
     )
 

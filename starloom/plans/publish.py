@@ -23,20 +23,22 @@ from starloom.sinks.tables import write_if_changed
 STAR_FIELDS = ("x", "y", "z", "color", "abs_mag")
 
 
-def set_rows(stars, sets=STAR_SETS, limit=fixed.MAX_ROWS_PER_SET):
-    """Published rows of every suitable set, with set name and source, in one scan.
+def set_rows(stars, sets=STAR_SETS, limit=None):
+    """Published rows of every set, with set name and source, in one scan.
 
-    Sets over the limit are left out, as a publisher asks; the gate reports them.
+    Only with a `limit` are sets over it left out; the gate reports them.
     """
-    gate = size_gate(set_counts(stars, sets), limit).filter("suitable")
-    names = {r["name"] for r in gate.select("name").collect()}
-    kept = [s for s in sets if s.name in names]
+    kept = list(sets)
+    if limit is not None:
+        gate = size_gate(set_counts(stars, sets), limit).filter("suitable")
+        names = {r["name"] for r in gate.select("name").collect()}
+        kept = [s for s in sets if s.name in names]
     if not kept:
         return published(stars.limit(0).withColumn("set_name", F.lit("")), "set_name", "source_id")
     return published(memberships(stars, kept), "set_name", "source_id")
 
 
-def set_slices(stars, sets=STAR_SETS, limit=fixed.MAX_ROWS_PER_SET):
+def set_slices(stars, sets=STAR_SETS, limit=None):
     """All suitable sets ranked and cut in slices, nearest first, by one shuffle."""
     return sliced(
         set_rows(stars, sets, limit),
@@ -47,7 +49,7 @@ def set_slices(stars, sets=STAR_SETS, limit=fixed.MAX_ROWS_PER_SET):
     )
 
 
-def write_sets(stars, path, sets=STAR_SETS, limit=fixed.MAX_ROWS_PER_SET):
+def write_sets(stars, path, sets=STAR_SETS, limit=None):
     """Job: array files of all suitable sets."""
     rows = set_rows(stars, sets, limit)
     return write_slices(

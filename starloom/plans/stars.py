@@ -11,11 +11,11 @@ from starloom.functions.astrometry import (
 )
 from starloom.functions.photometry import merged_colour, merged_magnitude
 from starloom.operators.filters import ingest_quality, load_quality
-from starloom.operators.loads import file_presence, reconciled, rows_per_file
+from starloom.operators.loads import reconciled, rows_per_file, whole_files
 from starloom.operators.sizing import small
 from starloom.session import staging
 from starloom.sinks.tables import read_if_there, replace_partitions
-from starloom.sources.tables import file_name, survey_files
+from starloom.sources.tables import file_below, survey_files
 
 
 def merged(raw, *extra):
@@ -51,14 +51,14 @@ def loadable(filtered, *extra):
 
 
 def ingest(spark, source_path, filtered_path):
-    """Job: source files to the filtered table, one partition per source file."""
+    """Job: source files to the filtered table, one partition per file, named by its path below the folder."""
     raw = survey_files(spark, source_path, file_column="file_path")
-    rows = ingested(raw, "file_path").withColumn("file_id", file_name(F.col("file_path")))
+    rows = ingested(raw, "file_path").withColumn("file_id", file_below(source_path, F.col("file_path")))
     replace_partitions(rows.drop("file_path"), filtered_path, ["file_id"])
 
 
 def load(spark, filtered_path, star_path):
-    """Job: filtered table to star table, adding only files that are not there yet.
+    """Job: filtered table to star table, writing the files that are not there with all their rows.
 
     Returns rows per file with a running total, and the reconciliation.
     """
@@ -68,7 +68,7 @@ def load(spark, filtered_path, star_path):
     todo = good
     with staging(spark):
         if stars is not None:
-            present = file_presence(good, stars, "file_id").filter("present").select("file_id")
+            present = whole_files(good, stars, "file_id")
             todo = good.join(small(present), "file_id", "left_anti")
         # Sorted by distance inside each file, so page statistics prune distance limits.
         rows = derived(todo, "file_id").sortWithinPartitions("file_id", "dist")

@@ -99,23 +99,34 @@ def file_export(filtered, columns=("x", "y", "z", "color", "abs_mag"), file_colu
 
 
 def stale_files(expected, exported, file_column="file_id"):
-    """Files whose exported row count differs from the table's, with both counts."""
+    """Files whose exported row count differs from the table's, with both counts.
+
+    An exported file of which the table has no row any more counts as stale, with 0 rows.
+    """
     want = expected.groupBy(file_column).agg(F.count("*").alias("rows"))
     have = exported.groupBy(file_column).agg(F.count("*").alias("exported"))
     return (
-        want.join(have, file_column, "left")
-        .withColumn("exported", F.coalesce("exported", F.lit(0)))
+        want.join(have, file_column, "full")
+        .withColumns({"rows": F.coalesce("rows", F.lit(0)), "exported": F.coalesce("exported", F.lit(0))})
         .withColumn("stale", F.col("rows") != F.col("exported"))
     )
 
 
 def write_file_export(filtered, path, file_column="file_id"):
-    """Exports the files that are missing or out of date and leaves the others alone."""
+    """Exports the files that are missing or out of date, removes those that lost all rows, and
+    leaves the others alone."""
     spark = filtered.sparkSession
     rows = file_export(filtered, file_column=file_column)
     old = read_if_there(spark, path)
     with staging(spark):
         if old is not None:
-            stale = stale_files(rows, old, file_column).filter("stale").select(file_column)
+            found = staged(stale_files(rows, old, file_column).filter("stale"), "stale")
+            stale = found.select(file_column)
+            if not found.filter("rows = 0").isEmpty():
+                kept = old.join(small(stale), file_column, "left_anti").select(*rows.columns)
+                fresh = rows.join(small(stale), file_column, "left_semi")
+                every = staged(kept.unionByName(fresh), "export")
+                every.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(file_column).parquet(path)
+                return
             rows = staged(rows.join(small(stale), file_column, "left_semi"), "export")
         replace_partitions(rows, path, [file_column])

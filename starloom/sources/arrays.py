@@ -2,15 +2,16 @@
 
 from pyspark.sql import functions as F
 
-PREFIX = r"^\s*(?:var\s+\w+\s*=\s*\[)?\s*"
-SUFFIX = r"\]?[,;\s]*$"
+# A row: brackets around anything but brackets, which may stand in quoted text.
+ROW = r'\[(?:[^\[\]"]|"(?:\\.|[^"\\])*")*\]'
+BETWEEN = r"^\s*(?:var\s+\w+\s*=)?[\[\],;\s]*$"
 
 
 def array_rows(spark, path, schema, wrapped=False):
     """Rows of array files, cast to `schema`.
 
-    Files with one row per line are read line by line, so a large file is split
-    over tasks. `wrapped=True` reads files whose rows may span lines, one file
+    Files whose rows don't span lines are read line by line, so a large file is split
+    over tasks; a line that is something else is an error. `wrapped=True` reads files whose rows may span lines, one file
     per task.
     """
     reader = spark.read.option("recursiveFileLookup", "true")
@@ -20,12 +21,15 @@ def array_rows(spark, path, schema, wrapped=False):
             F.explode(F.from_json(body, "array<array<string>>")).alias("row")
         )
     else:
-        line = F.regexp_replace("value", PREFIX, "")
-        line = F.regexp_extract(line, r"^(\[.*?\])" + SUFFIX, 1)
+        line = F.col("value")
+        rest = F.regexp_replace(line, ROW, "")
+        found = F.when(rest.rlike(BETWEEN), F.regexp_extract_all(line, F.lit(ROW), F.lit(0))).otherwise(
+            F.raise_error(F.concat(F.lit("not array rows, or rows over several lines: "), F.left(line, F.lit(200)))))
         rows = (
             reader.text(path)
-            .select(F.from_json(line, "array<string>").alias("row"))
-            .filter(F.col("row").isNotNull() & (F.size("row") > 0))
+            .select(F.explode(found).alias("text"))
+            .select(F.from_json("text", "array<string>").alias("row"))
+            .filter(F.size("row") > 0)
         )
     return rows.select(
         *[

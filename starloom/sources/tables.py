@@ -1,5 +1,7 @@
 """Survey files, star tables and delimited catalogues."""
 
+import re
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -7,6 +9,10 @@ from starloom import schemas
 from starloom.operators.ranking import arrange, positions
 
 
+# Scheme and authority of a path.
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
+
 def number(name, dtype):
     """A text column as a number; `NaN` text becomes NULL."""
     value = F.col(name).try_cast(dtype)
@@ -23,15 +29,23 @@ def file_name(path=None):
     return F.element_at(F.split(path if path is not None else F.col("_metadata.file_path"), "/"), -1)
 
 
+def file_below(root, path):
+    """The path of a row's file below the folder `root`: its identity among all source files."""
+    depth = len([p for p in re.sub(SCHEME, "", root).split("/") if p])
+    parts = F.filter(F.split(F.regexp_replace(path, SCHEME, ""), "/"), lambda p: p != "")
+    return F.array_join(F.slice(parts, F.least(F.lit(depth + 1), F.size(parts)), F.size(parts)), "/")
+
+
 def survey_files(spark, path, schema=schemas.RAW, file_column=None):
     """Comma-separated survey files, compressed or not, with `#` comments and `null` text.
 
-    Columns are found by header name, so a much wider header costs nothing: the
-    parser drops the columns that are not selected. One compressed file is one
+    Columns are found by the names in the first file's header, so a much wider header
+    costs nothing: the parser drops the columns that are not selected. A file whose
+    header differs makes the read fail, as its values would stand in wrong columns. One compressed file is one
     task, and a sky survey has thousands of files.
     """
     text = spark.read.csv(
-        path, header=True, comment="#", nullValue="null", recursiveFileLookup=True
+        path, header=True, comment="#", nullValue="null", recursiveFileLookup=True, enforceSchema=False
     )
     columns = [number(f.name, f.dataType).alias(f.name) for f in schema]
     if file_column:

@@ -30,6 +30,7 @@ def arriving(spark, path, header=None, files_per_trigger=None, schema=schemas.RA
         .option("header", True)
         .option("comment", "#")
         .option("nullValue", "null")
+        .option("enforceSchema", False)  # a file with another header fails
         .option("recursiveFileLookup", "true")
     )
     if files_per_trigger:

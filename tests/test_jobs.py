@@ -2,10 +2,14 @@ import gzip
 import hashlib
 import os
 
+import pytest
+from pyspark.sql import types as T
+
 from starloom import schemas
 from starloom.plans import objects, publish, stars, worklist
 from starloom.session import shared_root, staging, staging_path, staged
 from starloom.sources import pages
+from starloom.sources.arrays import array_rows
 from starloom.sources.tables import survey_files
 from starloom.streaming import arrivals
 
@@ -61,6 +65,45 @@ def test_ingest_and_load_are_idempotent(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "clustered")).count() == 80
 
 
+def test_files_are_known_by_their_path_and_loaded_whole(spark, tmp_path):
+    source, filtered, table = (str(tmp_path / n) for n in ("s", "f", "t"))
+    write_source(f"{source}/n", "a.csv.gz", [star(i) for i in range(10)])
+    write_source(f"{source}/s", "a.csv.gz", [star(i) for i in range(100, 112)])
+    # The smallest key of this file is in another one as well.
+    write_source(source, "b.csv.gz", [star(0), star(300), star(301)])
+    stars.ingest(spark, source, filtered)
+    stars.load(spark, filtered, table)
+    assert spark.read.parquet(table).count() == 25
+    write_source(source, "c.csv.gz", [star(0), star(400)])
+    for _ in range(2):
+        stars.ingest(spark, source, filtered)
+        sizes, totals = stars.load(spark, filtered, table)
+        assert totals.first().equal and totals.first().table_rows == 27
+    assert {(r.file_id, r.rows) for r in sizes.collect()} == {
+        ("n/a.csv.gz", 10), ("s/a.csv.gz", 12), ("b.csv.gz", 3), ("c.csv.gz", 2)}
+
+
+def test_a_file_with_another_header_fails(spark, tmp_path):
+    write_source(tmp_path / "s", "a.csv.gz", [star(1)])
+    swapped = [{"ra": "dec", "dec": "ra"}.get(c, c) for c in HEADER]
+    with gzip.open(tmp_path / "s" / "b.csv.gz", "wt") as f:
+        f.write(",".join(swapped) + "\n" + ",".join(str(star(2).get(c, "null")) for c in swapped) + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        survey_files(spark, str(tmp_path / "s")).collect()
+
+
+def test_array_lines_give_every_row_or_fail(spark, tmp_path):
+    folder = tmp_path / "arrays"
+    folder.mkdir()
+    (folder / "d.js").write_text('var d = [[1.0,2.0],[3.0,4.0]]\n')
+    (folder / "e.js").write_text('var e = [\n[5.0,6.0],\n[7.0,"a [b]"]\n]\n')
+    rows = array_rows(spark, str(folder), T.StructType().add("x", "double").add("y", "string"))
+    assert sorted((r.x, r.y) for r in rows.collect()) == [(1.0, "2.0"), (3.0, "4.0"), (5.0, "6.0"), (7.0, "a [b]")]
+    (folder / "f.js").write_text("var f = [[1.0,\n2.0]]\n")
+    with pytest.raises(Exception, match="not array rows"):
+        array_rows(spark, str(folder), T.StructType().add("x", "double")).collect()
+
+
 def test_stream_equals_batch_and_resumes(spark, tmp_path):
     source, out, log = (str(tmp_path / n) for n in ("s", "o", "l"))
     write_source(source, "a.csv.gz", [star(i) for i in range(40)])

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom import fixed, schemas
-from starloom.operators import bins, catalogues, grid, loads, ranking, regions, sets, skew
+from starloom.operators import bins, catalogues, grid, loads, ranking, regions, sets
 from starloom.operators.filters import ingest_quality, load_quality
 from starloom.sinks import arrays, tables
 from starloom.sources.arrays import array_rows
@@ -157,7 +157,7 @@ def test_boxes_by_every_route(spark, star_frame):
 
     want = sorted(s[0] for s in stars if any(inside(s, b) for b in edges))
     boxes, df = box_frame(spark, edges), star_frame(stars)
-    for options in (dict(few=100), dict(few=0), dict(few=0, many=0), dict(few=0, many=0, hot_rows=100, share=1, salts=4)):
+    for options in (dict(few=100), dict(few=0), dict(few=0, many=0)):
         found = regions.within_any(df, boxes, **options)
         assert found.columns == df.columns
         assert sorted(r.source_id for r in found.collect()) == want, options
@@ -170,12 +170,13 @@ def test_box_bounds(spark):
     assert (r.lo_x, r.hi_x, r.lo_y, r.hi_y, r.lo_z, r.hi_z) == (750, 1250, -1250, -750, 0, 0)
 
 
-def test_salted_join_keeps_every_pair(spark):
-    left = spark.createDataFrame([(i, 0 if i % 3 else i % 7) for i in range(300)], "id long, k int")
-    right = spark.createDataFrame([(k, v) for k in range(7) for v in range(2)], "k int, v int")
-    joined = skew.salted_join(left, right, ["k"], ["id"], hot_rows=50, share=1, salts=8)
-    assert joined.select("a.id", "b.v").distinct().count() == 600
-    assert joined.count() == 600
+def test_every_route_keeps_repeated_and_missing_keys(spark, star_frame):
+    edges = [(0.0, 10.0, 0.0, 10.0, 0.0, 10.0)]
+    df = star_frame([(k, 1.0, 5.0, 5.0, 5.0, 1.0, 1.0, 1.0) for k in (1, 2, 2)]).unionByName(
+        star_frame([(3, 1.0, 5.0, 5.0, 5.0, 1.0, 1.0, 1.0)]).withColumn("source_id", F.lit(None).cast("long")))
+    for options in (dict(few=100), dict(few=0), dict(few=0, many=0)):
+        found = regions.within_any(df, box_frame(spark, edges), **options)
+        assert sorted((r.source_id or 0) for r in found.collect()) == [0, 1, 2, 2], options
 
 
 KEYED = "source_id long, rank int, v string"
@@ -256,15 +257,21 @@ def test_slice_files(spark, star_frame):
     assert sum(sizes) == 250 and sizes[-1] - sizes[0] <= 1
 
 
-def test_names_joined_in_pieces(spark):
+def test_names_joined_in_order(spark):
     df = spark.createDataFrame(
-        [(1, p, f"n{p}") for p in range(25)] + [(2, 0, "x"), (2, 1, "y")], "k int, pos int, name string"
+        [(1, p, f"n{p}") for p in range(25_000)] + [(2, 1, "y"), (2, 0, "x")], "k int, pos int, name string"
     )
-    whole = catalogues.joined_text(df, ["k"], ["pos"], "name", "names").collect()
-    assert {(r.k, r.part) for r in whole} == {(1, 0), (2, 0)}
-    pieces = catalogues.joined_text(df, ["k"], ["pos"], "name", "names", piece=10).orderBy("k", "part").collect()
-    assert [(r.k, r.part) for r in pieces] == [(1, 0), (1, 1), (1, 2), (2, 0)]
-    assert " / ".join(r.names for r in pieces if r.k == 1) == [r for r in whole if r.k == 1][0].names
+    whole = {r.k: r.names for r in catalogues.joined_text(df, ["k"], ["pos"], "name", "names").collect()}
+    assert whole == {1: " / ".join(f"n{p}" for p in range(25_000)), 2: "x / y"}
+
+
+def test_objects_with_very_many_identifiers_keep_their_cross_references(spark):
+    ident = spark.createDataFrame(
+        [(1, f"X {i}") for i in range(12_000)] + [(1, "NAME Far "), (1, "HIP 7"), (2, "NAME Near ")], "oidref long, id string")
+    ids = spark.createDataFrame(
+        [(1, "|".join([*(f"X {i}" for i in range(12_000)), "NAME Far ", "HIP 7"])), (2, "NAME Near ")], "oidref long, ids string")
+    found = {(r.oidref, r.id) for r in catalogues.cross_references(ident, ids).collect()}
+    assert found == {(1, "NAME Far "), (1, "HIP 7")}
 
 
 def test_name_lists(spark):
