@@ -147,7 +147,7 @@ def _(t):
     return rounded(publish.bin_slices(built, "count").drop("total"), digits=9)
 
 
-LABEL_COLUMNS = "hip, 0 AS part, k.name, k.origin, p.source_id, resolved_by, x, y, z, color, mag"
+LABEL_COLUMNS = "hip, k.name, k.origin, p.source_id, resolved_by, x, y, z, color, mag"
 
 
 @query(

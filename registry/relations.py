@@ -525,7 +525,7 @@ def _(t):
 
 
 UNNUMBERED_SQL = """ SELECT s.source_id, round_even(x::double, 1) AS x, round_even(y::double, 1) AS y,
- round_even(z::double, 1) AS z, 0 AS part, s.name FROM by_source s JOIN t_published p ON s.source_id = p.source_id"""
+ round_even(z::double, 1) AS z, s.name FROM by_source s JOIN t_published p ON s.source_id = p.source_id"""
 
 
 @query("j06_unnumbered_objects", LABELS_SQL + UNNUMBERED_SQL)
@@ -787,7 +787,7 @@ def _(t):
     return grid.accepted(grid.threshold_counts(t.stars_large), 2000, 20000)
 
 
-@query("a12_list_names", LABELS_SQL + " SELECT hip, 0 AS part, name FROM lists")
+@query("a12_list_names", LABELS_SQL + " SELECT hip, name FROM lists")
 def _(t):
     return catalogues.list_names(t.fixture("names_first"), t.fixture("names_second"))
 
@@ -970,7 +970,7 @@ def _(t):
 def _(t):
     lists = catalogues.list_names(t.fixture("names_first"), t.fixture("names_second"))
     numbers = catalogues.objects_by_number(catalogues.objects(t.fixture("identifiers")))
-    second = numbers.select("hip", F.lit(0).alias("part"), F.lit("").alias("name"))
+    second = numbers.select("hip", F.lit("").alias("name"))
     return catalogues.label_keys(lists, second, keep_duplicates=True).select("hip", "origin")
 
 

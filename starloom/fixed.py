@@ -66,11 +66,6 @@ BLUE_SCALE, BLUE_SHIFT = 138.5177312231, 305.0447927307
 BIN_CUT = 0.05
 BLEND_LOW, BLEND_HIGH = (1.0, 0.0, 0.0), (0.0, 0.0, 1.0)
 
-# Identifier patterns of the cross-reference catalogue.
-ID_NUMBER = r"^HIP\s+(\d+)"
-ID_NAME = r"^NAME\s+(.*?)\s+$"
-ID_SOURCE = r"^Gaia DR3\s+(\d+)"
-
 # Patterns that shorten numbers in exported text, in the order they apply.
 CUT_PATTERNS = (
     (r"(\d\.\d{3})\d+", "$1"),

@@ -8,14 +8,24 @@ from pyspark.sql import functions as F
 
 from starloom.functions.rounding import col
 
-HOURS = r"^(\d+)\^?[h:]\s*([0-9.]+)\^?[m:](?:\s*([0-9.s]+))?"
-DEGREES = r"^(\D*)(\d+)[°:]\s*([0-9.]+)[′':](?:\s*([0-9.″]+))?"
-RADIUS = r"^([0-9.]+)\s*(.*)$"
 MINUS_SIGNS = ("-", "−")
+DIGITS = r"^[0-9]+$"
+DECIMAL = r"^[0-9.]+$"
 
 
-def _part(text, pattern, group):
-    return F.regexp_extract(text, pattern, group)
+def _cut(text, *marks):
+    """The text between its unit marks; a colon is one as well."""
+    for mark in marks:
+        text = F.replace(text, F.lit(mark), F.lit(":"))
+    return F.split(text, ":", -1)
+
+
+def _sixtieths(fields, last):
+    """Minutes, which a mark must follow, and seconds, with the mark `last` anywhere in them."""
+    minutes = F.ltrim(F.get(fields, F.lit(1)))
+    complete = (F.size(fields) > 2) & minutes.rlike(DECIMAL)
+    seconds = F.regexp_extract(F.ltrim(F.get(fields, F.lit(2))), f"^[0-9.{last}]*", 0)
+    return F.when(complete, minutes).try_cast("double"), _seconds(seconds, last)
 
 
 def _seconds(text, mark):
@@ -31,9 +41,10 @@ def _settle(value, on_error):
 def ra_degrees(text, on_error="null"):
     """Right ascension in degrees from h m [s] text."""
     text = col(text)
-    hours = _part(text, HOURS, 1).try_cast("double")
-    minutes = _part(text, HOURS, 2).try_cast("double")
-    seconds = _seconds(_part(text, HOURS, 3), "s")
+    fields = _cut(text, "^h", "^m", "h", "m")
+    first = fields[0]
+    hours = F.when(first.rlike(DIGITS), first).try_cast("double")
+    minutes, seconds = _sixtieths(fields, "s")
     value = hours * 15.0 + minutes * 15.0 / 60.0 + seconds * 15.0 / 3600.0
     return _settle(value, on_error)
 
@@ -41,10 +52,11 @@ def ra_degrees(text, on_error="null"):
 def dec_degrees(text, on_error="null"):
     """Declination in degrees from signed d m [s] text."""
     text = col(text)
-    lead = _part(text, DEGREES, 1)
-    degrees = _part(text, DEGREES, 2).try_cast("double")
-    minutes = _part(text, DEGREES, 3).try_cast("double")
-    seconds = _seconds(_part(text, DEGREES, 4), "″")
+    fields = _cut(text, "°", "′", "'")
+    digits = F.regexp_extract(fields[0], "[0-9]+$", 0)
+    lead = F.left(fields[0], F.length(fields[0]) - F.length(digits))
+    degrees = F.when(~lead.rlike("[0-9]"), digits).try_cast("double")
+    minutes, seconds = _sixtieths(fields, "″")
     size = degrees + minutes / 60.0 + seconds / 3600.0
     value = F.when(F.right(lead, F.lit(1)).isin(*MINUS_SIGNS), -size).otherwise(size)
     if on_error == "zero":
@@ -55,8 +67,9 @@ def dec_degrees(text, on_error="null"):
 def radius_arcmin(text, on_error="null"):
     """Field radius in arc minutes; a unit other than degrees or arcmins gives 0."""
     text = col(text)
-    number = _part(text, RADIUS, 1).try_cast("double")
-    unit = _part(text, RADIUS, 2)
+    digits = F.regexp_extract(text, "^[0-9.]+", 0)
+    number = digits.try_cast("double")
+    unit = F.ltrim(F.right(text, F.length(text) - F.length(digits)))
     value = F.when(
         number.isNotNull(),
         F.when(unit == "degrees", number * 60.0)

@@ -4,8 +4,30 @@ from starloom import fixed
 
 LY = fixed.LIGHT_YEARS_PER_PARSEC
 
-RA_PATTERN = r"^(\\d+)\\^?[h:]\\s*([0-9.]+)\\^?[m:](?:\\s*([0-9.s]+))?"
-DEC_PATTERN = r"^(\\D*)(\\d+)[°:]\\s*([0-9.]+)[′\':](?:\\s*([0-9.″]+))?"
+
+def _cut(*marks):
+    """`txt` cut at its unit marks, as in `angles`."""
+    text = "txt"
+    for mark in marks:
+        text = f"replace({text}, {mark}, ':')"
+    return f"split({text}, ':', -1)"
+
+
+def _sixtieths(fields, last):
+    """Minutes and seconds of cut text, as in `angles`."""
+    minutes, seconds = f"ltrim(get({fields}, 1))", f"regexp_extract(ltrim(get({fields}, 2)), '^[0-9.{last}]*', 0)"
+    return (
+        f"CASE WHEN size({fields}) > 2 AND {minutes} RLIKE '^[0-9.]+$' THEN try_cast({minutes} AS DOUBLE) END",
+        f"CASE WHEN {seconds} = '' THEN 0D ELSE try_cast(replace({seconds}, '{last}', '') AS DOUBLE) END",
+    )
+
+
+RA = _cut("'^h'", "'^m'", "'h'", "'m'")
+RA_MINUTES, RA_SECONDS = _sixtieths(RA, "s")
+DEC = _cut("'°'", "'′'", "chr(39)")
+DEC_MINUTES, DEC_SECONDS = _sixtieths(DEC, "″")
+DEC_DIGITS = f"regexp_extract({DEC}[0], '[0-9]+$', 0)"
+DEC_LEAD = f"left({DEC}[0], length({DEC}[0]) - length({DEC_DIGITS}))"
 
 DEFINITIONS = {
     "sky_distance_ly": (
@@ -27,20 +49,15 @@ DEFINITIONS = {
     "sky_ra_degrees": (
         "txt STRING",
         "DOUBLE",
-        f"try_cast(regexp_extract(txt, '{RA_PATTERN}', 1) AS DOUBLE) * 15D"
-        f" + try_cast(regexp_extract(txt, '{RA_PATTERN}', 2) AS DOUBLE) * 15D / 60D"
-        f" + coalesce(try_cast(replace(regexp_extract(txt, '{RA_PATTERN}', 3), 's', '')"
-        " AS DOUBLE), 0D) * 15D / 3600D",
+        f"CASE WHEN {RA}[0] RLIKE '^[0-9]+$' THEN try_cast({RA}[0] AS DOUBLE) END * 15D"
+        f" + ({RA_MINUTES}) * 15D / 60D + ({RA_SECONDS}) * 15D / 3600D",
     ),
     "sky_dec_degrees": (
         "txt STRING",
         "DOUBLE",
-        f"(CASE WHEN right(regexp_extract(txt, '{DEC_PATTERN}', 1), 1) IN ('-', '−')"
-        " THEN -1D ELSE 1D END) * ("
-        f"try_cast(regexp_extract(txt, '{DEC_PATTERN}', 2) AS DOUBLE)"
-        f" + try_cast(regexp_extract(txt, '{DEC_PATTERN}', 3) AS DOUBLE) / 60D"
-        f" + coalesce(try_cast(replace(regexp_extract(txt, '{DEC_PATTERN}', 4), '″', '')"
-        " AS DOUBLE), 0D) / 3600D)",
+        f"(CASE WHEN right({DEC_LEAD}, 1) IN ('-', '−') THEN -1D ELSE 1D END) * ("
+        f"CASE WHEN NOT {DEC_LEAD} RLIKE '[0-9]' THEN try_cast({DEC_DIGITS} AS DOUBLE) END"
+        f" + ({DEC_MINUTES}) / 60D + ({DEC_SECONDS}) / 3600D)",
     ),
     "sky_bin": ("v DOUBLE, step DOUBLE", "BIGINT", "CAST(rint(v / step) AS BIGINT)"),
     "sky_rgb": (

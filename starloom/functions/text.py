@@ -93,16 +93,29 @@ def _or_null(text):
     return F.nullif(text, F.lit(""))
 
 
+def _within(text, family):
+    """What follows the family's name and the blanks after it; NULL for another family."""
+    text = col(text)
+    parts = F.split(F.right(text, F.length(text) - len(family)), r"\s+", 2)
+    return F.when(text.startswith(family) & (parts[0] == ""), F.get(parts, F.lit(1)))
+
+
+def _leading_number(text):
+    return _or_null(F.regexp_extract(text, "^[0-9]+", 0)).try_cast("long")
+
+
 def identifier_number(text):
-    return _or_null(F.regexp_extract(col(text), fixed.ID_NUMBER, 1)).try_cast("long")
+    return _leading_number(_within(text, "HIP"))
 
 
 def identifier_name(text):
-    return _or_null(F.regexp_extract(col(text), fixed.ID_NAME, 1))
+    """The name, which blanks must follow."""
+    name = _within(text, "NAME")
+    return F.when(F.rtrim(name) != name, _or_null(F.rtrim(name)))
 
 
 def identifier_source(text):
-    return _or_null(F.regexp_extract(col(text), fixed.ID_SOURCE, 1)).try_cast("long")
+    return _leading_number(_within(text, "Gaia DR3"))
 
 
 def catalogue_number(text):
