@@ -112,13 +112,16 @@ def _(t):
         f"""SELECT '{n}' AS name, x, y, z, round(v, 6) AS value FROM ({bins_sql(step, f'{m} AS v', w, 't_stars')}) b"""
         for n, step, m, w in (
             ("count-near-100", 100, "count(*)::double", NEAR),
+            ("count-bright-10", 10, "count(*)::double", "px_over_err > 10 AND abs_mag < 0"),
+            ("count-good-500", 500, "count(*)::double", "px_over_err > 10"),
             ("mean-magnitude-near-100", 100, "avg(abs_mag)", NEAR),
+            ("mean-colour-near-100", 100, "avg(color)", NEAR),
         )
     ),
 )
 def _(t):
     path = t.scratch("bins")
-    kept = (bins.BIN_SETS[0], bins.BIN_SETS[3])
+    kept = bins.BIN_SETS
     publish.build_bins(t.stars, path, kept)
     publish.build_bins(t.stars, path, kept)
     out = None
@@ -169,15 +172,18 @@ def _(t):
 @query(
     "c07_label_outputs",
     LABELS_SQL
-    + f"""SELECT 'star_labels' AS kind, x, y, z, name FROM clean_keys JOIN placed USING (hip) WHERE resolved_by IN ('dr3', 'dr3_ident')
-UNION ALL SELECT 'catalogue_labels', x, y, z, name FROM clean_keys JOIN placed USING (hip) WHERE resolved_by IN ('cat2007', 'cat1997')
-UNION ALL SELECT 'source_labels', x, y, z, name FROM ({UNNUMBERED_SQL}) u""",
+    + f"""SELECT 'star_labels' AS kind, x, y, z, name, NULL::DOUBLE AS color, NULL::DOUBLE AS mag FROM clean_keys JOIN placed USING (hip) WHERE resolved_by IN ('dr3', 'dr3_ident')
+UNION ALL SELECT 'catalogue_stars', x, y, z, NULL, color, mag FROM clean_keys JOIN placed USING (hip) WHERE resolved_by IN ('cat2007', 'cat1997')
+UNION ALL SELECT 'catalogue_labels', x, y, z, name, NULL, NULL FROM clean_keys JOIN placed USING (hip) WHERE resolved_by IN ('cat2007', 'cat1997')
+UNION ALL SELECT 'source_labels', x, y, z, name, NULL, NULL FROM ({UNNUMBERED_SQL}) u""",
 )
 def _(t):
     outputs = objects.label_outputs(label_inputs(t))
     out = None
-    for kind in ("star_labels", "catalogue_labels", "source_labels"):
-        one = outputs[kind].select(F.lit(kind).alias("kind"), "x", "y", "z", "name")
+    for kind, rows in outputs.items():
+        more = {n: F.lit(None).cast("double") for n in ("color", "mag") if n not in rows.columns}
+        more |= {} if "name" in rows.columns else {"name": F.lit(None).cast("string")}
+        one = rows.withColumns(more).select(F.lit(kind).alias("kind"), "x", "y", "z", "name", "color", "mag")
         out = one if out is None else out.unionAll(one)
     return out
 

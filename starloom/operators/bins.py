@@ -64,6 +64,20 @@ def build(stars, spec):
     return binned(stars.filter(spec.predicate()), spec.step, measure.alias(spec.value))
 
 
+def together(bin_sets):
+    """Bin sets that one pass over the stars can build, as lists of equal predicate and step."""
+    groups = {}
+    for s in bin_sets:
+        groups.setdefault((s.predicate, s.step), []).append(s)
+    return list(groups.values())
+
+
+def build_together(stars, specs):
+    """The bins of sets of equal predicate and step, with one column per set, named like it."""
+    measures = [(F.avg(s.mean_of) if s.mean_of else F.count("*")).alias(s.name) for s in specs]
+    return binned(stars.filter(specs[0].predicate()), specs[0].step, *measures)
+
+
 def summary(bins, value):
     """Smallest, largest, mean and median value of a bin set."""
     middle = median(bins, value).scalar()

@@ -1,6 +1,8 @@
 """Named star sets: membership, counts in one scan, size gate and index."""
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import functions as F
 
@@ -32,9 +34,13 @@ STAR_SETS = tuple(StarSet(*t) for t in fixed.SET_THRESHOLDS)
 
 
 def memberships(stars, sets=STAR_SETS):
-    """One row per star and set it belongs to, from a single scan."""
+    """One row per star and set it belongs to, from a single scan.
+
+    The filter ahead, which the explosion would hide, reaches the scan.
+    """
     names = F.array(*[F.when(s.predicate(), F.lit(s.name)) for s in sets])
-    return stars.withColumn("set_name", F.explode(F.array_compact(names)))
+    in_any = reduce(or_, [s.predicate() for s in sets])
+    return stars.filter(in_any).withColumn("set_name", F.explode(F.array_compact(names)))
 
 
 def counts(stars, predicates):

@@ -17,6 +17,7 @@ from starloom.operators.sets import (
     set_counts,
     size_gate,
 )
+from starloom.session import staged, staging
 from starloom.sinks.arrays import write_slices
 from starloom.sinks.tables import write_if_changed
 
@@ -64,15 +65,26 @@ def write_index(stars, path, sets=STAR_SETS, bin_sets=B.BIN_SETS):
 
 def publication_index(stars, sets=STAR_SETS, bin_sets=B.BIN_SETS):
     cubes = None
-    for spec in bin_sets:
-        one = B.build(stars, spec).agg(F.lit(spec.name).alias("name"), F.count("*").alias("rows"))
+    for specs in B.together(bin_sets):
+        sizes = B.build_together(stars, specs).agg(F.count("*").alias("rows"))
+        one = sizes.select(F.explode(F.array(*[F.lit(s.name) for s in specs])).alias("name"), "rows")
         cubes = one if cubes is None else cubes.unionAll(one)
     return index_of_sets(set_counts(stars, sets), cubes)
 
 
 def build_bins(stars, path, bin_sets=B.BIN_SETS):
-    """Job: every bin set as its own table, rewritten only if it changed."""
-    return {s.name: write_if_changed(B.build(stars, s), f"{path}/{s.name}") for s in bin_sets}
+    """Job: every bin set as its own table, rewritten only if it changed.
+
+    Sets of equal predicate and step come from one pass over the stars.
+    """
+    changed = {}
+    with staging(stars.sparkSession):
+        for specs in B.together(bin_sets):
+            every = staged(B.build_together(stars, specs), "bins")
+            for s in specs:
+                one = every.select("x", "y", "z", F.col(f"`{s.name}`").alias(s.value))
+                changed[s.name] = write_if_changed(one, f"{path}/{s.name}")
+    return changed
 
 
 def bin_slices(bins, value):
