@@ -32,8 +32,9 @@ from starloom.session import staged
 SHINGLE = 5
 PERCENT = 75
 MOST_LIGHT = 12
+NEIGHBOURS = 8
 VERIFY_COST = 6  # of a posting and its verification, against one of a subset
-FREQUENT = 8
+FREQUENT = 16
 MOST_FREQUENT = 1_000_000
 FILTER_BITS = 26  # the filter of documents to verify has 2^26 bits: 8 MB
 NO_KEY = -(2**63)
@@ -84,11 +85,6 @@ def front(n, percent=PERCENT):
     return n + (-percent * n // 100) + 1 if n else 0
 
 
-def short_front(n, percent=PERCENT):
-    """The same for the smaller of the two sets."""
-    return n - overlap_of(n, n, percent) + 1 if n else 0
-
-
 def boundary(counts, percent=PERCENT):
     """The largest light size, at which the cost over {size: number of sets} is least."""
     from math import comb
@@ -112,7 +108,7 @@ def _texts(df, key, text):
 
 
 def described(df, key, text, percent):
-    """rank, body, n, sig and the first shingles (all of a small set) of every document."""
+    """rank, body, n, sig and, for a small set, all shingles of every document."""
     names = ["rank", "body", "n", "sig", "first"]
     types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
 
@@ -121,7 +117,7 @@ def described(df, key, text, percent):
             for part, texts in chunks(batch, "text", 500_000):
                 sets = shingle_sets(texts)
                 n = [len(s) for s in sets]
-                firsts = [s[: len(s) if len(s) <= MOST_LIGHT else short_front(len(s), percent)].view(np.int64) for s in sets]
+                firsts = [s.view(np.int64) if len(s) <= MOST_LIGHT else None for s in sets]
                 yield _batch((part.column("rank"), part.column("body"), n, [signature(s) if len(s) else None for s in sets], firsts), types, names)
 
     return _texts(df, key, text).mapInArrow(run, "rank bigint, body bigint, n bigint, sig bigint, first array<bigint>")
@@ -159,15 +155,26 @@ def light_links(sets, light, percent):
         F.col("sig").alias("a"), first.alias("b")).filter("a <> b").distinct()
 
 
-def frequent(described_rows):
-    """The digests of the most frequent shingles, MOST_FREQUENT at most, in a sorted array.
+def _counted(n, percent):
+    """How many shingles of a set are counted: those that its front may reach."""
+    return min(n, front(n, percent) * 4 // 3 + 1)
+
+
+def frequent(df, text, percent):
+    """The first 32 bits of the shingles that most documents hold, MOST_FREQUENT at most, sorted.
 
     They only choose the order of shingles; any choice gives the same links.
     """
-    each = described_rows.select(F.explode("first").alias("shingle"))
-    counted = each.groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") > FREQUENT)
-    most = counted.orderBy(F.desc("n"), "shingle").limit(MOST_FREQUENT)
-    return np.sort(most.select("shingle").toArrow().column(0).to_numpy().astype(np.int64).view(np.uint64))
+    def run(batches):
+        for batch in batches:
+            for _, texts in chunks(batch, "text", 500_000):
+                heads = [(s[: _counted(len(s), percent)] >> np.uint64(32)).astype(np.uint32) for s in shingle_sets(texts)]
+                yield _batch((np.concatenate(heads).view(np.int32),), (pa.int32(),), ["head"])
+
+    counted = df.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "head int").groupBy("head").agg(
+        F.count("*").alias("n")).filter(F.col("n") > FREQUENT)
+    most = counted.orderBy(F.desc("n"), "head").limit(MOST_FREQUENT)
+    return np.sort(most.select("head").toArrow().column(0).to_numpy().astype(np.int32).view(np.uint32))
 
 
 def postings(df, key, text, last, least, percent):
@@ -189,8 +196,8 @@ def postings(df, key, text, last, least, percent):
                     seen.add(sig)
                     k = front(n, percent)
                     if len(late):
-                        at = np.searchsorted(late, shingles)
-                        common = late[np.minimum(at, len(late) - 1)] == shingles
+                        heads = (shingles >> np.uint64(32)).astype(np.uint32)
+                        common = late[np.minimum(np.searchsorted(late, heads), len(late) - 1)] == heads
                         shingles = np.concatenate([shingles[~common], shingles[common]])
                     for column, value in zip(out, (sig, n, shingles[:k].view(np.int64))):
                         column.append(value)
@@ -216,12 +223,11 @@ def lists_needed(na, nb, percent):
     return F.greatest(F.ceil(percent * (na + nb) / (100 + percent)) - F.greatest(*rest), F.lit(1))
 
 
-def shared_postings(rows, percent):
-    """Postings whose list holds another set, each with the set before it in the list."""
+def shared_postings(rows):
+    """Postings whose list holds another set."""
     order = W.partitionBy("shingle").orderBy("place", "sig")
-    near = rows.withColumns({
-        "before": F.lag("sig").over(order), "before_place": F.lag("place").over(order), "after": F.lead("sig").over(order)})
-    return near.filter((F.col("before") != F.col("sig")) | (F.col("after") != F.col("sig"))).drop("after")
+    near = rows.withColumns({"before": F.lag("sig").over(order), "after": F.lead("sig").over(order)})
+    return near.filter((F.col("before") != F.col("sig")) | (F.col("after") != F.col("sig"))).drop("before", "after")
 
 
 def _bits(rows, column):
@@ -296,13 +302,20 @@ def unjoined_pairs(lists, roots, light, percent):
 
 
 def neighbours(lists, percent):
-    """Pairs of sets that often stand side by side in the lists and so are likely alike."""
-    beside = lists.filter((F.col("before") != F.col("sig")) & sizes_fit(F.col("place"), F.col("before_place"), percent)).select(
-        F.greatest("sig", "before").alias("a"), F.least("sig", "before").alias("b"),
-        F.shiftright("place", 32).alias("na"), F.shiftright("before_place", 32).alias("nb"))
-    # Sizes rise along a list, so na >= nb whichever way the pair is named.
-    counted = beside.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("lists"))
-    return counted.filter(4 * F.col("lists") >= lists_needed(F.col("na"), F.col("nb"), percent)).select("a", "b")
+    """Pairs of sets that often stand close to each other in the lists and so are likely alike.
+
+    Each list is in the same order of sizes and digests, so that near copies have the
+    same few neighbours in most of their lists.
+    """
+    order = W.partitionBy("shingle").orderBy("n", "sig").rowsBetween(-NEIGHBOURS, -1)
+    rows = lists.select("shingle", "sig", F.shiftright("place", 32).alias("n"))
+    around = rows.withColumn("around", F.collect_list(F.struct("sig", "n")).over(order))
+    beside = around.withColumn("near", F.explode("around")).select(
+        F.greatest("sig", "near.sig").alias("a"), F.least("sig", "near.sig").alias("b"),
+        F.col("n").alias("na"), F.col("near.n").alias("nb")).filter("a <> b")
+    fit = beside.filter(100 * F.col("nb") >= percent * F.col("na"))
+    counted = fit.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("lists"))
+    return counted.filter(2 * F.col("lists") >= lists_needed(F.col("na"), F.col("nb"), percent)).select("a", "b")
 
 
 def wanted_of(pairs, sets):
@@ -326,7 +339,7 @@ def near_duplicates(df, key="doc_id", text="text", percent=PERCENT):
     light = boundary(counts, percent)
     least = -(-percent * (light + 1) // 100)
     small = light_links(sets, light, percent)
-    lists = staged(shared_postings(postings(df, key, text, frequent(rows), least, percent), percent), "lists")
+    lists = staged(shared_postings(postings(df, key, text, frequent(df, text, percent), least, percent)), "lists")
     tried = staged(neighbours(lists, percent), "tried")
     whole = staged(whole_sets(df, key, text, wanted_of(tried, sets)), "whole")
     links = staged(verified(tried, whole, percent).unionAll(small).distinct(), "first-links")

@@ -65,7 +65,7 @@ def corpus(seed=5):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("frequent", [8, 1000, 0])
+@pytest.mark.parametrize("frequent", [16, 1000, 0])
 def test_against_all_pairs(spark, monkeypatch, frequent):
     monkeypatch.setattr(ngram_join, "FREQUENT", frequent)
     rows = corpus()
@@ -101,7 +101,6 @@ def test_sizes(a, b):
     possible = o <= min(a, b)
     assert possible == (b in ngram_join.sizes_near(a) and o <= min(a, b))
     assert not possible or o >= a - ngram_join.front(a) + 1
-    assert not possible or a > b or o >= a - ngram_join.short_front(a) + 1
 
 
 def test_words_are_told_apart_by_bytes():
