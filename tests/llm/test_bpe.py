@@ -5,11 +5,11 @@ import random
 
 import numpy as np
 import public_tokenizers
-from conftest import TEXTS
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from odd_rows import TEXTS
 from starloom.llm import bpe
 
 PATH = public_tokenizers.path("word_bpe_49k.json")

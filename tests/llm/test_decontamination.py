@@ -3,10 +3,10 @@
 import random
 
 import numpy as np
-from conftest import LONG
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from odd_rows import LONG
 from starloom.llm import decontamination
 
 

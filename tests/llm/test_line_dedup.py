@@ -2,10 +2,10 @@
 
 import random
 
-from conftest import TEXTS
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from odd_rows import TEXTS
 from starloom.llm import line_dedup
 
 lines = st.lists(st.sampled_from("abcdefgh"), max_size=14)
