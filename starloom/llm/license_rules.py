@@ -1,10 +1,14 @@
 """The ordered signature rules of the license scan, on words joined by single spaces.
 
-A rule has a label, a keyword that a text must hold as a word before the pattern is
-tried, a priority, a confidence, and the pattern. Names are written out by hand; four
-sentence forms around each name and the texts of well-known notices make the rest.
+A rule has a label, a keyword, a priority, a confidence, and the pattern. Names are
+written out by hand; four sentence forms around each name and the texts of well-known
+notices make the rest. The words that a text must hold before a pattern is tried are
+derived from the pattern; the keyword is only the one preferred where matches hold it.
 """
 
+from collections import Counter
+from functools import lru_cache
+from re import _parser
 from typing import NamedTuple
 
 
@@ -155,6 +159,70 @@ def all_rules():
     return sorted(unique, key=lambda r: -r.priority)
 
 
-# Notices come with one of these; a text in lower case without any of them is not tried.
-GATES = ("licen", "copyright", "warrant", "permission", "redistribut", "public domain",
-         "proprietary", "reserved")
+# Words that every text with a match holds at least one of; single words, as line ends may stand between two.
+GATES = ("licen", "copyright", "warrant", "permission", "redistribut", "proprietary", "reserved")
+
+# Further ones that only count together, as each alone is in many texts.
+JOINT_GATES = tuple((f"{verb}", "under") for verb in ("released", "distributed", "available", "published"))
+
+# Words that are in too many texts to try a rule for, where another word does.
+COMMON = frozenset("license licence agreement under the terms of version public software to in and or is for not with "
+                   "this be you may a it all general open source free by no gnu what 0 1 2 3 4".split())
+
+
+def _strings(node):
+    """All strings that a parsed pattern matches; NUL stands for what is not one fixed character."""
+    made = [""]
+    for op, value in node:
+        name = str(op)
+        if name == "LITERAL":
+            ends = [chr(value)]
+        elif name == "BRANCH":
+            ends = [x for part in value[1] for x in _strings(part)]
+        elif name == "SUBPATTERN":
+            ends = _strings(value[-1])
+        elif name in ("MAX_REPEAT", "MIN_REPEAT") and value[:2] == (0, 1):
+            ends = ["", *_strings(value[2])]
+        elif name == "IN" and all(str(kind) == "LITERAL" and chr(c).isalpha() for kind, c in value):
+            ends = [chr(c) for _, c in value]
+        elif name in ("MAX_REPEAT", "MIN_REPEAT") and value[0] > 0 or name in ("IN", "ANY"):
+            ends = ["\0"]
+        else:
+            raise ValueError(f"no fixed words: {name}")
+        made = [a + b for a in made for b in dict.fromkeys(ends)]
+    return made
+
+
+@lru_cache(maxsize=4096)
+def word_sets(pattern):
+    """The sets of whole words that matches of `pattern` hold for certain, one of them each match."""
+    return frozenset(frozenset(w for w in text.split(" ") if w and "\0" not in w) for text in _strings(_parser.parse(pattern)))
+
+
+@lru_cache(maxsize=4096)
+def keywords(rule):
+    """Words of which every match of the rule holds one: its keyword where it does, and others for the rest."""
+    left, found = list(word_sets(rule.pattern)), []
+    if any(rule.keyword in words for words in left):
+        found.append(rule.keyword)
+    while left := [words for words in left if not words & set(found)]:
+        counts = Counter(w for words in left for w in words)
+        if not counts or not all(left):
+            return []  # no word is certain: always tried
+        found.append(max(counts, key=lambda w: (w not in COMMON, counts[w], len(w), w)))
+    return found
+
+
+@lru_cache(maxsize=8)
+def gates(rules, phrases=()):
+    """Groups of words: a text that lacks a word of each group holds no match and no phrase.
+
+    A match that no fixed group is part of has a keyword of its rule as a group.
+    """
+    fixed, more = [*((g,) for g in GATES), *JOINT_GATES], set()
+    for rule in [*rules, *(Rule("", "", 0, 0.0, phrase) for phrase in phrases)]:
+        for words in word_sets(rule.pattern):
+            if not any(all(any(g in w for w in words) for g in group) for group in fixed):
+                own = words & set(keywords(rule))
+                more.add((min(own),) if own else ("",))
+    return [*fixed, *sorted(more)]

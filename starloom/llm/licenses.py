@@ -1,8 +1,8 @@
 """License scan by ordered signature rules, in DataFrame functions only.
 
-A text is lower-cased (A-Z) and cut into words. Texts that hold no gate word skip all
-patterns; of the rest, each rule whose keyword is a word of the text is matched at all
-places. A match inside another one of the same or a higher priority is suppressed. The
+A text is lower-cased (A-Z) and cut into words. Texts that hold no gate words skip all
+patterns; of the rest, each rule is matched at all places if one of its keywords is a
+word of the text. Gates and keywords follow from the patterns: no match is without. A match inside another one of the same or a higher priority is suppressed. The
 scan is one projection: rows never move.
 """
 
@@ -11,7 +11,7 @@ import string
 
 from pyspark.sql import functions as F
 
-from starloom.llm.license_rules import GATES, all_rules
+from starloom.llm.license_rules import all_rules, gates, keywords
 
 # Fixed values of the base detection: phrase and label.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -20,7 +20,7 @@ NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # The same words before lower-casing; as a positive class it runs several times faster.
 WORD = r"[0-9A-Za-z\x80-\x{10FFFF}]++"
 
-TABLE = "array<struct<label:string,keyword:string,priority:int,confidence:double,pattern:string>>"
+TABLE = "array<struct<label:string,keywords:array<string>,priority:int,confidence:double,pattern:string>>"
 
 
 def normal_words(text):
@@ -80,9 +80,10 @@ def detections(words, rules=None):
     are contained. NULL gives no labels and confidence 0.
     """
     rules = all_rules() if rules is None else rules
-    table = F.from_json(F.lit(json.dumps([r._asdict() for r in rules])), TABLE)
+    table = F.from_json(F.lit(json.dumps([r._asdict() | {"keywords": keywords(r)} for r in rules])), TABLE)
     padded = F.concat(F.lit(" "), words, F.lit(" "))
-    tried = F.filter(table, lambda r: F.contains(padded, F.concat(F.lit(" "), r["keyword"], F.lit(" "))))
+    tried = F.filter(table, lambda r: (F.size(r["keywords"]) == 0) | F.exists(
+        r["keywords"], lambda k: F.contains(padded, F.concat(F.lit(" "), k, F.lit(" ")))))
     spans = F.flatten(F.transform(tried, lambda r: _spans(padded, r)))
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(
         s["start"].alias("start"), (-s["end"]).alias("back"), (-s["priority"]).alias("down"),
@@ -114,8 +115,11 @@ def scan(df, text="text", rules=None):
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     lowered = F.lower(body)
     gate = F.lit(False)
-    for word in GATES:
-        gate = gate | F.contains(lowered, F.lit(word))
+    for group in gates(tuple(all_rules() if rules is None else rules), tuple(phrase for phrase, _ in BASE)):
+        held = F.lit(True)
+        for word in group:
+            held = held & F.contains(lowered, F.lit(word))
+        gate = gate | held
     frame = df.select(*[F.col(f"`{c}`") for c in kept], F.when(gate, normal_words(body)).alias("__words"),
                       F.regexp_count(body, F.lit(WORD)).cast("long").alias("__n"))
     words, n = F.col("__words"), F.col("__n")

@@ -1,9 +1,10 @@
 """The license scan against plain Python."""
 
 import re
+import sys
 
 from starloom.llm import licenses
-from starloom.llm.license_rules import GATES, all_rules
+from starloom.llm.license_rules import GATES, all_rules, gates, keywords, word_sets
 
 RULES = all_rules()
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -85,3 +86,37 @@ def test_odd_rows_and_names(odd_texts, no_texts):
 def test_no_python_runs(odd_texts):
     plan = licenses.scan(odd_texts)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+UNGATED = [
+    "Released under the GPL version 3", "distributed under MIT", "available\nunder the\nterms of the GPLv3",
+    "The origin of this software must not be misrepresented", "The Software shall be used for Good, not Evil.",
+    "You just DO WHAT THE FUCK YOU WANT TO.", "this is in the public\ndomain", "placed in the public-domain",
+    "All advertising materials mentioning features or use of this software must display the following",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy", "published under new bsd",
+    "neither the name of X nor the names of its contributors may be used to endorse or promote", "Published under freebsd",
+    "waived all copyright and related or neighboring rights", "released under zero clause bsd", "under released gpl",
+]
+
+
+def test_no_match_is_lost_to_gates_or_keywords(spark, monkeypatch):
+    """All rules on every text: the first word of the text as keyword, and a gate that any text passes."""
+    here, want = sys.modules[__name__], {}
+    rows = list(enumerate(UNGATED + [t for t in TEXTS if len(t or "") < 1000]))
+    monkeypatch.setattr(here, "GATES", ("",))
+    for i, t in rows:
+        first = (WORD.findall(lower(t)) or ["-"])[0]
+        monkeypatch.setattr(here, "RULES", [r._replace(keyword=first) for r in all_rules()])
+        want[i] = brute(t)
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    got = {r["doc_id"]: tuple(r)[1:] for r in licenses.scan(df).select("doc_id", *licenses.RESULT).collect()}
+    assert got == want and all(want[i][5] for i in range(len(UNGATED) - 1))
+
+
+def test_every_match_holds_a_keyword_and_a_gate():
+    groups = gates(tuple(RULES))
+    for r in RULES:
+        certain = set(keywords(r))
+        for words in word_sets(r.pattern):
+            assert words & certain, (r, words)
+            assert any(all(any(g in w for w in words) for g in group) for group in groups), (r, words)
