@@ -113,30 +113,39 @@ class Vocabulary:
             self._pairs[key] = self.merged(self._symbols(left) + self._symbols(right)) == [left, right]
         return self._pairs[key]
 
-    def _extend(self, word, end, encoded, tokens, longest):
-        """The encoding of word[:end] from those of its prefixes."""
+    def _extend(self, word, end, last, tokens, longest):
+        """The last token of word[:end] and its length, from the last tokens of its prefixes."""
         for size in range(min(end, longest), 0, -1):
             token = tokens.get(word[end - size : end])
             if token is None:
                 continue
-            before = encoded[end - size]
-            if self.compatible(before[-1], token) if before else self.reached(token):
-                return (*before, token)
-        raise ValueError(f"no encoding of {word[:end]!r}")
+            if self.compatible(last[end - size][0], token) if end > size else self.reached(token):
+                return token, size
+        raise ValueError(f"no encoding of a word of {len(word)} symbols at {end}: {word[max(0, end - longest) : end]!r}")
 
     def encode_words(self, words):
-        """{word: token ids} of distinct words, given as byte symbols."""
-        found, last, encoded = {}, "", [()]
+        """{word: token ids} of distinct words, given as byte symbols.
+
+        A prefix keeps its last token and that token's length only; the ids of a word are
+        read from its end backwards.
+        """
+        found, before, last = {}, "", [None]
         for word in sorted(words):
-            shared, most = 0, min(len(word), len(last))
-            while shared < most and word[shared] == last[shared]:
+            shared, most = 0, min(len(word), len(before))
+            while shared < most and word[shared] == before[shared]:
                 shared += 1
-            # encoded[i] is the encoding of the first i symbols, none of them the word's last.
-            del encoded[shared + 1 :]
-            for end in range(len(encoded), len(word)):
-                encoded.append(self._extend(word, end, encoded, self.inner, self.longest_inner))
-            found[word] = self._extend(word, len(word), encoded, self.final, self.longest_final)
-            last = word
+            # last[i] is the end of the encoding of the first i symbols, none of them the word's last.
+            del last[shared + 1 :]
+            for end in range(len(last), len(word)):
+                last.append(self._extend(word, end, last, self.inner, self.longest_inner))
+            token, size = self._extend(word, len(word), last, self.final, self.longest_final)
+            ids, at = [token], len(word) - size
+            while at:
+                token, size = last[at]
+                ids.append(token)
+                at -= size
+            found[word] = ids[::-1]
+            before = word
         return found
 
     def split(self, text):

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -39,6 +40,21 @@ def test_random_words():
     same(["".join(rnd.choice("etaoinshrdlucmfwyp'") for _ in range(rnd.randint(1, 40))) for _ in range(20_000)])
 
 
+def test_one_very_long_word():
+    """Memory and time grow with the length of a word, not with its square."""
+    rnd = random.Random(6)
+    word = "".join(rnd.choice("acgt") for _ in range(200_000))
+    tracemalloc.start()
+    data = bpe.Encoder(PATH).encode([word])[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300_000_000
+    names = [ENCODER.vocabulary.names[i] for i in ids_of(data)]
+    assert "".join(names) == word + ENCODER.vocabulary.suffix
+    assert all(ENCODER.vocabulary.compatible(a, b) for a, b in zip(ids_of(data), ids_of(data)[1:]))
+    same([word[:3000]])
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.characters(exclude_categories=["Cs"]), max_size=80))
 def test_any_text(text):
