@@ -333,7 +333,8 @@ def near_duplicates(df, key="doc_id", text="text", percent=PERCENT):
     """
     rows = staged(described(df, key, text, percent), "described")
     sets = staged(rows.filter("n > 0").groupBy("sig").agg(
-        F.min(F.struct("rank", "body")).alias("rep"), F.max("n").alias("n"),
+        F.min(F.struct("rank", "body")).alias("rep"),
+        F.min(F.when(F.col("rank") != NO_KEY, F.col("rank"))).alias("least"), F.max("n").alias("n"),
         F.min(F.when(F.col("n") <= MOST_LIGHT, F.col("first"))).alias("first")), "sets")
     counts = {r["n"]: r["c"] for r in sets.filter(F.col("n") <= 2 * MOST_LIGHT).groupBy("n").agg(F.count("*").alias("c")).collect()}
     light = boundary(counts, percent)
@@ -348,10 +349,10 @@ def near_duplicates(df, key="doc_id", text="text", percent=PERCENT):
     rest = staged(whole_sets(df, key, text, wanted_of(left, sets)), "whole")
     more = staged(verified(left, rest, percent), "more-links")
     ended = components(links.unionAll(more).distinct())
-    least_key = sets.select("sig", "rep.rank").join(ended.withColumnRenamed("node", "sig"), "sig").groupBy("root").agg(
-        F.min(F.when(F.col("rank") != NO_KEY, F.col("rank"))).alias("component"))
+    least_key = sets.select("sig", "least").join(ended.withColumnRenamed("node", "sig"), "sig").groupBy("root").agg(
+        F.min("least").alias("component"))
     of_set = ended.join(least_key, "root").select(F.col("node").alias("sig"), "component")
-    alone = sets.select("sig", F.expr(f"nullif(rep.rank, {NO_KEY})").alias("own"))
+    alone = sets.select("sig", F.col("least").alias("own"))
     named = alone.join(of_set, "sig", "left").select("sig", F.coalesce("component", "own").alias("component"))
     own = F.expr(f"nullif(rank, {NO_KEY})")
     return rows.select("rank", "body", "n", "sig").join(named, "sig", "left").select(

@@ -92,6 +92,19 @@ def test_odd_rows(odd_texts, no_texts):
     assert ngram_join.near_duplicates(no_texts).count() == 0
 
 
+def test_copies_without_a_key(spark):
+    """A row without a key stands for a set; the smallest key of its copies still counts."""
+    text = [f"word{i}" for i in range(60)]
+    other = " ".join([*text[:40], "changed", *text[41:]])
+    rows = [(None, "a copy of one short text stands here"), (5, "a copy of one short text stands here"),
+            (9, "a copy of one short text stands here"), (None, " ".join(text)), (3, " ".join(text)), (4, " ".join(text)),
+            (7, other), (None, "alone without a key and without a copy")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = ngram_join.near_duplicates(df).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute(rows)
+    assert {r["doc_id"] for r in ngram_join.one_of_each(df).collect()} == {3, 5, None}
+
+
 @given(st.integers(1, 400), st.integers(1, 400))
 @settings(max_examples=300)
 def test_sizes(a, b):
