@@ -1,8 +1,9 @@
 """Deletes from a document the blocks of lines that an earlier document already has.
 
-Documents that overlap are found through the lines they share: each line leads from
-every document that holds it to the first one, so the pairs grow with the lines and not
-with the square of the documents that share one. Each pair is aligned by patience diff
+Documents that overlap are found through the lines they share, and through the shortest
+runs of lines with `MIN_WORDS` words: each leads from every document that holds it to
+the first one, so the pairs grow with the lines and not with the square of the
+documents that share one. Each pair is aligned by patience diff
 on the digests of its lines: lines that occur once on both sides, and in the same
 order, hold the alignment, and what stands between them is aligned in the same way.
 Aligned blocks of at least `MIN_WORDS` words are deleted from the later document.
@@ -13,10 +14,12 @@ pair. A line that is deleted always remains in an earlier document, as the first
 document with it is never later than another one with it.
 """
 
+from array import array
 from bisect import bisect_left
 from collections import Counter
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import functions as F
 
 from starloom.session import staged
@@ -123,6 +126,41 @@ def _identified(df, key, text):
     })
 
 
+def shortest_runs(lines, words, min_words=MIN_WORDS):
+    """Digests of the runs of several lines with `min_words` words that hold no shorter such run.
+
+    Every block of `min_words` words that two documents share holds one of them, or one
+    line of that length; so none stays whole when these lead to their first documents.
+    """
+    out, end, total = [], 0, 0
+    for start, n in enumerate(words):
+        while end < len(words) and total < min_words:
+            total += words[end]
+            end += 1
+        if total < min_words:
+            break
+        total -= n
+        if n and total < min_words and end - start > 1:
+            out.append(xxhash.xxh3_64_intdigest(array("q", lines[start:end]).tobytes(), 1) - 2**63)
+    return out
+
+
+def _led(min_words):
+    """What leads a document to an earlier one: its distinct lines that have words, and its shortest runs."""
+    def run(batches):
+        for batch in batches:
+            out = ([], [], [])
+            for rank, sig, lines, words in zip(*(batch.column(c).to_pylist() for c in ("rank", "sig", "lines", "words"))):
+                led = {x for x, n in zip(lines, words) if n}
+                led.update(shortest_runs(lines, words, min_words))
+                out[0].extend([rank] * len(led))
+                out[1].extend([sig] * len(led))
+                out[2].extend(led)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["rank", "sig", "line"])
+
+    return run
+
+
 def cuts(df, key="doc_id", text="text", min_words=MIN_WORDS):
     """rank, sig, cut (places of deleted lines), sources (keys of the documents that keep them)."""
     trimmed = F.transform(F.split(F.col(f"`{text}`"), "\n", -1), lambda s: F.trim(s))
@@ -136,8 +174,7 @@ def cuts(df, key="doc_id", text="text", min_words=MIN_WORDS):
             F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit(""))) + 1)).alias("words"),
     ).groupBy("rank", "sig").agg(F.first("lines").alias("lines"), F.first("words").alias("words"))
     table = staged(digests, "lines")
-    held = table.select("rank", "sig", F.explode(F.array_distinct(F.transform(
-        F.filter(F.arrays_zip("lines", "words"), lambda z: z["words"] > 0), lambda z: z["lines"]))).alias("line"))
+    held = table.mapInArrow(_led(min_words), "rank bigint, sig bigint, line bigint")
     first = held.groupBy("line").agg(F.min(F.struct("rank", "sig")).alias("first"), F.count("*").alias("n"))
     # The complement as key: no plan takes the counts' partitioning over, so that
     # adaptive execution can split a line that very many documents hold.

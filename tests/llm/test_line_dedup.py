@@ -83,6 +83,47 @@ def test_against_all_pairs(spark):
     assert sorted((tuple(r) for r in got), key=repr) == brute(rows)
 
 
+def every_pair(rows, min_words=30):
+    """Every document against all earlier ones: the lines of common blocks, and the common runs of `min_words` words."""
+    out = {}
+    for key, text in rows:
+        mine, gone, runs = text.split("\n"), set(), []
+        words = [len(x.split()) for x in mine]
+        for other, before in rows:
+            if other < key:
+                theirs = before.split("\n")
+                gone |= set(line_dedup.common_blocks(theirs, mine, words, min_words))
+                runs += [range(i, j) for i in range(len(mine)) for j in range(i + 1, len(mine) + 1) if sum(words[i:j]) >= min_words
+                         and any(theirs[k : k + j - i] == mine[i:j] for k in range(len(theirs)))]
+        out[key] = (gone, runs)
+    return out
+
+
+def test_blocks_of_common_lines(spark):
+    """Passages made of lines whose first holders are other documents."""
+    rnd = random.Random(7)
+    line = lambda n: " ".join(f"w{rnd.randint(0, 9999)}" for _ in range(n))
+    shared = [line(10) for _ in range(6)]
+    rows = [(i + 1, "\n".join([line(8), shared[i], line(9)])) for i in range(6)]
+    rows += [(7, "\n".join([line(7), *shared])), (8, "\n".join([line(6), *shared, line(5)]))]
+    common = [line(rnd.choice([1, 2, 5, 9, 14, 20])) for _ in range(27)]
+    for i in range(9, 120):
+        body = [line(6), line(3)]
+        for part in (0, 9, 18):  # no line twice, so that blocks of two documents are in one order
+            at = part + rnd.randint(0, 3)
+            body += [*common[at : min(part + 9, at + rnd.randint(0, 7))], rnd.choice(["", line(4)])]
+        rows.append((i, "\n".join(body)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["rank"]: set(r["cut"]) for r in line_dedup.cuts(df).collect()}
+    assert got[8] == {1, 2, 3, 4, 5, 6}
+    for key, (gone, runs) in every_pair(rows).items():
+        cut = got.get(key, set())
+        assert cut <= gone
+        # Of a common run, no 30 words in a row stay.
+        for run in runs:
+            assert cut & set(run)
+
+
 def test_odd_rows(odd_texts, no_texts):
     got = line_dedup.deduplicated(odd_texts)
     assert got.columns[: len(odd_texts.columns)] == odd_texts.columns
