@@ -30,7 +30,7 @@ def cut_repeated_lines(spark, docs, sf_dir):
     """Deletes passages that an earlier document has, and documents that were nothing else."""
     ship(spark)
     shorter = line_dedup.deduplicated(docs)
-    left = shorter.filter("n_deleted = 0 OR trim(replace(text, '\n', ' ')) <> ''")
+    left = shorter.filter((F.col("n_deleted") == 0) | F.col("text").rlike(f"[^{line_dedup.WHITE[1:-1]}]"))
     counted = F.when(F.col("n_deleted") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", counted).select(*docs.columns)
 

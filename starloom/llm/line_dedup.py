@@ -10,7 +10,7 @@ Aligned blocks of at least `MIN_WORDS` words are deleted from the later document
 
 "Later" is by key; documents with the same key are never compared. Lines are compared
 without the white space around them, by 64-bit digests; blank lines never lead to a
-pair. A line that is deleted always remains in an earlier document, as the first
+pair. A character of a script without spaces counts as a word. A line that is deleted always remains in an earlier document, as the first
 document with it is never later than another one with it.
 """
 
@@ -26,6 +26,10 @@ from starloom.session import staged
 
 MIN_WORDS = 30
 NO_KEY = -(2**63)
+WHITE = r"[\x09-\x0D\x20\xA0]"
+# Letters of scripts that are written without spaces, which count as a word each.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
+WORD = f"[^{WHITE[1:-1]}{UNSPACED[1:-1]}]++|{UNSPACED}"
 
 
 def _rising(pairs):
@@ -163,15 +167,14 @@ def _led(min_words):
 
 def cuts(df, key="doc_id", text="text", min_words=MIN_WORDS):
     """rank, sig, cut (places of deleted lines), sources (keys of the documents that keep them)."""
-    trimmed = F.transform(F.split(F.col(f"`{text}`"), "\n", -1), lambda s: F.trim(s))
+    trimmed = F.transform(F.split(F.col(f"`{text}`"), "\n", -1), lambda s: F.regexp_replace(s, rf"\A{WHITE}++|(?<!{WHITE}){WHITE}++\z", ""))
     rows = _identified(df.select(F.col(f"`{key}`"), F.col(f"`{text}`")), key, text)
     lines = rows.filter(F.col(f"`{text}`").isNotNull()).select(
         F.col("__rank").alias("rank"), F.col("__sig").alias("sig"), trimmed.alias("lines"))
     digests = lines.select(
         "rank", "sig",
         F.transform("lines", lambda s: F.xxhash64(s)).alias("lines"),
-        F.transform("lines", lambda s: F.when(s == "", 0).otherwise(
-            F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit(""))) + 1)).alias("words"),
+        F.transform("lines", lambda s: F.regexp_count(s, F.lit(WORD))).alias("words"),
     ).groupBy("rank", "sig").agg(F.first("lines").alias("lines"), F.first("words").alias("words"))
     table = staged(digests, "lines")
     held = table.mapInArrow(_led(min_words), "rank bigint, sig bigint, line bigint")

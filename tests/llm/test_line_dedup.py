@@ -124,6 +124,19 @@ def test_blocks_of_common_lines(spark):
             assert cut & set(run)
 
 
+def test_white_space_and_scripts(spark):
+    rnd = random.Random(8)
+    body = [" ".join(f"w{rnd.randint(0, 9999)}" for _ in range(10)) for _ in range(4)]
+    han = "".join(chr(rnd.randint(0x4E00, 0x9000)) for _ in range(40))
+    tabs, sparse = "\t".join(body[0].split() * 4), "a" + " " * 60 + "b"
+    rows = [(1, "\n".join(body)), (2, "x\r\n" + "\r\n".join(body) + "\r\n"), (3, "\n".join("\t" + x + "\u00a0" for x in body)),
+            (4, han), (5, "one\n" + han), (6, tabs), (7, "two\n" + tabs), (8, sparse), (9, sparse), (10, "\r\n" * 40), (11, "\r\n" * 40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["n_deleted"], r["text"]) for r in line_dedup.deduplicated(df).collect()}
+    assert [got[i][0] for i in range(1, 12)] == [0, 4, 4, 0, 1, 0, 1, 0, 0, 0, 0]
+    assert got[2][1] == "x\r\n" and got[5][1] == "one"
+
+
 def test_odd_rows(odd_texts, no_texts):
     got = line_dedup.deduplicated(odd_texts)
     assert got.columns[: len(odd_texts.columns)] == odd_texts.columns
