@@ -1,4 +1,4 @@
-"""Tables: replace, append by key, upsert, and write only on change."""
+"""Tables: replace, append by key, and write only on change."""
 
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
