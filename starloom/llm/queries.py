@@ -9,7 +9,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, decontamination, language_net, licenses, line_dedup, ngram_join, quality_ranker, token_planes, top_k, url_filter
+from starloom.llm import bpe, decontamination, language_net, licenses, line_dedup, ngram_join, quality_ranker, token_planes, top_k, url_filter, vector_codes
 from starloom.llm.shipping import ship
 from starloom.session import staging_path
 
@@ -158,3 +158,52 @@ def op4_ngram_join(spark, folder):
     """Groups of near-duplicate documents."""
     found = ngram_join.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op12_ball_codes(spark, folder):
+    """Product codes of all vectors by ball k-means."""
+    vectors = table(spark, folder, "embeddings")
+    return vector_codes.quantised(vectors).withColumnRenamed("id", "vec_id").select(
+        "vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def _codes_sql(parts=vector_codes.PARTS, entries=vector_codes.ENTRIES, rounds=vector_codes.ROUNDS, scale=vector_codes.SCALE):
+    """The same by trying all entries: one pair of steps per round."""
+    steps = [f"""
+kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding, label) AS r, vec_id, label,
+         list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (
+  SELECT r, vec_id, label, p, v[p * len(v) // {parts} + 1 : (p + 1) * len(v) // {parts}] AS x
+  FROM kept, (SELECT unnest(range({parts})) AS p) q),
+book0 AS (SELECT p, r - 1 AS e, x AS c FROM parts WHERE r <= {entries})"""]
+    nearest = """
+near{n} AS (
+  SELECT r, vec_id, label, p, x, min(struct_pack(d := d, e := e)) AS m FROM (
+    SELECT r, vec_id, label, a.p, x, e, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM parts a JOIN book{n} b ON a.p = b.p) t
+  GROUP BY r, vec_id, label, p, x)"""
+    for n in range(rounds):
+        steps.append(nearest.format(n=n))
+        steps.append(f"""
+means{n} AS (
+  SELECT p, e, list((s - ((s % k) + k) % k) // k ORDER BY i) AS c FROM (
+    SELECT p, m.e AS e, i, sum(x[i + 1])::BIGINT AS s, count(*) AS k
+    FROM near{n}, (SELECT unnest(range((SELECT max(len(x)) FROM parts))) AS i) q GROUP BY ALL) t
+  GROUP BY p, e),
+book{n + 1} AS (SELECT b.p, b.e, coalesce(f.c, b.c) AS c FROM book{n} b LEFT JOIN means{n} f ON b.p = f.p AND b.e = f.e)""")
+    steps.append(nearest.format(n=rounds))
+    return "WITH " + ",".join(steps) + f""",
+coded AS (
+  SELECT r, vec_id, label, string_agg(printf('%02x', m.e), '' ORDER BY p) AS code, sum(m.d)::BIGINT AS error
+  FROM near{rounds} GROUP BY r, vec_id, label),
+spelled AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS h FROM book{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, h AS codebooks_sha256
+FROM coded, spelled
+"""
+
+
+ORACLE["op12_ball_codes"] = _codes_sql()
