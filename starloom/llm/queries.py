@@ -9,8 +9,12 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, decontamination, language_net, licenses, line_dedup, ngram_join, quality_ranker, token_planes, top_k, url_filter, vector_codes
+from starloom.llm import (
+    bpe, collocations, decontamination, language_net, licenses, line_dedup, ngram_join, quality_ranker, quality_rules,
+    token_planes, top_k, url_filter, vector_codes,
+)
 from starloom.llm.shipping import ship
+from starloom.operators.sizing import small
 from starloom.session import staging_path
 
 QUERIES, ORACLE = {}, {}
@@ -207,3 +211,55 @@ FROM coded, spelled
 
 
 ORACLE["op12_ball_codes"] = _codes_sql()
+
+
+@query
+def op11_quality_rules(spark, folder):
+    """Counts and the n-gram likelihood ratio of all documents.
+
+    The target are the documents that are labelled good and not toxic and aren't held out.
+    """
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    trusted = table(spark, folder, "labels").filter(~held_out() & (F.col("quality") == 1) & (F.col("toxic") == 0)).select("doc_id").distinct()
+    ratios = quality_rules.fit(documents, documents.join(small(trusted), "doc_id", "left_semi"))
+    return quality_rules.judged(documents, ratios).select("doc_id", *quality_rules.RESULT)
+
+
+@query
+def op13_collocations(spark, folder):
+    """The best phrases of two and three words of each language, over all documents."""
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+ORACLE["op13_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) AS piece
+  FROM documents),
+lists AS (SELECT lang, list_filter(string_split_regex(piece, '[ 	]+'), lambda x: x <> '') AS w FROM pieces),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM lists),
+ones AS (SELECT lang, w[i] AS w1, count(*) AS f FROM places GROUP BY ALL),
+twos AS (SELECT lang, w[i] AS w1, w[i + 1] AS w2, count(*) AS a FROM places WHERE i < len(w) GROUP BY ALL HAVING a >= 10),
+threes AS (SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3, count(*) AS a FROM places WHERE i < len(w) - 1 GROUP BY ALL HAVING a >= 10),
+longer AS (
+  SELECT lang, w1, w2, max(a) AS m FROM (
+    SELECT lang, w1, w2, a FROM threes UNION ALL SELECT lang, w2, w3, a FROM threes) t GROUP BY ALL),
+cut AS (
+  SELECT t.lang, t.w1 || ' ' || t.w2 AS phrase, t.a, x.f AS l1, y.f AS r1, x.f AS l2, y.f AS r2
+  FROM twos t JOIN ones x ON t.lang = x.lang AND t.w1 = x.w1 JOIN ones y ON t.lang = y.lang AND t.w2 = y.w1
+  LEFT JOIN longer m ON t.lang = m.lang AND t.w1 = m.w1 AND t.w2 = m.w2
+  WHERE m.m IS NULL OR 100 * m.m < 50 * t.a
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.a, x.f, q.a, p.a, z.f
+  FROM threes t JOIN ones x ON t.lang = x.lang AND t.w1 = x.w1 JOIN ones z ON t.lang = z.lang AND t.w3 = z.w1
+  JOIN twos p ON t.lang = p.lang AND t.w1 = p.w1 AND t.w2 = p.w2 JOIN twos q ON t.lang = q.lang AND t.w2 = q.w1 AND t.w3 = q.w2),
+scored AS (
+  SELECT *, (1000000 * a::HUGEINT * a) // (l1::HUGEINT * r1) AS s1, (1000000 * a::HUGEINT * a) // (l2::HUGEINT * r2) AS s2 FROM cut),
+best AS (
+  SELECT lang, phrase, a, CASE WHEN s2 < s1 THEN l2 ELSE l1 END AS l, CASE WHEN s2 < s1 THEN r2 ELSE r1 END AS r,
+         least(s1, s2)::BIGINT AS score FROM scored),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM ones GROUP BY lang),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT k.lang, rank, phrase, a, l, r, n, score FROM ranked k JOIN totals t ON k.lang = t.lang WHERE rank <= 2000
+"""
