@@ -9,7 +9,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from starloom import schemas
+from starloom import folders, schemas
 from starloom.plans.stars import derived, ingested, merged
 from starloom.session import staging_path
 from starloom.sources.tables import star_table
@@ -158,7 +158,7 @@ SELECT element || '.csv.gz' AS filename, content, listed,
 FROM (
  SELECT CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Tmp_' ELSE 'Src_' END
    || lpad(CAST(c_custkey AS STRING), 12, '0') AS element,
-  c_name AS content, c_name || CASE WHEN c_nationkey = 3 THEN '?' ELSE '' END AS hashed,
+  c_name AS content, c_name || CASE WHEN c_nationkey = 3 THEN '?' ELSE '' END || chr(10) AS hashed,
   c_custkey % 3 AS kind, c_nationkey <> 5 AS listed
  FROM {customer}) a""",
     "page_lines": f"""
@@ -272,6 +272,18 @@ def write_text_files(lines, path, compression="none", file_column="file_no"):
     return path
 
 
+def write_named_files(files, path):
+    """One file per row (filename, content), under its own name, its text ended by a line feed."""
+    spark, parts = files.sparkSession, f"{path}-parts"
+    files.select(F.col("filename").alias("name"), "content").repartition("name").write.partitionBy("name").text(parts)
+    folders.make(spark, path)
+    for folder in folders.names(spark, parts):
+        if folder.startswith("name="):
+            part = next(n for n in folders.names(spark, f"{parts}/{folder}") if n.startswith("part-"))
+            folders.moved_in(spark, f"{parts}/{folder}/{part}", f"{path}/{folder.removeprefix('name=')}")
+    return path
+
+
 def write_source_files(raw, path):
     """Survey files as they are downloaded: compressed, with comments, header and `null`."""
     columns = schemas.RAW_COLUMNS
@@ -279,14 +291,24 @@ def write_source_files(raw, path):
     # Missing temperatures are written as NaN.
     values[columns.index("teff_gspphot")] = F.coalesce(F.col("teff_gspphot").cast("string"), F.lit("NaN"))
     wide = [*values, F.lit("unused"), F.lit("null")]
-    rows = raw.select("file_no", F.col("source_id").alias("n"), F.concat_ws(",", *wide).alias("line"))
+    header = [*columns, "notes", "random_index"]
+    # Some files have two columns exchanged, and say so in their header.
+    a, b = columns.index("ra"), columns.index("dec")
+    other = F.col("file_no") % 3 == 1
+
+    def line(cells):
+        moved = list(cells)
+        moved[a], moved[b] = moved[b], moved[a]
+        return F.when(other, F.concat_ws(",", *moved)).otherwise(F.concat_ws(",", *cells)).alias("line")
+
+    rows = raw.select("file_no", F.col("source_id").alias("n"), line(wide))
     opening = F.array(
         *[
-            F.struct(F.lit(i).cast("long").alias("n"), F.lit(t).alias("line"))
+            F.struct(F.lit(i).cast("long").alias("n"), t.alias("line"))
             for i, t in (
-                (-3, "# survey extract"),
-                (-2, "# units: degrees, mas"),
-                (-1, ",".join([*columns, "notes", "random_index"])),
+                (-3, F.lit("# survey extract")),
+                (-2, F.lit("# units: degrees, mas")),
+                (-1, line([F.lit(c) for c in header])),
             )
         ]
     )

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from registry.core import LY, published_sql, query
-from registry.fixtures import write_pages, write_source_files
+from registry.fixtures import write_named_files, write_pages, write_source_files
 from registry.relations import (
     ACCEPT_SQL,
     INSIDE_SQL,
@@ -15,6 +15,7 @@ from registry.relations import (
     bins_sql,
     checksums_of,
     digest_of,
+    label_files,
     label_inputs,
     slice_report,
 )
@@ -23,6 +24,8 @@ from starloom import schemas
 from starloom.operators import bins
 from starloom.plans import objects, publish, worklist
 from starloom.plans.stars import ingest, load
+from starloom.sinks.keyed import KeyedTable
+from starloom.sources.labels import NEBULA, listed_file
 from starloom.streaming import arrivals
 
 FILTERED_SQL = ", ".join(schemas.FILTERED_COLUMNS)
@@ -178,7 +181,8 @@ UNION ALL SELECT 'catalogue_labels', x, y, z, name, NULL, NULL FROM clean_keys J
 UNION ALL SELECT 'source_labels', x, y, z, name, NULL, NULL FROM ({UNNUMBERED_SQL}) u""",
 )
 def _(t):
-    outputs = objects.label_outputs(label_inputs(t))
+    inputs, _ = objects.read_labels(t.spark, label_files(t), t.stars)
+    outputs = objects.label_outputs(inputs)
     out = None
     for kind, rows in outputs.items():
         more = {n: F.lit(None).cast("double") for n in ("color", "mag") if n not in rows.columns}
@@ -188,6 +192,15 @@ def _(t):
     return out
 
 
+@query(
+    "c07_rejected_rows",
+    """SELECT 'older' AS file, 'ra' AS unreadable, CAST(hip + 10000000 AS VARCHAR) AS hip FROM t_older WHERE hip % 50 = 0""",
+)
+def _(t):
+    _, unread = objects.read_labels(t.spark, label_files(t), t.stars)
+    return unread.select("file", "unreadable", F.get_json_object("row", "$.hip").alias("hip"))
+
+
 @query(
     "c08_nebulae",
     """SELECT name, round(cos(radians(ra)) * cos(radians(dec)) * dist_pc, 6) AS x,
@@ -196,16 +209,15 @@ def _(t):
  'img_' || CAST(id AS VARCHAR) AS dirname FROM t_sky_degrees""",
 )
 def _(t):
-    nebulae = t.fixture("sky").select(
-        "name",
-        F.col("dist_pc").alias("dist"),
-        "ra_text",
-        "dec_text",
-        F.col("radius_text").alias("fieldradius_text"),
-        (F.col("id") % 360).cast("double").alias("rotation_deg"),
-        F.concat(F.lit("img_"), "id").alias("dirname"),
-    )
-    return rounded(objects.placed_nebulae(nebulae))
+    columns = {"dist": "dist", "ra_text": "ra_text", "dec_text": "dec_text", "name": "NAME", "fieldradius_text": "radius",
+               "rotation_deg": "rotation", "dirname": "dirname"}
+    path = t.scratch("nebulae")
+    written = t.fixture("sky").select(
+        F.concat(F.lit("img_"), "id").alias("dirname"), F.col("name").alias("NAME"), "id", F.col("dist_pc").alias("dist"),
+        "ra_text", "dec_text", F.col("radius_text").alias("radius"), (F.col("id") % 360).alias("rotation"))
+    written.coalesce(1).write.csv(path, header=True, sep="|", escapeQuotes=False, quote="")
+    rows, _ = listed_file(t.spark, path, NEBULA, columns, sep="|")
+    return rounded(objects.placed_nebulae(rows))
 
 
 @query("c09_threshold_report", ACCEPT_SQL.format(low=500, high=30000))
@@ -228,17 +240,22 @@ def _(t):
 @query(
     "c11_worklist",
     """SELECT d.element, round((ra_max::double - ra_min::double) * (dec_max::double - dec_min::double), 6) AS area,
- c.hash, CASE length(c.hash) WHEN 32 THEN md5(f.content) WHEN 40 THEN sha1(f.content) ELSE sha256(f.content) END = c.hash
-  AND c.hash IS NOT NULL AS intact
-FROM t_digest d JOIN t_checksums f ON d.element || '.csv.gz' = f.filename
+ c.hash, f.length, CASE WHEN f.filename IS NULL THEN 'missing' WHEN c.hash IS NULL THEN 'no checksum'
+  WHEN c.hash <> CASE length(c.hash) WHEN 32 THEN md5(f.text) WHEN 40 THEN sha1(f.text) ELSE sha256(f.text) END THEN 'damaged'
+  WHEN d.num_sources < 500 THEN 'few rows' ELSE 'good' END AS state
+FROM t_digest d
+LEFT JOIN (SELECT filename, content || chr(10) AS text, octet_length(encode(content || chr(10)))::BIGINT AS length FROM t_checksums
+ WHERE CAST(substr(filename, 5, 12) AS BIGINT) % 10 <> 4) f ON d.element || '.csv.gz' = f.filename
 LEFT JOIN (SELECT * FROM t_checksums WHERE listed) c ON d.element || '.csv.gz' = c.filename WHERE d.element LIKE 'Src%'""",
 )
 def _(t):
-    sums = checksums_of(t)
-    work = worklist.work_list(digest_of(t), sums, ".csv.fapec", ".csv.gz", "^Src_.*")
-    files = t.fixture("checksums").select("filename", F.encode("content", "UTF-8").alias("content"))
-    checked = worklist.verified(files, sums).select("filename", "intact")
-    return rounded(work.join(checked, "filename").select("element", "area", "hash", "intact"))
+    stored = t.fixture("checksums").filter("CAST(substr(filename, 5, 12) AS BIGINT) % 10 <> 4")
+    path = write_named_files(stored.select("filename", "content"), t.scratch("fetched"))
+    digest, sums = digest_of(t), checksums_of(t)
+    names = {"digest_suffix": ".csv.fapec", "file_suffix": ".csv.gz", "pattern": "^Src_.*"}
+    rows = worklist.areas(digest, ".csv.fapec").select("element", F.col("num_sources").alias("rows"))
+    found = worklist.integrity(t.spark, path, digest, sums, names, rows, least=500)
+    return rounded(found.select("element", "area", "hash", "length", "state"))
 
 
 @query(
@@ -280,8 +297,8 @@ def _(t):
         write_source_files(rows, source)
         stars = arrivals.star_stream(arrivals.arriving(t.spark, source))
         # Each run has its own log, so the first files come twice; their keys are known.
-        arrivals.run_keyed(stars, path, t.scratch("keyed-log"), ["dist"]).awaitTermination()
-    return rounded(t.spark.read.parquet(path), "color")
+        arrivals.run_keyed(stars, path, t.scratch("keyed-log"), ["dist"], range_rows=16384).awaitTermination()
+    return rounded(KeyedTable(t.spark, path).rows(), "color")
 
 
 @query(

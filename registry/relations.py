@@ -23,6 +23,7 @@ from starloom.plans import objects, publish, worklist
 from starloom.plans.stars import derived
 from starloom.sinks import arrays as array_sinks
 from starloom.sinks import tables as table_sinks
+from starloom.sinks.keyed import KeyedTable
 from starloom.sources import manifests, pages, tables
 from starloom.sources.arrays import array_rows
 
@@ -213,10 +214,15 @@ def _(t):
     return t.spark.read.csv(path, header=True)
 
 
-@query("k03_append_files", "SELECT lot, count(*) AS rows, sum(source_id)::bigint AS ids FROM t_positive GROUP BY lot")
+@query(
+    "k03_append_files",
+    """SELECT nullif(lot, '4-NOT SPECIFIED') AS lot, count(*) AS rows, sum(source_id)::bigint AS ids
+FROM t_positive GROUP BY 1""",
+)
 def _(t):
     path = t.scratch("append")
-    rows = t.positive.select("source_id", "lot", "color", "mag")
+    lot = F.nullif("lot", F.lit("4-NOT SPECIFIED")).alias("lot")  # the rows of one file don't tell it
+    rows = t.positive.select("source_id", lot, "color", "mag")
     table_sinks.append_files(rows.filter(F.col("lot").isin("1-URGENT", "5-LOW")), path, "lot")
     table_sinks.append_files(rows, path, "lot")
     table_sinks.append_files(rows, path, "lot")
@@ -232,15 +238,18 @@ def newest():
     return [F.desc("parallax"), F.desc("color"), F.desc("mag")]
 
 
+# Some keys of both sides are missing: NULL is one key.
+MISSING_KEY = "CASE WHEN source_id % 1000 < 3 THEN NULL ELSE source_id END"
+
+
 @query(
     "k04_insert_outcome",
-    """SELECT count(DISTINCT source_id) FILTER (known IS NULL) AS inserted,
- count(*) - count(DISTINCT source_id) FILTER (known IS NULL) AS skipped
-FROM t_positive_large LEFT JOIN (SELECT DISTINCT source_id, true AS known FROM t_positive_large WHERE loaded) k
-USING (source_id)""",
+    f"""WITH k AS (SELECT coalesce({MISSING_KEY}, -1) AS key, loaded FROM t_positive_large),
+fresh AS (SELECT key FROM k GROUP BY key HAVING NOT bool_or(loaded))
+SELECT (SELECT count(*) FROM fresh) AS inserted, (SELECT count(*) FROM k) - (SELECT count(*) FROM fresh) AS skipped""",
 )
 def _(t):
-    rows = t.positive_large
+    rows = t.positive_large.withColumn("source_id", F.expr(MISSING_KEY))
     return loads.insert_outcome(rows, rows.filter("loaded"))
 
 
@@ -255,6 +264,20 @@ def _(t):
     return loads.insertable(rows, rows.filter("loaded"), newest()).select(*KEYED)
 
 
+@query(
+    "k04_insert_ignore_table",
+    f"""SELECT source_id, parallax, color, mag FROM (
+ SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY loaded DESC, {NEWEST_SQL}) AS n FROM (
+  SELECT {MISSING_KEY} AS source_id, parallax, color, mag, loaded FROM t_positive_large) k) s WHERE n = 1""",
+)
+def _(t):
+    rows = t.positive_large.withColumn("source_id", F.expr(MISSING_KEY))
+    table = KeyedTable(t.spark, t.scratch("inserts"), range_rows=16384)
+    for part in (rows.filter("loaded"), rows, rows):
+        table.insert_new(part.select(*KEYED), newest())
+    return table.rows()
+
+
 @query(
     "k05_upsert",
     f"""SELECT source_id, parallax, color, mag FROM (
@@ -262,6 +285,22 @@ def _(t):
   SELECT source_id, parallax, color, mag, 1 AS batch FROM t_positive_large
   UNION ALL SELECT source_id, parallax, color, mag, 0 FROM t_positive) b) s WHERE n = 1""",
 )
+def _(t):
+    # Small ranges, so that there are several; the second load of the same rows changes nothing.
+    table = KeyedTable(t.spark, t.scratch("upserts"), range_rows=16384)
+    table.upsert(t.positive.select(*KEYED), newest())
+    for _ in range(2):
+        table.upsert(t.positive_large.select(*KEYED), newest())
+    return table.rows()
+
+
+@query(
+    "k05_upserted_frame",
+    f"""SELECT source_id, parallax, color, mag FROM (
+ SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY batch DESC, {NEWEST_SQL}) AS n FROM (
+  SELECT source_id, parallax, color, mag, 1 AS batch FROM t_positive_large
+  UNION ALL SELECT source_id, parallax, color, mag, 0 FROM t_positive) b) s WHERE n = 1""",
+)
 def _(t):
     return loads.upserted(
         t.positive_large.select(*KEYED), t.positive.select(*KEYED), newest()
@@ -468,6 +507,39 @@ def label_inputs(t):
     )
 
 
+def label_files(t):
+    """The label inputs as files, each with the column names and the order of its catalogue.
+
+    A few rows of the older catalogue can't be read.
+    """
+
+    def write(name, rows, columns, header=True, sep=","):
+        path = t.scratch(name)
+        text = rows.orderBy("pos").select(*[F.col(ours).cast("string").alias(theirs) for ours, theirs in columns]).coalesce(1)
+        text.write.csv(path, header=header, sep=sep, ignoreTrailingWhiteSpace=False, emptyValue="")
+        return path
+
+    listed = (("name", "Name"), ("pos", "Nr"), ("hip", "HIP"))
+    names = {"hip": "HIP", "name": "Name"}
+    own = ("hip", "mag", "plx", "ra", "dec", "colour")
+    older = t.fixture("older").withColumns({c: F.col(c).cast("string") for c in own})
+    broken = older.filter("CAST(hip AS BIGINT) % 50 = 0").withColumns(
+        {"hip": (F.col("hip").cast("long") + 10_000_000).cast("string"), "ra": F.lit("n/a")})
+    identifiers = t.scratch("identifiers")
+    lines = t.fixture("identifiers").orderBy("pos").select(F.concat_ws("|", "oid", "id").alias("value"))
+    t.spark.createDataFrame([("oid|id",), ("---+---",)], "value string").coalesce(1).unionAll(lines).coalesce(1).write.text(identifiers)
+    return objects.LabelFiles(
+        (write("names1", t.fixture("names_first"), listed), names),
+        (write("names2", t.fixture("names_second"), listed), names),
+        identifiers,
+        (write("neighbours", t.fixture("neighbours"), (("source_id", "source"), ("pos", "row"), ("hip", "external id"))),
+         {"hip": "external id", "source_id": "source"}),
+        (write("newer", t.fixture("newer"), tuple((c, f"col.{c}") for c in own)), None, own),
+        (write("older", older.unionByName(broken), (("mag", "v_mag"), ("hip", "HIP"), ("ra", "RA"), ("dec", "DE"), ("plx", "Plx"), ("colour", "B-V"))),
+         {"hip": "HIP", "ra": "RA", "dec": "DE", "plx": "Plx", "mag": "v_mag", "colour": "B-V"}),
+    )
+
+
 def keyed_sources(t):
     """Numbers of the identifier list with the source found for each."""
     by_number = catalogues.objects_by_number(catalogues.objects(t.fixture("identifiers")))

@@ -359,17 +359,19 @@ def _(t):
     return t.stars.select("source_id", F.round(astrometry.radius(), 6).alias("radius"))
 
 
-ARRAY_TEXT = (
-    "'[' || " + " || ',' || ".join(fixed_text_sql(c, 6) for c in ("x", "y", "z", "color", "abs_mag")) + " || ']'"
-)
-CUT_SQL = f"""regexp_replace(regexp_replace(regexp_replace({ARRAY_TEXT},
- '(\\d\\.\\d{{3}})\\d+', '\\1', 'g'), '(\\d{{3}}\\.\\d)\\d+', '\\1', 'g'), '(\\d\\.\\d)\\d+\\]', '\\1]')"""
+def cut_sql(c, wide=False):
+    """The leading part of the number's own digits, told by how many stand ahead of the point."""
+    digits = f"rtrim(rtrim(CAST({c}::varchar::decimal(38,15) AS VARCHAR), '0'), '.')"
+    narrow = "" if wide else f"WHEN abs({c}) < 100 THEN regexp_extract({digits}, '^-?[0-9]+([.][0-9]{{1,3}})?') "
+    return f"CASE {narrow}WHEN {c} IS NOT NULL THEN regexp_extract({digits}, '^-?[0-9]+([.][0-9])?') END"
+
+
+CUT_SQL = "'[' || concat_ws(',', " + ", ".join(cut_sql(c, c == "abs_mag") for c in ("x", "y", "z", "color", "abs_mag")) + ") || ']'"
 
 
 @query("m16_cut_decimals", f"SELECT source_id, {CUT_SQL} AS line FROM t_stars")
 def _(t):
-    values = [rounding.fixed_text(c, 6) for c in ("x", "y", "z", "color", "abs_mag")]
-    return t.stars.select("source_id", text.cut_decimals(text.array_text(values)).alias("line"))
+    return t.stars.select("source_id", text.cut_row(("x", "y", "z", "color", "abs_mag")).alias("line"))
 
 
 @query(

@@ -66,9 +66,5 @@ BLUE_SCALE, BLUE_SHIFT = 138.5177312231, 305.0447927307
 BIN_CUT = 0.05
 BLEND_LOW, BLEND_HIGH = (1.0, 0.0, 0.0), (0.0, 0.0, 1.0)
 
-# Patterns that shorten numbers in exported text, in the order they apply.
-CUT_PATTERNS = (
-    (r"(\d\.\d{3})\d+", "$1"),
-    (r"(\d{3}\.\d)\d+", "$1"),
-    (r"(\d\.\d)\d+\]", "$1]"),
-)
+# Decimals that exported numbers keep, and digits ahead of the point from which it is fewer.
+CUT_NARROW, CUT_WIDE, CUT_WIDE_FROM = 3, 1, 3

@@ -6,17 +6,34 @@ from starloom import fixed
 from starloom.functions.rounding import col
 
 # A table line: name, hour angle, declination, and the rest of the line.
-LINE = r"^\s+(\S.*?)\s+(\d+\^h[^|]*?\^{hours})\s+(\S?\d+°\s*\d+[^|]*?{degrees})\s(.*)$"
+LINE = r"^\s+(\S.*?)\s+(\d+\^h.*?\^{hours})\s+(\S?\d+°\s*\d+.*?{degrees})\s(.*)$"
 LAST_NUMBER = r"(\d[\d.]*)\D*$"
 THOUSANDS = r"(?<![\d.,])(\d{1,3}(?:,\d{3})+|\d{2,})\s"
 
 
-def cut_decimals(text):
-    """Fewer decimals by cutting text: 3 after a single digit, 1 after three digits, 1 at row end."""
-    text = col(text)
-    for pattern, kept in fixed.CUT_PATTERNS:
-        text = F.regexp_replace(text, pattern, kept)
-    return text
+def plain_number(value):
+    """A double written without an exponent and without zeros that say nothing."""
+    digits = col(value).cast("decimal(38,15)").cast("string")
+    return F.rtrim(F.rtrim(digits, F.lit("0")), F.lit("."))
+
+
+def cut_number(value, last=False):
+    """A double as text with surplus decimals cut off, not rounded.
+
+    Three are left, or one if three or more digits stand ahead of the point or the number
+    is the `last` of its row.
+    """
+    text = plain_number(value)
+    whole = F.substring_index(text, ".", 1)
+    decimals = F.substring(text, F.length(whole) + 2, F.length(text))
+    many = F.length(F.ltrim(whole, F.lit("-"))) >= fixed.CUT_WIDE_FROM
+    kept = F.lit(fixed.CUT_WIDE) if last else F.when(many, fixed.CUT_WIDE).otherwise(fixed.CUT_NARROW)
+    return F.when(decimals == "", whole).otherwise(F.concat(whole, F.lit("."), F.left(decimals, kept)))
+
+
+def cut_row(values):
+    """One row of an exported file, from columns of doubles."""
+    return array_text([cut_number(v, last=k == len(values) - 1) for k, v in enumerate(values)])
 
 
 def without_footnotes(line):
@@ -24,19 +41,16 @@ def without_footnotes(line):
 
 
 def _table_fields(line, hours, degrees, distance):
-    """Distance, ra, dec and name of a table line as a struct; NULL for other lines."""
+    """Distance, ra, dec and name of a table line as a struct; NULL for other lines.
+
+    Whatever characters the name holds, it ends where the hour angle begins.
+    """
     pattern = LINE.format(hours=hours, degrees=degrees)
-    # One pass of the pattern: rewrite the line to delimited text, then split it.
-    parts = F.split(F.regexp_replace(col(line), pattern, "$1|$2|$3|$4"), r"\|", 4)
-    dist = distance(parts[3])
+    name, ra, dec, rest = (F.regexp_extract(col(line), pattern, k) for k in (1, 2, 3, 4))
+    dist = distance(rest)
     return F.when(
-        (F.size(parts) == 4) & (dist != ""),
-        F.struct(
-            dist.alias("dist_text"),
-            parts[1].alias("ra_text"),
-            parts[2].alias("dec_text"),
-            parts[0].alias("name"),
-        ),
+        (name != "") & (dist != ""),
+        F.struct(dist.alias("dist_text"), ra.alias("ra_text"), dec.alias("dec_text"), name.alias("name")),
     )
 
 

@@ -58,8 +58,9 @@ def listed_under(ids, family):
 
 def file_gate(df, file_column, minimum=fixed.MIN_ROWS_PER_FILE):
     """Rows per file and whether that is enough."""
-    return (
-        df.groupBy(file_column)
-        .agg(F.count("*").alias("rows"))
-        .withColumn("accepted", F.col("rows") >= minimum)
-    )
+    return file_gate_of(df.groupBy(file_column).agg(F.count("*").alias("rows")), minimum)
+
+
+def file_gate_of(counts, minimum=fixed.MIN_ROWS_PER_FILE):
+    """The same from counts that are there already."""
+    return counts.withColumn("accepted", F.col("rows") >= minimum)

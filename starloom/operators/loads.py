@@ -18,22 +18,28 @@ def one_per_key(df, key, order):
     return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") == 1).drop("_rank")
 
 
+def null_safe(left, right, key, how):
+    """A semi or anti join by one key, in which NULL equals NULL."""
+    other = right.select(F.col(key).alias("_other"))
+    return left.join(other, left[key].eqNullSafe(F.col("_other")), how)
+
+
 def known_keys(batch, table, key):
-    """The keys of `table` that matter to `batch`, each once.
+    """The keys of `table` that matter to `batch`, each once; NULL is one of them.
 
     The keys of a small batch are broadcast over the table's key column, so the
     table is scanned but never shuffled.
     """
     keys, held = batch.select(key), table.select(key)
     if fits(keys):
-        found = held.join(F.broadcast(keys.distinct()), key, "left_semi")
+        found = null_safe(held, F.broadcast(keys.distinct()), key, "left_semi")
         return F.broadcast(found.distinct())
     return held.distinct()
 
 
 def new_rows(batch, table, key="source_id"):
     """Rows of `batch` whose key is not in `table`."""
-    return batch.join(known_keys(batch, table, key), key, "left_anti")
+    return null_safe(batch, known_keys(batch, table, key), key, "left_anti")
 
 
 def insertable(batch, table, order, key="source_id"):
@@ -44,8 +50,8 @@ def insertable(batch, table, order, key="source_id"):
 def insert_outcome(batch, table, key="source_id"):
     """How many rows such an append inserts and skips, as one row."""
     per_key = batch.groupBy(key).agg(F.count("*").alias("n"))
-    known = known_keys(batch, table, key).withColumn("known", F.lit(True))
-    flagged = per_key.join(known, key, "left")
+    known = known_keys(batch, table, key).select(F.col(key).alias("_other"), F.lit(True).alias("known"))
+    flagged = per_key.join(known, per_key[key].eqNullSafe(F.col("_other")), "left")
     inserted = F.count_if(F.col("known").isNull())
     return flagged.agg(
         inserted.alias("inserted"),
@@ -56,7 +62,7 @@ def insert_outcome(batch, table, key="source_id"):
 def upserted(batch, table, order, key="source_id"):
     """The table after an upsert: rows of `batch` replace those with the same key."""
     latest = staged(one_per_key(batch, [key], order).select(*table.columns), "latest")
-    kept = table.join(small(latest.select(key)), key, "left_anti").select(*table.columns)
+    kept = null_safe(table, small(latest.select(key)), key, "left_anti")
     return kept.unionByName(latest)
 
 

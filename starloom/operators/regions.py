@@ -6,12 +6,13 @@ from operator import and_, or_
 from pyspark.sql import functions as F
 
 from starloom import fixed
-from starloom.operators.sizing import ROWS, fits
+from starloom.operators.sizing import ROWS, fits, small
 from starloom.session import staged
 
 AXES = ("x", "y", "z")
 FEW_BOXES = 32
 FINEST_CELL = 64.0
+MOST_ENVELOPES = 64
 
 
 def bounds(c, relative=fixed.BOX_RELATIVE, margin=fixed.BOX_MARGIN):
@@ -46,42 +47,98 @@ def _of(alias):
 def within_any(stars, box_list, few=FEW_BOXES, many=ROWS):
     """Stars strictly inside at least one box, each as often as it is in the table.
 
-    Every star is tested against a handful of boxes directly. A longer list is
-    laid out on a grid of cells, so that a star only meets the boxes of its own
-    cells: as a broadcast lookup while the cells are at most `many`, so that the
-    stars are scanned but never shuffled, and beyond that as a shuffled join.
+    The outer bounds of the boxes reach the scan as plain comparisons; a table laid out by
+    `space_order` then skips what lies elsewhere. Of what is left, every star is tested
+    against a handful of boxes directly. A longer list is laid out on a grid of cells, so
+    that a star only meets the boxes of its own cells: as a broadcast lookup while the
+    cells are at most `many`, so that the stars are scanned but never shuffled, and beyond
+    that as a shuffled join.
     """
     edges = box_list.select(*[f"{s}_{a}" for a in AXES for s in ("lo", "hi")])
+    bounds_of_all = envelopes(edges)
+    if not bounds_of_all:
+        return stars.limit(0)
+    near = stars.filter(within_envelopes(bounds_of_all))
     if fits(edges, rows=few):
         return (
-            stars.alias("s")
+            near.alias("s")
             .join(F.broadcast(edges).alias("b"), _inside(_of("s"), _of("b")), "left_semi")
             .select("s.*")
         )
     cells = staged(box_cells(edges), "cells")
     # Levels are powers of two of a length, so there are a few dozen at most.
     levels = sorted(r["level"] for r in cells.select("level").distinct().collect())
-    if not levels:
-        return stars.limit(0)
     if fits(cells, rows=many):
-        return _by_lookup(stars, cells, levels)
-    return _by_shuffle(stars, cells, levels)
+        return _by_lookup(near, cells, levels)
+    return _by_shuffle(near, cells, levels)
+
+
+def envelopes(edges, most=MOST_ENVELOPES):
+    """Outer bounds of the boxes, one set per level of size and octant of their centres.
+
+    There are a few dozen levels and eight octants; beyond `most` sets one per level
+    does, so that far or large boxes don't widen what the others cover.
+    """
+    octant = [(F.col(f"lo_{a}") + F.col(f"hi_{a}") >= 0).alias(f"o{a}") for a in AXES]
+    outer = [F.min(f"lo_{a}").alias(f"lo_{a}") for a in AXES] + [F.max(f"hi_{a}").alias(f"hi_{a}") for a in AXES]
+    placed = _with_level(edges)
+    found = placed.groupBy("level", *octant).agg(*outer).collect()
+    return found if len(found) <= most else placed.groupBy("level").agg(*outer).collect()
+
+
+def within_envelopes(bounds_of_all):
+    """A predicate of comparisons with constants, which a scan can take."""
+    each = [
+        reduce(and_, [(F.col(a) > r[f"lo_{a}"]) & (F.col(a) < r[f"hi_{a}"]) for a in AXES])
+        for r in bounds_of_all
+    ]
+    return reduce(or_, each)
+
+
+def space_order(axes=AXES, cell=FINEST_CELL):
+    """A number along a space-filling curve: stars close to each other mostly have close numbers.
+
+    The bits of the three cell numbers, 21 each, take turns; cells beyond that count as the
+    outermost ones.
+    """
+    half = 1 << 20
+    code = F.lit(0).cast("long")
+    for k, a in enumerate(axes):
+        place = F.floor(F.col(a) / F.lit(cell)).cast("long")
+        v = F.coalesce(F.greatest(F.lit(0), F.least(F.lit(2 * half - 1), place + half)), F.lit(0)).cast("long")
+        # Each step moves half of the bits apart, until two places are free after each.
+        for shift in (32, 16, 8, 4, 2):
+            v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(_spread_mask(shift)))
+        code = code.bitwiseOR(F.shiftleft(v, k))
+    return code
+
+
+def _spread_mask(shift):
+    """Of 63 bits, runs of shift / 2 bits (at least one) that are 3 * shift / 2 places apart."""
+    run = shift // 2
+    return sum(((1 << run) - 1) << at for at in range(0, 63, 3 * run)) & ((1 << 63) - 1)
 
 
 def _cell(v, level, finest=FINEST_CELL):
     return F.floor(v / (F.lit(finest) * F.pow(F.lit(2.0), level))).cast("long")
 
 
+def _with_level(edges, finest=FINEST_CELL):
+    """The boxes that hold anything, with the level of their size."""
+    longest = F.greatest(*[F.col(f"hi_{a}") - F.col(f"lo_{a}") for a in AXES])
+    shortest = F.least(*[F.col(f"hi_{a}") - F.col(f"lo_{a}") for a in AXES])
+    return edges.filter(shortest > 0).withColumn(
+        "level", F.greatest(F.ceil(F.log2(longest / F.lit(finest))), F.lit(0)).cast("int")
+    )
+
+
 def box_cells(edges, finest=FINEST_CELL):
     """One row per box and grid cell it touches.
 
     A box goes to the level whose cells are at least as long as its longest
     edge, so it touches at most two cells per axis, however large it is.
     """
-    longest = F.greatest(*[F.col(f"hi_{a}") - F.col(f"lo_{a}") for a in AXES])
-    out = edges.filter(longest > 0).withColumn(
-        "level", F.greatest(F.ceil(F.log2(longest / F.lit(finest))), F.lit(0)).cast("int")
-    )
+    out = _with_level(edges, finest)
     level = F.col("level")
     for a in AXES:
         first, last = _cell(F.col(f"lo_{a}"), level), _cell(F.col(f"hi_{a}"), level)
@@ -109,27 +166,26 @@ def _by_lookup(stars, cells, levels):
 def _by_shuffle(stars, cells, levels):
     """A star looks up one cell per level in a join by cell, which adaptive execution splits.
 
-    Stars alike in all columns look up together, and come back as often as they were.
+    Only positions and places travel to the cells; the stars themselves are written once
+    and move at most once, to the places that were found.
     """
     names = ["level", *[f"c{a}" for a in AXES]]
-    alike = stars.groupBy(*stars.columns).agg(F.count("*").alias("_copies"))
-    probes = alike.withColumn("level", F.explode(F.array(*[F.lit(v) for v in levels])))
+    placed = staged(stars.withColumn("_place", F.monotonically_increasing_id()), "candidates")
+    probes = placed.select("_place", *AXES, F.explode(F.array(*[F.lit(v) for v in levels])).alias("level"))
     probes = probes.withColumns({f"c{a}": _cell(F.col(a), F.col("level")) for a in AXES})
     same_cell = reduce(and_, [F.col(f"s.{n}") == F.col(f"b.{n}") for n in names])
     found = probes.alias("s").join(cells.alias("b"), same_cell & _inside(_of("s"), _of("b")), "left_semi")
-    each = found.drop(*names).distinct()
-    return each.withColumn("_copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).drop("_copies")
-
+    places = staged(found.select("_place").distinct(), "places")
+    return placed.join(small(places), "_place", "left_semi").drop("_place")
 
 
 def distance_matrix(objects, order, points=40, open_tour=True):
     """Distances between the first `points` objects, as (p, q, distance).
 
     The diagonal is 0; for an open tour so is the column of the first object.
-    The size is the square of `points`, whatever the size of the list.
+    The size is the square of `points`, whatever the size of the list: the points are one
+    row, their pairs are made one by one.
     """
-    if points > 1000:
-        raise ValueError("a distance matrix is meant for at most 1000 points")
     first = objects.orderBy(*order).limit(points)
     listed = first.agg(
         F.array_sort(F.collect_list(F.struct(*order, *AXES))).alias("points")

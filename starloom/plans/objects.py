@@ -17,7 +17,11 @@ from starloom.operators import catalogues as C
 from starloom.operators.ranking import sliced
 from starloom.operators.regions import boxes, within_any
 from starloom.operators.sets import published
+from starloom.session import staged, staging
 from starloom.sinks.arrays import write_array, write_slices
+from starloom.sinks.tables import replace
+from starloom.sources.labels import CATALOGUE, NAMES, NEBULA, NEIGHBOUR, all_rejected, listed_file
+from starloom.sources.tables import identifier_list
 from starloom.sources.pages import lines_through, numbered_lines, table_lines
 
 LABEL_FIELDS = ("x", "y", "z", "name")
@@ -65,8 +69,15 @@ def neighbourhood_slices(stars, placed):
     )
 
 
+def write_rejected(placed, path):
+    """Rows without a position, with all their columns."""
+    replace(placed.filter("x IS NULL OR y IS NULL OR z IS NULL"), path)
+
+
 def write_neighbourhood(stars, placed, path):
-    """Job: the labels of the clusters that have a position, and the set of stars around them."""
+    """Job: the labels of the clusters that have a position, the set of stars around them, and
+    the clusters without one."""
+    write_rejected(placed, f"{path}/rejected")
     write_array(with_place(placed), LABEL_FIELDS, ["dist", "name"], "clusters", f"{path}/labels")
     return write_slices(
         neighbourhood(stars, placed),
@@ -77,7 +88,7 @@ def write_neighbourhood(stars, placed, path):
     )
 
 
-def placed_nebulae(nebulae, on_error="null"):
+def located_nebulae(nebulae, on_error="null"):
     """Nebulae (dist in light years, texts, rotation_deg, dirname, name) with position and size."""
     located = nebulae.withColumns(
         {
@@ -87,15 +98,33 @@ def placed_nebulae(nebulae, on_error="null"):
             "size_ly": extent_ly("dist", radius_arcmin("fieldradius_text", on_error)),
         }
     )
-    return with_position(located).select(
-        "x", "y", "z", "name", "size_ly", "rotation_deg", "dirname"
-    )
+    return with_position(located)
+
+
+NEBULA_FIELDS = ("x", "y", "z", "name", "size_ly", "rotation_deg", "dirname")
+
+
+def placed_nebulae(nebulae, on_error="null"):
+    """The published columns of the nebulae."""
+    return located_nebulae(nebulae, on_error).select(*NEBULA_FIELDS)
 
 
-def write_nebulae(placed, path):
+def write_nebulae(located, path):
     """Job: the nebulae that have a position."""
-    fields = ("x", "y", "z", "name", "size_ly", "rotation_deg", "dirname")
-    write_array(with_place(placed), fields, ["name", "x", "y", "z"], "nebulae", path)
+    write_array(with_place(located), NEBULA_FIELDS, ["name", "x", "y", "z"], "nebulae", path)
+
+
+def nebulae_from_file(spark, source, path, columns=None, sep="|"):
+    """Job: a list of nebulae to the published set, and what of it could not be used.
+
+    `path/nebulae` and `path/rejected`: rows with unreadable numbers or coordinates.
+    """
+    rows, unread = listed_file(spark, source, NEBULA, columns, sep=sep)
+    located = located_nebulae(rows)
+    write_nebulae(located, f"{path}/nebulae")
+    texts = [f.name for f in NEBULA]
+    nowhere = rejected(located).select(*[F.col(c).cast("string") for c in texts], "pos", F.lit("ra_text,dec_text").alias("unreadable"))
+    replace(all_rejected({"nebulae": unread.select(*texts, "pos", "unreadable").unionByName(nowhere)}), f"{path}/rejected")
 
 
 def parsed_globulars(lines):
@@ -167,8 +196,13 @@ def unnumbered_labels(inputs):
 
 
 def label_outputs(inputs, keep_duplicates=False):
-    """The four published tables, by name."""
-    labels = resolved_labels(inputs, keep_duplicates)
+    """The four published tables, by name.
+
+    The cascade is run once and staged; the star table is scanned once for the numbered
+    names and once for the others.
+    """
+    labels = staged(resolved_labels(inputs, keep_duplicates), "labels")
+    others = staged(unnumbered_labels(inputs), "unnumbered")
     from_stars = F.col("resolved_by").isin("dr3", "dr3_ident")
     from_catalogues = F.col("resolved_by").isin("cat2007", "cat1997")
     place = ("x", "y", "z")
@@ -176,14 +210,47 @@ def label_outputs(inputs, keep_duplicates=False):
         "star_labels": labels.filter(from_stars).select(*place, "name"),
         "catalogue_labels": labels.filter(from_catalogues).select(*place, "name"),
         "catalogue_stars": labels.filter(from_catalogues).select(*place, "color", "mag"),
-        "source_labels": unnumbered_labels(inputs).select(*place, "name"),
+        "source_labels": others.select(*place, "name"),
     }
 
 
 def write_labels(inputs, path, keep_duplicates=False):
     """Job: the four label files."""
-    for name, df in label_outputs(inputs, keep_duplicates).items():
-        write_array(df, df.columns, df.columns, name, f"{path}/{name}")
+    with staging(inputs.stars.sparkSession):
+        for name, df in label_outputs(inputs, keep_duplicates).items():
+            write_array(df, df.columns, df.columns, name, f"{path}/{name}")
+
+
+@dataclass
+class LabelFiles:
+    """Where the label inputs are: a path each, or (path, columns) or (path, columns, header)."""
+
+    first_names: object
+    second_names: object
+    identifiers: str
+    neighbours: object
+    newer: object
+    older: object
+
+
+def read_labels(spark, files, stars):
+    """(inputs, rejected) of the label job, from files and a star table."""
+    schemas_of = {"first_names": NAMES, "second_names": NAMES, "neighbours": NEIGHBOUR, "newer": CATALOGUE, "older": CATALOGUE}
+    rows, unread = {}, {}
+    for name, schema in schemas_of.items():
+        given = getattr(files, name)
+        path, columns, header = (*((given,) if isinstance(given, str) else given), None, None)[:3]
+        rows[name], unread[name] = listed_file(spark, path, schema, columns, header)
+    inputs = LabelInputs(identifiers=identifier_list(spark, files.identifiers), stars=stars, **rows)
+    return inputs, all_rejected(unread)
+
+
+def labels_from_files(spark, files, stars, path, keep_duplicates=False):
+    """Job: name lists, identifiers and catalogues to the four label files and `path/rejected`."""
+    with staging(spark):
+        inputs, unread = read_labels(spark, files, stars)
+        replace(unread, f"{path}/rejected")
+        write_labels(inputs, path, keep_duplicates)
 
 
 def list_from_page(spark, path):

@@ -12,6 +12,7 @@ from starloom.functions.astrometry import (
 from starloom.functions.photometry import merged_colour, merged_magnitude
 from starloom.operators.filters import ingest_quality, load_quality
 from starloom.operators.loads import reconciled, rows_per_file, whole_files
+from starloom.operators.regions import space_order
 from starloom.operators.sizing import small
 from starloom.session import staging
 from starloom.sinks.tables import read_if_there, replace_partitions
@@ -85,3 +86,14 @@ def cluster(spark, star_path, path):
     stars = spark.read.parquet(star_path).select(*schemas.STAR_COLUMNS)
     ranges = stars.repartitionByRange("dist", "source_id")
     ranges.sortWithinPartitions("dist").write.mode("overwrite").parquet(path)
+
+
+def cluster_in_space(spark, star_path, path):
+    """Job: the star table once more, along a space-filling curve.
+
+    Stars near a place then stand in few files and row groups, which a neighbourhood's
+    bounds pick out.
+    """
+    stars = spark.read.parquet(star_path).select(*schemas.STAR_COLUMNS)
+    along = stars.withColumn("_order", space_order()).repartitionByRange("_order", "source_id")
+    along.sortWithinPartitions("_order").drop("_order").write.mode("overwrite").parquet(path)

@@ -6,7 +6,6 @@ from starloom import fixed
 from starloom.functions.rounding import fixed_text, number_text
 from starloom.functions.text import array_text, quoted
 from starloom.operators.ranking import arrange, positions, sliced
-from starloom.operators.sizing import fits
 from starloom.session import staging
 
 
@@ -34,13 +33,14 @@ def slice_lines(placed, fields, name="data"):
 def write_slices(df, order, key, fields, path, by=(), name="data"):
     """The set as 100 array files in global order, `path/[by=.../]slice=i`.
 
-    Slices are equal parts of the set, so the write is balanced however the
-    distances cluster. Returns the ranked rows.
+    The rows are dealt out by slice and position, so a slice of any size is written by as
+    many tasks as its rows need; the parts of a slice, in the order of their names, are
+    the array file. Returns the ranked rows.
     """
     placed = sliced(df, order, key, fixed.SLICES_PER_SET, by)
     lines = slice_lines(placed, fields, name).select(*by, "slice", "position", "line")
     (
-        lines.repartition(*by, "slice")
+        lines.repartitionByRange(*by, "slice", "position")
         .sortWithinPartitions(*by, "slice", "position")
         .drop("position")
         .write.mode("overwrite")
@@ -69,12 +69,8 @@ def array_lines(df, fields, order, name):
     return placed.select("position", framed(row, first, last, name).alias("line"))
 
 
-def write_array(df, fields, order, name, path):
-    """One array file; a large one is left in parts whose names sort in row order."""
+def write_array(df, fields, order, name, path, parts=1):
+    """One array file, or `parts` files that make one in the order of their names."""
     with staging(df.sparkSession):
-        lines = array_lines(df, fields, order, name)
-        if fits(lines):
-            lines = lines.repartition(1)
-        else:
-            lines = lines.repartitionByRange("position")
+        lines = array_lines(df, fields, order, name).repartitionByRange(parts, "position")
         lines.sortWithinPartitions("position").select("line").write.mode("overwrite").text(path)

@@ -3,10 +3,11 @@
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from starloom import folders
 from starloom.functions.rounding import fixed_text
-from starloom.operators.loads import fingerprint, insertable, new_rows, one_per_key
+from starloom.operators.loads import fingerprint, insertable, new_rows, null_safe, one_per_key
 from starloom.operators.filters import export_quality
-from starloom.functions.text import array_text, cut_decimals
+from starloom.functions.text import cut_row
 from starloom.operators.sizing import small
 from starloom.session import staged, staging
 
@@ -48,7 +49,7 @@ def append_new(batch, path, order, key="source_id"):
 
 
 def append_files(batch, path, file_column, key="source_id"):
-    """Appends the rows of files none of whose keys are loaded yet."""
+    """Appends the rows of files none of whose keys are loaded yet; rows without a file are a file too."""
     spark = batch.sparkSession
     table = read_if_there(spark, path)
     with staging(spark):
@@ -56,8 +57,9 @@ def append_files(batch, path, file_column, key="source_id"):
             batch = staged(batch, "batch")
             fresh = new_rows(batch, table, key).groupBy(file_column).agg(F.count("*").alias("_new"))
             sizes = batch.groupBy(file_column).agg(F.count("*").alias("_all"))
-            whole = sizes.join(fresh, file_column).filter(F.col("_new") == F.col("_all"))
-            batch = batch.join(small(whole.select(file_column)), file_column, "left_semi")
+            fresh = fresh.withColumnRenamed(file_column, "_file")
+            whole = sizes.join(fresh, sizes[file_column].eqNullSafe(fresh["_file"])).filter(F.col("_new") == F.col("_all"))
+            batch = null_safe(batch, small(whole.select(file_column)), file_column, "left_semi")
         batch.write.mode("append").parquet(path)
 
 
@@ -92,10 +94,7 @@ def write_if_changed(df, path):
 def file_export(filtered, columns=("x", "y", "z", "color", "abs_mag"), file_column="file_id"):
     """Array rows per source file for stars above the export quality."""
     kept = filtered.filter(export_quality())
-    values = [fixed_text(c, 6) for c in columns]
-    return kept.select(
-        file_column, "source_id", cut_decimals(array_text(values)).alias("line")
-    )
+    return kept.select(file_column, "source_id", cut_row(columns).alias("line"))
 
 
 def stale_files(expected, exported, file_column="file_id"):
@@ -105,28 +104,28 @@ def stale_files(expected, exported, file_column="file_id"):
     """
     want = expected.groupBy(file_column).agg(F.count("*").alias("rows"))
     have = exported.groupBy(file_column).agg(F.count("*").alias("exported"))
+    have = have.withColumnRenamed(file_column, "_file")
     return (
-        want.join(have, file_column, "full")
-        .withColumns({"rows": F.coalesce("rows", F.lit(0)), "exported": F.coalesce("exported", F.lit(0))})
+        want.join(have, want[file_column].eqNullSafe(have["_file"]), "full")
+        .withColumns({file_column: F.coalesce(file_column, "_file"), "rows": F.coalesce("rows", F.lit(0)), "exported": F.coalesce("exported", F.lit(0))})
+        .drop("_file")
         .withColumn("stale", F.col("rows") != F.col("exported"))
     )
 
 
 def write_file_export(filtered, path, file_column="file_id"):
-    """Exports the files that are missing or out of date, removes those that lost all rows, and
-    leaves the others alone."""
+    """Exports the files that are missing or out of date, removes the partitions of those that
+    lost all rows, and leaves all other partitions alone."""
     spark = filtered.sparkSession
     rows = file_export(filtered, file_column=file_column)
     old = read_if_there(spark, path)
     with staging(spark):
         if old is not None:
-            found = staged(stale_files(rows, old, file_column).filter("stale"), "stale")
-            stale = found.select(file_column)
-            if not found.filter("rows = 0").isEmpty():
-                kept = old.join(small(stale), file_column, "left_anti").select(*rows.columns)
-                fresh = rows.join(small(stale), file_column, "left_semi")
-                every = staged(kept.unionByName(fresh), "export")
-                every.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(file_column).parquet(path)
-                return
-            rows = staged(rows.join(small(stale), file_column, "left_semi"), "export")
+            stale = staged(stale_files(rows, old, file_column).filter("stale"), "stale")
+            gone = null_safe(old.select(file_column, F.col("_metadata.file_path").alias("_path")),
+                             small(stale.filter("rows = 0").select(file_column)), file_column, "left_semi")
+            # A folder per vanished file.
+            for r in gone.select(F.regexp_replace("_path", "/[^/]*$", "").alias("folder")).distinct().collect():
+                folders.drop(spark, r["folder"])
+            rows = staged(null_safe(rows, small(stale.filter("rows > 0").select(file_column)), file_column, "left_semi"), "export")
         replace_partitions(rows, path, [file_column])

@@ -2,6 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from starloom.operators.sizing import small
+from starloom.sources.lines import FILE, numbered, placed_lines
+
 
 def page_lines(spark, path):
     """All lines of all dumps; their order is not needed to parse a table."""
@@ -16,21 +19,19 @@ def table_lines(spark, path, mark="^h"):
 
 
 def numbered_lines(spark, path):
-    """Lines with their number in the page (from 1); a page is one small file."""
-    pages = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
-    text = F.rtrim(F.col("value"), F.lit("\n"))
-    return pages.select(
-        F.col("_metadata.file_path").alias("page"), F.posexplode(F.split(text, "\n"))
-    ).select("page", (F.col("pos") + 1).alias("n"), F.col("col").alias("line"))
+    """Lines with their number in the page (from 1); a large page is read by many tasks."""
+    return numbered(placed_lines(spark, path, label="pages")).select(
+        F.col(FILE).alias("page"), "n", F.col("value").alias("line")
+    )
 
 
-def lines_through(numbered, marker):
+def lines_through(lines, marker):
     """Each page up to and including its first line with `marker`; all of it if there is none."""
-    ends = numbered.filter(F.col("line").contains(marker)).groupBy("page").agg(
+    ends = lines.filter(F.col("line").contains(marker)).groupBy("page").agg(
         F.min("n").alias("end")
     )
     return (
-        numbered.join(ends, "page", "left")
+        lines.join(small(ends), "page", "left")
         .filter(F.col("end").isNull() | (F.col("n") <= F.col("end")))
         .drop("end")
     )

@@ -1,12 +1,15 @@
 """Survey files, star tables and delimited catalogues."""
 
 import re
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom import schemas
 from starloom.operators.ranking import arrange, positions
+from starloom.sources.streams import listed_files, with_headers
 
 
 # Scheme and authority of a path.
@@ -36,21 +39,55 @@ def file_below(root, path):
     return F.array_join(F.slice(parts, F.least(F.lit(depth + 1), F.size(parts)), F.size(parts)), "/")
 
 
+def header_groups(spark, path, comment="#"):
+    """The distinct headers below a folder, each with the files that have it.
+
+    Reads the beginning of each file. Where only Spark can open the files, their lines are
+    scanned instead. The driver gets the files' names, which it lists anyway.
+    """
+    seen = with_headers(listed_files(spark, path), comment).cache()
+    try:
+        if not seen.filter("error IS NOT NULL").isEmpty():
+            lines = spark.read.option("recursiveFileLookup", "true").text(path)
+            place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+            kept = lines.select(F.col("_metadata.file_path").alias("path"), "value", place.alias("place"))
+            kept = kept.filter(~F.col("value").startswith(comment) & (F.trim("value") != ""))
+            found = kept.groupBy("path").agg(F.min_by("value", "place").alias("header")).collect()
+        else:
+            found = seen.select("path", "header").filter("header <> ''").collect()
+    finally:
+        seen.unpersist()
+    groups = {}
+    for r in found:
+        groups.setdefault(r["header"], []).append(r["path"])
+    return groups
+
+
 def survey_files(spark, path, schema=schemas.RAW, file_column=None):
     """Comma-separated survey files, compressed or not, with `#` comments and `null` text.
 
-    Columns are found by the names in the first file's header, so a much wider header
-    costs nothing: the parser drops the columns that are not selected. A file whose
-    header differs makes the read fail, as its values would stand in wrong columns. One compressed file is one
-    task, and a sky survey has thousands of files.
+    Each file is read by the names in its own header, in whatever order they stand; files
+    of equal headers are read together, and one that lacks a column makes the read fail.
+    A much wider header costs nothing: the parser drops the columns that are not selected.
+    One compressed file is one task, and a sky survey has thousands of files.
     """
-    text = spark.read.csv(
-        path, header=True, comment="#", nullValue="null", recursiveFileLookup=True, enforceSchema=False
-    )
     columns = [number(f.name, f.dataType).alias(f.name) for f in schema]
     if file_column:
         columns.append(F.col("_metadata.file_path").alias(file_column))
-    return text.select(*columns)
+    groups = header_groups(spark, path)
+    parts = []
+    for header, files in sorted(groups.items()):
+        names = [n.strip().strip('"') for n in header.split(",")]
+        lacking = [f.name for f in schema if f.name not in names]
+        if lacking:
+            raise ValueError(f"no column {', '.join(lacking)} in {files[0]}")
+        text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        reader = spark.read.schema(text).options(header=True, comment="#", nullValue="null", recursiveFileLookup=True)
+        parts.append(reader.csv(path if len(groups) == 1 else files).select(*columns))
+    if not parts:
+        empty = T.StructType([*schema, *([T.StructField(file_column, T.StringType())] if file_column else [])])
+        return spark.createDataFrame([], empty)
+    return reduce(DataFrame.unionAll, parts)
 
 
 def star_table(spark, path, predicate=None, columns=None):

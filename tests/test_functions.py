@@ -147,9 +147,19 @@ def test_cluster_positions(spark):
     assert got == {c[3]: c[4] for c in CLUSTERS}
 
 
-def test_cut_decimals(spark):
-    got = values(spark, text.cut_decimals, ["[1.23456,123.456,7.89]", "[0.5,10.25]"], "string")
-    assert got == ["[1.234,123.4,7.8]", "[0.5,10.2]"]
+@pytest.mark.parametrize("value,inside,at_end", [
+    (1.23456, "1.234", "1.2"), (1.9999999, "1.999", "1.9"), (-1.9999999, "-1.999", "-1.9"), (123.456, "123.4", "123.4"),
+    (-99.98765, "-99.987", "-99.9"), (100.05, "100.0", "100.0"), (0.5, "0.5", "0.5"), (10.25, "10.25", "10.2"), (7.0, "7", "7"),
+    (1.00049, "1.000", "1.0"), (0.00001, "0.000", "0.0"), (12345678.98, "12345678.9", "12345678.9"), (-0.0, "0", "0"), (None, None, None),
+])
+def test_numbers_are_cut_not_rounded(spark, value, inside, at_end):
+    df = spark.createDataFrame([(value,)], "v double")
+    assert tuple(df.select(text.cut_number("v"), text.cut_number("v", last=True)).first()) == (inside, at_end)
+
+
+def test_cut_rows(spark):
+    df = spark.createDataFrame([(1.99999, 456.78, 2.55)], "x double, y double, m double")
+    assert df.select(text.cut_row(("x", "y", "m"))).first()[0] == "[1.999,456.7,2.5]"
 
 
 def test_table_lines(spark):
@@ -162,6 +172,16 @@ def test_table_lines(spark):
     assert tuple(got[0]) == ("22500", "11^h 15.3^m", "−61° 15′", "NGC 3603")
 
 
+def test_names_of_table_lines_may_hold_any_character(spark):
+    for name in ("A|B cl", "|", "$1 (x)", "Tr 14|^h"):
+        line = f"   {name} 17^h 40^m 42.04^s −53° 40′ 26.3″ Ara 2.4 kpc"
+        got = values(spark, text.globular_fields, [line], "string")
+        assert tuple(got[0]) == ("2.4", "17^h 40^m 42.04^s", "−53° 40′ 26.3″", name)
+        line = f"   {name} 11^h 15.3^m −61° 15′ Car|ina 22,500 1 note"
+        got = values(spark, text.open_cluster_fields, [line], "string")
+        assert tuple(got[0]) == ("22500", "11^h 15.3^m", "−61° 15′", name)
+
+
 def test_kiloparsecs(spark):
     got = values(spark, text.kiloparsec_text_to_parsec, ["1.4", "2.24", "4", "1.234", "x"], "string")
     assert got == [1400.0, 2240.0, 4000.0, 1.234, None]

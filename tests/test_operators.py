@@ -1,5 +1,8 @@
 import itertools
+import json
+import os
 import random
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,11 +10,25 @@ from pyspark.sql import functions as F
 from starloom import fixed, schemas
 from starloom.operators import bins, catalogues, grid, loads, ranking, regions, sets
 from starloom.operators.filters import ingest_quality, load_quality
+from starloom.plans.stars import cluster_in_space
 from starloom.sinks import arrays, tables
 from starloom.sources.arrays import array_rows
 from starloom.session import staging_path
 
 
+@contextmanager
+def settings(spark, **values):
+    values = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def some_stars(n, seed=1):
     rnd = random.Random(seed)
     return [
@@ -218,6 +235,23 @@ def test_repeated_loads_change_nothing(spark):
     assert spark.read.parquet(path).count() == 50
 
 
+def test_missing_keys_and_files_are_loaded_once(spark):
+    rows = spark.createDataFrame([(1, 1, "a"), (None, 1, "x"), (None, 2, "y"), (3, 1, "c")], KEYED)
+    path = staging_path(spark, "test-null-keys")
+    for _ in range(3):
+        tables.append_new(rows, path, ["rank"])
+    assert sorted(map(str, (r.source_id for r in spark.read.parquet(path).collect()))) == ["1", "3", "None"]
+    assert tuple(loads.insert_outcome(rows, spark.read.parquet(path)).first()) == (0, 4)
+    assert loads.upserted(rows, spark.read.parquet(path), ["rank"]).count() == 3
+    path = staging_path(spark, "test-null-files")
+    tables.append_files(spark.createDataFrame([(1, "a")], "source_id bigint, file string"), path, "file")
+    for _ in range(2):
+        more = spark.createDataFrame([(2, None), (3, "c"), (None, None)], "source_id bigint, file string")
+        tables.append_files(more, path, "file")
+    got = {(r.source_id, r.file) for r in spark.read.parquet(path).collect()}
+    assert got == {(1, "a"), (2, None), (3, "c"), (None, None)} and spark.read.parquet(path).count() == 4
+
+
 def test_write_only_when_changed(spark):
     path = staging_path(spark, "test-guarded")
     a = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b")], "i int, v string")
@@ -257,6 +291,77 @@ def test_slice_files(spark, star_frame):
     assert sum(sizes) == 250 and sizes[-1] - sizes[0] <= 1
 
 
+def test_a_slice_of_many_parts_reads_in_order(spark, star_frame):
+    rows = [(i, 10.0, float(i % 7), float(-i), 0.5, float(i * 37 % 1000), 1.0, 2.0) for i in range(1000)]
+    path = staging_path(spark, "test-slice-parts")
+    with settings(spark, spark__sql__shuffle__partitions="400", spark__sql__adaptive__coalescePartitions__enabled="false"):
+        arrays.write_slices(star_frame(rows), ("dist", "x"), ["source_id"], ("dist", "y"), path)
+    several, everything = 0, []
+    for i in range(100):
+        parts = sorted(n for n in os.listdir(f"{path}/slice={i}") if n.startswith("part-"))
+        several += len(parts) > 1
+        text = "".join(open(f"{path}/slice={i}/{n}").read() for n in parts)
+        assert text.startswith("var data = [[") and text.endswith("]]\n") and text.count("var") == 1
+        everything += json.loads(text.split("=", 1)[1])
+    assert several > 50
+    assert everything == [[float(r[5]), float(r[3])] for r in sorted(rows, key=lambda r: (r[5], r[2], r[0]))]
+
+
+def clustered_stars(spark, star_frame, path):
+    rng = random.Random(3)
+    rows = [(i, 10.0, *(rng.uniform(-5000, 5000) for _ in range(3)), 1.0, 1.0, 2.0) for i in range(20_000)]
+    star_frame(rows).repartition(1).write.option("parquet.block.size", 8192).parquet(f"{path}/plain")
+    with settings(spark, spark__sql__shuffle__partitions="64", spark__sql__adaptive__coalescePartitions__enabled="false"):
+        cluster_in_space(spark, f"{path}/plain", f"{path}/curve")
+    return rows
+
+
+def rows_scanned(df):
+    """What the Parquet scans under `df` handed on after skipping row groups and files."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df.collect()
+    found, todo = 0, [plan]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+        elif "QueryStage" in name:
+            todo.append(node.plan())
+        if name.startswith("Scan parquet") and node.metrics().contains("numOutputRows"):
+            found += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        todo += [children.apply(k) for k in range(children.size())]
+    return found
+
+
+@pytest.mark.parametrize("options", [{}, {"few": 0}, {"few": 0, "many": 0}], ids=["direct", "lookup", "shuffle"])
+def test_bounds_reach_the_scan(spark, star_frame, tmp_path, options):
+    stars = clustered_stars(spark, star_frame, str(tmp_path))
+    places = [(f"c{i}", 3000.0 + i, 3000.0 - i, 2900.0) for i in range(3)] + [("far", -4000.0, 100.0, 50.0)]
+    listed = regions.boxes(spark.createDataFrame(places, "name string, x double, y double, z double"), 0.0, 200.0)
+    kept = {r[0] for r in stars if any(all(abs(r[2 + k] - p[1 + k]) < 200 for k in range(3)) for p in places)}
+    curve = spark.read.parquet(f"{tmp_path}/curve")
+    got = regions.within_any(curve, listed, **options)
+    assert {r.source_id for r in got.select("source_id").collect()} == kept and kept
+    if not options.get("many", 1):
+        return  # the candidates were written on the way; what they read is the same filter
+    with settings(spark, spark__sql__maxMetadataStringLength="100000"):
+        plan = regions.within_any(curve, listed, **options)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(x" in plan and "LessThan(z" in plan
+
+
+def test_a_space_order_lets_scans_skip(spark, star_frame, tmp_path):
+    clustered_stars(spark, star_frame, str(tmp_path))
+    listed = regions.boxes(spark.createDataFrame([("c", 3000.0, 3000.0, 3000.0)], "name string, x double, y double, z double"), 0.0, 200.0)
+    edges = regions.envelopes(listed.select(*[f"{s}_{a}" for a in "xyz" for s in ("lo", "hi")]))
+    read = {}
+    for name in ("plain", "curve"):
+        table = spark.read.parquet(f"{tmp_path}/{name}")
+        read[name] = rows_scanned(table.filter(regions.within_envelopes(edges)).select("source_id"))
+    assert read["curve"] < read["plain"] / 3
+
+
 def test_names_joined_in_order(spark):
     df = spark.createDataFrame(
         [(1, p, f"n{p}") for p in range(25_000)] + [(2, 1, "y"), (2, 0, "x")], "k int, pos int, name string"
