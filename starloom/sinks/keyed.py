@@ -112,9 +112,8 @@ class KeyedTable:
                                BIT: F.pmod(digest, F.lit(64)).cast("int")})
 
     def _possible(self, placed, ranges):
-        """The ranges whose filters know a key of `placed`."""
-        touched = {r[RANGE] for r in placed.select(RANGE).distinct().collect()}
-        filters = self._stored("filters", [r for r in ranges if r["range"] in touched])
+        """Of the given ranges those whose filters know a key of `placed`."""
+        filters = self._stored("filters", ranges)
         if filters is None:
             return []
         asked = self._digested(placed.select(self.key, RANGE))
@@ -135,27 +134,29 @@ class KeyedTable:
         with staging(self.spark):
             total = staged(batch, "batch")
             latest = staged(one_per_key(total, [self.key], order), "latest")
-            ranges = self.ranges() or [{"range": 0, "low": None, "writes": [], "rows": 0}]
-            ranges = [r if isinstance(r, dict) else r.asDict() for r in ranges]
+            ranges = [r.asDict() for r in self.ranges()] or [{"range": 0, "low": None, "writes": [], "rows": 0}]
             by_id = {r["range"]: r for r in ranges}
             placed = self._placed(latest, ranges)
-            read = self._possible(placed, ranges)
-            known = None
+            asked = {r[RANGE]: r["n"] for r in placed.groupBy(RANGE).agg(F.count("*").alias("n")).collect()}
+            read = self._possible(placed, [by_id[r] for r in asked])
+            known, fresh = {}, placed
             if read:
                 stored = self._stored("rows", [by_id[r] for r in read]).select(self.key)
-                known = staged(null_safe(placed.select(self.key, RANGE), stored, self.key, "left_semi"), "known")
-            n_known = {r[RANGE]: r["n"] for r in known.groupBy(RANGE).agg(F.count("*").alias("n")).collect()} if known else {}
-            fresh = null_safe(placed, known.select(self.key), self.key, "left_anti") if n_known and not replace else placed
-            counts = {r[RANGE]: r["n"] for r in fresh.groupBy(RANGE).agg(F.count("*").alias("n")).collect()}
-            if counts:
-                self._write(fresh, ranges, by_id, counts, n_known if replace else {})
-            n_latest, n_total = latest.count(), total.count()
-            replaced = sum(n_known.values())
-            rewritten = sorted(r for r, old in by_id.items() if counts.get(r) and old.get("rewritten"))
-            return Outcome(n_latest - replaced, replaced if replace else 0, n_total - n_latest + (0 if replace else replaced), read, rewritten)
+                found = null_safe(placed.select(self.key, RANGE), stored, self.key, "left_semi")
+                known = {r[RANGE]: r["n"] for r in found.groupBy(RANGE).agg(F.count("*").alias("n")).collect()}
+                if known and not replace:
+                    fresh = null_safe(placed, stored, self.key, "left_anti")
+            held, given = sum(known.values()), sum(asked.values())
+            counts = asked if replace else {r: n - known.get(r, 0) for r, n in asked.items() if n > known.get(r, 0)}
+            rewritten = self._write(fresh, ranges, by_id, counts, known if replace else {}) if counts else []
+            skipped = total.count() - given + (0 if replace else held)
+            return Outcome(given - held, held if replace else 0, skipped, read, rewritten)
 
     def _write(self, fresh, ranges, by_id, counts, replaced):
-        large = [r for r, n in counts.items() if by_id[r]["rows"] + n - replaced.get(r, 0) > 2 * self.range_rows]
+        """Writes `fresh`, of which range r has counts[r] rows and replaced[r] known keys; the ranges written anew."""
+        for r, n in counts.items():
+            by_id[r]["rows"] += n - replaced.get(r, 0)
+        large = [r for r in counts if by_id[r]["rows"] > 2 * self.range_rows]
         again = {r for r in counts if by_id[r]["writes"] and (replaced.get(r) or r in large or len(by_id[r]["writes"]) >= MOST_WRITES)}
         rows = fresh
         if again:
@@ -163,41 +164,39 @@ class KeyedTable:
             if replaced:
                 kept = null_safe(kept, fresh.select(self.key), self.key, "left_anti")
             rows = kept.unionByName(fresh, allowMissingColumns=True)
-        rows = staged(rows, "loaded")
-        changed = [r for r in ranges if r["range"] not in large]
-        changed += self._split(rows, [by_id[r] for r in large], max(by_id) + 1) if large else []
-        changed.sort(key=lambda r: (r["low"] is not None, r["low"]))
+        dead = {(w, r) for r in again for w in by_id[r]["writes"]}
+        changed = ranges
+        if large:
+            rows = staged(rows, "loaded")
+            pieces = self._split(rows, [by_id[r] for r in large], max(by_id) + 1)
+            changed = sorted([r for r in ranges if r["range"] not in large] + pieces, key=lambda r: (r["low"] is not None, r["low"]))
+            rows = self._placed(rows.drop(RANGE), changed)
         write = uuid.uuid4().hex
-        laid = self._placed(rows.drop(RANGE), changed)
         # A range is bounded, so it is one task.
-        out = laid.repartition(RANGE).sortWithinPartitions(RANGE, self.key).withColumnRenamed(RANGE, "range")
+        out = rows.repartition(RANGE).sortWithinPartitions(RANGE, self.key).withColumnRenamed(RANGE, "range")
         out.write.partitionBy("range").parquet(f"{self.path}/rows/write={write}")
-        words = self._digested(laid.select(self.key, RANGE)).groupBy(RANGE, SLOT).agg(
+        written = self.spark.read.parquet(f"{self.path}/rows/write={write}").withColumnRenamed("range", RANGE)
+        # Rows of a range stand together already, so its words need no second shuffle of rows.
+        words = self._digested(written.select(self.key, RANGE)).groupBy(RANGE, SLOT).agg(
             F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col(BIT))).alias("word"))
-        words.repartition(RANGE).sortWithinPartitions(SLOT).withColumnRenamed(RANGE, "range").write.partitionBy("range").parquet(
+        words.repartition(RANGE).sortWithinPartitions(RANGE, SLOT).withColumnRenamed(RANGE, "range").write.partitionBy("range").parquet(
             f"{self.path}/filters/write={write}")
-        written = self.spark.read.parquet(f"{self.path}/rows/write={write}").groupBy("range").agg(F.count("*").alias("n"))
-        dead, sizes = [], {r["range"]: r["n"] for r in written.collect()}
-        for r in changed:
-            n = sizes.get(r["range"])
-            if n is None:
-                continue
-            if r["range"] in again:
-                dead += [(w, r["range"]) for w in r["writes"]]
-                r["writes"], r["rows"], r["rewritten"] = [write], n, True
-            else:
-                r["writes"], r["rows"] = [*r["writes"], write], r["rows"] + n
-        for r in large:
-            if r in again:
-                dead += [(w, r) for w in by_id[r]["writes"] if w != write]
-                by_id[r]["rewritten"] = True
+        if large:
+            sizes = {r[RANGE]: r["n"] for r in written.groupBy(RANGE).agg(F.count("*").alias("n")).collect()}
+            for r in changed:
+                if r["range"] in sizes and (r["range"] in large or r["range"] not in by_id):
+                    r["writes"], r["rows"] = [write], sizes[r["range"]]
+        for r in counts:
+            if r not in large:
+                by_id[r]["writes"] = [write] if r in again else [*by_id[r]["writes"], write]
         number = self._commit([(r["range"], r["low"], r["writes"], r["rows"]) for r in changed])
-        for w, r in set(dead):
+        for w, r in dead:
             folders.drop(self.spark, f"{self.path}/rows/write={w}/range={r}")
             folders.drop(self.spark, f"{self.path}/filters/write={w}/range={r}")
         for old in folders.names(self.spark, f"{self.path}/versions"):
             if old.isdigit() and int(old) < int(number) - 1:
                 folders.drop(self.spark, f"{self.path}/versions/{old}")
+        return sorted(again)
 
     def _split(self, rows, large, free):
         """Ranges in place of each of `large`, of about range_rows rows each."""

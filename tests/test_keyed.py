@@ -76,10 +76,10 @@ def test_repeated_loads_and_counts(spark, table):
 
 
 def test_many_small_writes_are_put_together(spark, table, monkeypatch):
-    monkeypatch.setattr("starloom.sinks.keyed.MOST_WRITES", 3)
-    for k in range(8):
+    monkeypatch.setattr("starloom.sinks.keyed.MOST_WRITES", 2)
+    for k in range(5):
         table.insert_new(frame(spark, [k], "a"), ["rank"])
-    assert max(len(r["writes"]) for r in table.ranges()) <= 4 and len(content(table)) == 8
+    assert max(len(r["writes"]) for r in table.ranges()) <= 3 and len(content(table)) == 5
     assert len(os.listdir(f"{table.path}/versions")) <= 3
 
 
@@ -94,7 +94,7 @@ def test_an_unfinished_load_changes_nothing(spark, table, monkeypatch):
     assert sorted(k for k, v in content(table) if v == "b") == list(range(10))
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.booleans(), st.lists(st.integers(-300, 300) | st.none(), max_size=40)), min_size=2, max_size=4))
 def test_loads_equal_a_dictionary(spark, tmp_path_factory, loads):
     table, want = KeyedTable(spark, str(tmp_path_factory.mktemp("t")), range_rows=16), {}
