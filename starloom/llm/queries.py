@@ -103,7 +103,7 @@ FROM keyed LEFT JOIN fit USING (k) LEFT JOIN listed USING (k)
 @query
 def op7_top_k(spark, folder):
     """The ten best inner products of every hundredth vector among all others."""
-    vectors = top_k.integer_vectors(table(spark, folder, "embeddings"), "vec_id", "embedding")
+    vectors = top_k.finite_vectors(table(spark, folder, "embeddings"), "vec_id", "embedding")
     return top_k.top_k(vectors, vectors.filter("id % 100 = 0"))
 
 
@@ -235,7 +235,8 @@ ORACLE["op13_collocations"] = r"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]')) AS piece
+-
+]')) AS piece
   FROM documents),
 lists AS (SELECT lang, list_filter(string_split_regex(piece, '[ 	]+'), lambda x: x <> '') AS w FROM pieces),
 places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM lists),
