@@ -30,6 +30,8 @@ WHITE = r"[\x09-\x0D\x20\xA0]"
 # Letters of scripts that are written without spaces, which count as a word each.
 UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
 WORD = f"[^{WHITE[1:-1]}{UNSPACED[1:-1]}]++|{UNSPACED}"
+# All of them stand from here on.
+MAYBE_UNSPACED = r"[\x{E00}-\x{10FFFF}]"
 
 
 def _rising(pairs):
@@ -165,16 +167,22 @@ def _led(min_words):
     return run
 
 
+def word_count(line):
+    """Words of a line without white space at its ends; most lines need no look at scripts."""
+    spaced = F.length(F.regexp_replace(line, rf"[^{WHITE[1:-1]}]++{WHITE}*+", "x"))
+    return F.when(line.rlike(MAYBE_UNSPACED), F.regexp_count(line, F.lit(WORD))).otherwise(spaced)
+
+
 def cuts(df, key="doc_id", text="text", min_words=MIN_WORDS):
     """rank, sig, cut (places of deleted lines), sources (keys of the documents that keep them)."""
-    trimmed = F.transform(F.split(F.col(f"`{text}`"), "\n", -1), lambda s: F.regexp_replace(s, rf"\A{WHITE}++|(?<!{WHITE}){WHITE}++\z", ""))
+    trimmed = F.transform(F.split(F.col(f"`{text}`"), "\n", -1), lambda s: F.btrim(s, F.lit("\t\n\x0b\x0c\r \xa0")))
     rows = _identified(df.select(F.col(f"`{key}`"), F.col(f"`{text}`")), key, text)
     lines = rows.filter(F.col(f"`{text}`").isNotNull()).select(
         F.col("__rank").alias("rank"), F.col("__sig").alias("sig"), trimmed.alias("lines"))
     digests = lines.select(
         "rank", "sig",
         F.transform("lines", lambda s: F.xxhash64(s)).alias("lines"),
-        F.transform("lines", lambda s: F.regexp_count(s, F.lit(WORD))).alias("words"),
+        F.transform("lines", word_count).alias("words"),
     ).groupBy("rank", "sig").agg(F.first("lines").alias("lines"), F.first("words").alias("words"))
     table = staged(digests, "lines")
     held = table.mapInArrow(_led(min_words), "rank bigint, sig bigint, line bigint")
