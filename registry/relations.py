@@ -16,7 +16,6 @@ from registry.scalars import (
     rounded,
 )
 from starloom import fixed, schemas
-from starloom.functions.astrometry import radius
 from starloom.functions.text import open_cluster_fields
 from starloom.operators import bins, catalogues, grid, loads, ranking, regions, sets
 from starloom.plans import objects, publish, worklist
@@ -804,11 +803,7 @@ def _(t):
     """SELECT file_no, CAST(trunc(abs_mag) AS BIGINT) AS magnitude, count(*) AS rows FROM t_stars GROUP BY ALL""",
 )
 def _(t):
-    return (
-        derived(t.positive, "file_no")
-        .groupBy("file_no", F.col("abs_mag").cast("long").alias("magnitude"))
-        .agg(F.count("*").alias("rows"))
-    )
+    return bins.magnitude_buckets(derived(t.positive, "file_no"), "file_no")
 
 
 @query(
@@ -901,7 +896,7 @@ FROM ({RGB_SQL.format(source='t_stars')}) a GROUP BY ALL""",
 )
 def _(t):
     path = t.scratch("sizes")
-    publish.write_size_groups(publish.render_attributes(t.stars, window=False), path)
+    publish.render(t.stars, path, window=False)
     groups = t.spark.read.parquet(path).groupBy(F.col("size_class").cast("double").alias("size_class"))
     sums = [F.round(F.sum(c), 4).alias(c) for c in "rgb"]
     return groups.agg(F.count("*").alias("rows"), *sums).withColumn(
@@ -911,7 +906,7 @@ def _(t):
 
 @query("a16_farthest", "SELECT round(max(sqrt(x * x + y * y + z * z)), 6) AS farthest FROM t_stars_large")
 def _(t):
-    return t.stars_large.agg(F.round(F.max(radius()), 6).alias("farthest"))
+    return rounded(bins.farthest(t.stars_large))
 
 
 @query(
@@ -1029,7 +1024,7 @@ def _(t):
 
 @query("o07_first_objects", "SELECT pos, name FROM t_clusters ORDER BY pos LIMIT 40")
 def _(t):
-    return t.fixture("clusters").select("pos", "name").orderBy("pos").limit(40)
+    return regions.first_objects(t.fixture("clusters").select("pos", "name"), ["pos"])
 
 
 # Set operations

@@ -8,6 +8,7 @@ from starloom.functions import angles, astrometry, photometry, rounding, text
 from starloom.operators import bins, filters, regions, sets
 from starloom.plans.objects import combined_clusters
 from starloom.plans.stars import derived
+from starloom.sources.labels import renamed
 
 
 def rounded(df, *keep, digits=6):
@@ -65,9 +66,8 @@ def _(t):
     'SELECT hip, mag AS v_mag, plx AS "Parall.", ra AS "RA or equi" FROM t_newer',
 )
 def _(t):
-    return t.fixture("newer").select("hip", "mag", "plx", "ra").withColumnsRenamed(
-        {"mag": "v_mag", "plx": "Parall.", "ra": "RA or equi"}
-    )
+    columns = {"hip": "hip", "v_mag": "mag", "Parall.": "plx", "RA or equi": "ra"}
+    return renamed(t.fixture("newer"), columns).drop("pos")
 
 
 @query(

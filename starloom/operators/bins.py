@@ -10,6 +10,7 @@ from starloom import fixed
 from starloom.functions.astrometry import radius
 from starloom.functions.rounding import col, half_even_int
 from starloom.operators.ranking import median
+from starloom.session import staged
 
 
 @dataclass(frozen=True)
@@ -79,7 +80,8 @@ def build_together(stars, specs):
 
 
 def summary(bins, value):
-    """Smallest, largest, mean and median value of a bin set."""
+    """Smallest, largest, mean and median value of a bin set, which is worked out once."""
+    bins = staged(bins.select(value), "summary")
     middle = median(bins, value).scalar()
     return bins.agg(
         F.min(value).cast("double").alias("lowest"),
@@ -115,3 +117,13 @@ def magnitude_histogram(stars):
     return stars.groupBy(half_even_int("abs_mag").alias("magnitude")).agg(
         half_even_int(F.avg("dist")).alias("mean_dist"), F.count("*").alias("rows")
     )
+
+
+def magnitude_buckets(stars, by):
+    """Rows per whole magnitude, cut towards 0, of each group."""
+    return stars.groupBy(by, F.col("abs_mag").cast("long").alias("magnitude")).agg(F.count("*").alias("rows"))
+
+
+def farthest(stars):
+    """The distance of the farthest star, as one row."""
+    return stars.agg(F.max(radius()).alias("farthest"))

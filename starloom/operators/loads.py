@@ -81,11 +81,18 @@ def file_presence(filtered, table, file_column, key="source_id"):
     )
 
 
-def whole_files(filtered, table, file_column):
-    """Files of which the table holds as many rows as there are."""
-    want = filtered.groupBy(file_column).agg(F.count("*").alias("rows"))
-    have = table.groupBy(file_column).agg(F.count("*").alias("rows"))
-    return want.join(have, [file_column, "rows"], "left_semi").select(file_column)
+def whole_files(filtered, table, file_column, columns=()):
+    """Files of which the table holds as many rows as there are and, given `columns`, the same ones.
+
+    The columns stand in both tables; per file the sums of their rows' hashes are compared.
+    """
+    marks = [F.count("*").alias("rows")]
+    if columns:
+        marks.append(F.sum(F.xxhash64(*columns).cast("decimal(20,0)")).alias("hashes"))
+    names = [file_column, "rows", *(["hashes"] if columns else [])]
+    want = filtered.groupBy(file_column).agg(*marks)
+    have = table.groupBy(file_column).agg(*marks)
+    return want.join(have, names, "left_semi").select(file_column)
 
 
 def rows_per_file(filtered, file_column):

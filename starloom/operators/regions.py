@@ -179,6 +179,11 @@ def _by_shuffle(stars, cells, levels):
     return placed.join(small(places), "_place", "left_semi").drop("_place")
 
 
+def first_objects(objects, order, points=40):
+    """The first `points` objects of a list."""
+    return objects.orderBy(*order).limit(points)
+
+
 def distance_matrix(objects, order, points=40, open_tour=True):
     """Distances between the first `points` objects, as (p, q, distance).
 
@@ -186,7 +191,7 @@ def distance_matrix(objects, order, points=40, open_tour=True):
     The size is the square of `points`, whatever the size of the list: the points are one
     row, their pairs are made one by one.
     """
-    first = objects.orderBy(*order).limit(points)
+    first = first_objects(objects, order, points)
     listed = first.agg(
         F.array_sort(F.collect_list(F.struct(*order, *AXES))).alias("points")
     )

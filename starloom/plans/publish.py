@@ -133,3 +133,9 @@ def size_groups(attributes):
 def write_size_groups(attributes, path):
     """Job: positions and colours grouped by size class as folders; no group is ever collected."""
     attributes.write.mode("overwrite").partitionBy("size_class").parquet(path)
+
+
+def render(stars, path, window=True):
+    """Job: display attributes by size class, and the report of what was written."""
+    write_size_groups(render_attributes(stars, window), path)
+    return size_groups(stars.sparkSession.read.parquet(path))

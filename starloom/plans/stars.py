@@ -58,10 +58,12 @@ def ingest(spark, source_path, filtered_path):
     replace_partitions(rows.drop("file_path"), filtered_path, ["file_id"])
 
 
-def load(spark, filtered_path, star_path):
+def load(spark, filtered_path, star_path, compare=False):
     """Job: filtered table to star table, writing the files that are not there with all their rows.
 
-    Returns rows per file with a running total, and the reconciliation.
+    By default a file is there when the table has as many rows of it, which reads next to
+    nothing. With `compare` its rows have to be the same ones, so that another version of
+    a file takes the place of the one before; both tables are then read. Returns rows per file with a running total, and the reconciliation.
     """
     filtered = spark.read.parquet(filtered_path)
     good = filtered.filter(load_quality(signal_to_noise("parallax", "parallax_error")))
@@ -69,7 +71,8 @@ def load(spark, filtered_path, star_path):
     todo = good
     with staging(spark):
         if stars is not None:
-            present = whole_files(good, stars, "file_id")
+            columns = schemas.STAR_COLUMNS if compare else ()
+            present = whole_files(derived(good, "file_id") if compare else good, stars, "file_id", columns)
             todo = good.join(small(present), "file_id", "left_anti")
         # Sorted by distance inside each file, so page statistics prune distance limits.
         rows = derived(todo, "file_id").sortWithinPartitions("file_id", "dist")

@@ -166,6 +166,20 @@ def test_keyed_stream_ignores_repeated_stars(spark, tmp_path):
     assert sorted(ids) == list(range(60))
 
 
+def test_another_version_of_a_file_is_loaded(spark, tmp_path):
+    source, filtered, table = (str(tmp_path / n) for n in ("s", "f", "t"))
+    for version, mag in ((0, 10), (1, 12)):
+        write_source(source, "a.csv.gz", [star(i, phot_g_mean_mag=mag) for i in range(20)])
+        write_source(source, "b.csv.gz", [star(i) for i in range(50, 60)])
+        stars.ingest(spark, source, filtered)
+        for compare in (False, True, True):
+            stars.load(spark, filtered, table, compare=compare)
+        rows = spark.read.parquet(table)
+        assert rows.count() == 30
+        found = {round(r.m - r.d, 6) for r in rows.filter("source_id < 20").selectExpr("abs_mag m", "5 - 5 * log10(dist * 3.261563777) d").collect()}
+        assert found == {mag - 0.25}
+
+
 @contextmanager
 def small_blocks(spark, size=64):
     """Files in blocks of `size` bytes, as very large ones would be."""
