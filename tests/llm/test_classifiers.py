@@ -79,3 +79,68 @@ def test_languages_of_odd_rows(spark, odd_texts, no_texts):
     assert language_net.fit(no_texts.selectExpr("*", "'x' AS lang")) is None
     assert {r["lang_pred"] for r in language_net.predicted(odd_texts, None).collect()} == {"und"}
     assert language_net.predicted(no_texts, net).count() == 0
+
+
+def test_ranker_is_where_the_loss_is_least():
+    """Numeric gradient of the pairwise logistic loss, over the same pairs."""
+    rng = np.random.default_rng(6)
+    basic = rng.normal(0, 1, (200, len(quality_ranker.BASIC)))
+    good = basic[:, 0] + rng.normal(0, 1, 200) > -0.3  # overlapping, so that the optimum is finite
+    pairs, penalty = 3000, 1e-3
+    ranker = quality_ranker.train(basic, good, pairs=pairs, penalty=penalty, seed=3)
+    again = np.random.default_rng(3)
+    a, b = again.choice(np.flatnonzero(good), pairs), again.choice(np.flatnonzero(~good), pairs)
+    x = ranker.inputs(basic)
+
+    def loss(w):
+        return np.mean([np.logaddexp(0, -((x[i] - x[j]) @ w)) for i, j in zip(a, b)]) + penalty / 2 * w @ w
+
+    w, step = ranker.weights, 1e-4
+    at = loss(w)
+    for k in range(len(w)):
+        move = np.zeros(len(w))
+        move[k] = step
+        up, down = loss(w + move), loss(w - move)
+        assert abs(up - down) / (2 * step) < 1e-3 and min(up, down) > at - 1e-9
+
+
+def plain_forward(net, window):
+    """The network's answer for one window, by plain loops."""
+    coded = [net.bytes[b].astype(float) for b in window] + [np.zeros(language_net.BYTE_DIMS)] * (max(language_net.WIDTHS) - 1)
+    pooled = []
+    for f in range(net.filters.shape[1]):
+        width = language_net.WIDTHS[f // language_net.FILTERS]
+        weights = net.filters[: width * language_net.BYTE_DIMS, f].astype(float)
+        assert not net.filters[width * language_net.BYTE_DIMS :, f].any()
+        best = max(float(np.concatenate(coded[i : i + width]) @ weights) for i in range(len(window)))
+        pooled.append(max(0.0, best + float(net.bias[f])))
+    z = [sum(p * float(net.out[f, c]) for f, p in enumerate(pooled)) + float(net.out_bias[c]) for c in range(len(net.languages))]
+    return np.array(z) - np.log(sum(np.exp(v - max(z)) for v in z)) - max(z)
+
+
+def test_network_against_plain_loops_and_numeric_gradients():
+    rng = np.random.default_rng(7)
+    windows = rng.integers(97, 110, (12, language_net.WINDOW)).astype(np.uint8)
+    windows[6:] += 5
+    targets = np.arange(12) % 3
+    options = dict(languages=["a", "b", "c"], batch=12, seed=4)
+    net, moved = (language_net.train(windows, targets, epochs=n, **options) for n in (0, 1))
+    got = language_net.log_probabilities(net, windows)
+    assert np.allclose(got, [plain_forward(net, w) for w in windows], atol=1e-4)
+
+    def loss():
+        return -np.mean([plain_forward(net, w)[t] for w, t in zip(windows, targets)])
+
+    # The first step of the optimiser goes against the sign of each gradient.
+    for name in ("out", "out_bias", "bias"):
+        weights, after = getattr(net, name), getattr(moved, name)
+        for at in list(np.ndindex(weights.shape))[:12]:
+            kept, step = weights[at], 1e-2
+            weights[at] = kept + step
+            up = loss()
+            weights[at] = kept - step
+            down = loss()
+            weights[at] = kept
+            slope = (up - down) / (2 * step)
+            if abs(slope) > 1e-3:
+                assert np.sign(after[at] - kept) == -np.sign(slope)
