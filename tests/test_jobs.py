@@ -181,7 +181,7 @@ def test_another_version_of_a_file_is_loaded(spark, tmp_path):
 
 
 @contextmanager
-def small_blocks(spark, size=64):
+def small_blocks(spark, size=1024):
     """Files in blocks of `size` bytes, as very large ones would be."""
     before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
     try:
@@ -212,7 +212,7 @@ def test_rows_over_several_lines_are_read_by_many_tasks(spark, tmp_path):
     (folder / "a.js").write_text("var a = [" + ",\n".join(f'[{x},\n  "{n}"\n]' for x, n in rows) + "];\n")
     odd = [(0.5, "a [b]"), (1.5, 'q " ] "'), (2.5, "]]"), (3.5, "back \\")]
     schema = T.StructType().add("x", "double").add("name", "string")
-    with small_blocks(spark, 48):
+    with small_blocks(spark):
         read = array_rows(spark, str(folder), schema, wrapped=True)
         assert sorted((r.x, r.name) for r in read.collect()) == rows
         (folder / "b.js").write_text("var b = [" + ",".join(f"[{x},\n{json.dumps(n)}]" for x, n in odd * 30) + "]")
