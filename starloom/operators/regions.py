@@ -12,7 +12,7 @@ from starloom.session import staged
 AXES = ("x", "y", "z")
 FEW_BOXES = 32
 FINEST_CELL = 64.0
-MOST_ENVELOPES = 64
+MOST_ENVELOPES = 12  # a longer condition costs more to plan and test than it skips
 
 
 def bounds(c, relative=fixed.BOX_RELATIVE, margin=fixed.BOX_MARGIN):
@@ -76,14 +76,17 @@ def within_any(stars, box_list, few=FEW_BOXES, many=ROWS):
 def envelopes(edges, most=MOST_ENVELOPES):
     """Outer bounds of the boxes, one set per level of size and octant of their centres.
 
-    There are a few dozen levels and eight octants; beyond `most` sets one per level
-    does, so that far or large boxes don't widen what the others cover.
+    There are a few dozen levels and eight octants; beyond `most` sets there is one per
+    level, so that large boxes don't widen what the others cover, and beyond that one.
     """
     octant = [(F.col(f"lo_{a}") + F.col(f"hi_{a}") >= 0).alias(f"o{a}") for a in AXES]
     outer = [F.min(f"lo_{a}").alias(f"lo_{a}") for a in AXES] + [F.max(f"hi_{a}").alias(f"hi_{a}") for a in AXES]
     placed = _with_level(edges)
-    found = placed.groupBy("level", *octant).agg(*outer).collect()
-    return found if len(found) <= most else placed.groupBy("level").agg(*outer).collect()
+    for by in (["level", *octant], ["level"]):
+        found = placed.groupBy(*by).agg(*outer).limit(most + 1).collect()
+        if len(found) <= most:
+            return found
+    return placed.agg(*outer).collect()
 
 
 def within_envelopes(bounds_of_all):
