@@ -91,3 +91,14 @@ def staging(spark):
         for path in _open_scopes().pop():
             target = spark._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def finished(spark, label, make):
+    """The rows of the DataFrame that `make` returns, as a written table; what `make` stages is dropped."""
+    path = staging_path(spark, label)
+    if _open_scopes():
+        _open_scopes()[-1].append(path)
+    with staging(spark):
+        df = make()
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
