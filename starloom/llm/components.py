@@ -6,8 +6,13 @@ from starloom.session import staged
 
 
 def _smallest(edges):
-    """Each node with the smallest of itself and its neighbours, for edges (v, u)."""
-    return edges.groupBy("v").agg(F.least(F.col("v"), F.min("u")).alias("m"))
+    """Each edge (v, u) with m, the smallest of v and its neighbours.
+
+    The complement as key keeps the aggregate's partitioning out of the join, so that
+    adaptive execution can split the edges of a node that very many have.
+    """
+    least = edges.groupBy("v").agg(F.least(F.col("v"), F.min("u")).alias("m")).select(F.bitwise_not("v").alias("other"), "m")
+    return edges.join(least, F.bitwise_not("v") == F.col("other")).drop("other")
 
 
 def components(links, most_rounds=60):
@@ -21,9 +26,9 @@ def components(links, most_rounds=60):
     pairs, before = staged(pairs, "links"), None
     for _ in range(most_rounds):
         both = pairs.unionAll(pairs.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        upward = both.join(_smallest(both), "v").filter("u > v").select(F.col("u").alias("v"), F.col("m").alias("u"))
+        upward = _smallest(both).filter("u > v").select(F.col("u").alias("v"), F.col("m").alias("u"))
         large = upward.filter("u <> v").distinct()
-        lower = large.join(_smallest(large), "v")
+        lower = _smallest(large)
         small = lower.select("u", "m").unionAll(lower.select("v", "m")).toDF("v", "u").filter("u <> v")
         pairs = staged(small.distinct(), "links")
         now = pairs.agg(F.count("*"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()

@@ -10,8 +10,10 @@ both, from the number of sets of each size, is least.
 The order puts shingles that very many sets hold last, so that passages which many
 documents share don't bring their documents together. Equal sets are one node. Groups
 of near copies are linked without all their pairs: neighbours within many lists are
-verified first, and then only sets that are still in different components: every pair
-of them that shares as many lists as alike sets of their sizes must is verified.
+verified first, and those with the set that has least of its own in a list; then only
+sets that are still in different components: every pair of them that shares as many
+lists as alike sets of their sizes must, and has not too much of its own ahead of any of
+these lists, is verified.
 
 Shingles are 64-bit digests, and so are the sets; the rest is exact.
 """
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from starloom.llm.bpe import chunks
 from starloom.llm.components import components
 from starloom.llm.word_hashes import grams, word_digests
-from starloom.session import staged
+from starloom.session import finished, staged
 
 SHINGLE = 5
 PERCENT = 75
@@ -208,10 +210,18 @@ def postings(df, key, text, last, least, percent):
         "shingle", "sig", (F.shiftleft("n", 32) + F.col("rank")).alias("place"))
 
 
-def sizes_fit(a, b, percent):
-    """Whether sets at these places may be alike by their sizes; a and b are columns."""
-    na, nb = F.shiftright(a, 32), F.shiftright(b, 32)
-    return 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
+def overlap_needed(na, nb, percent):
+    """Shingles that alike sets of these sizes must share; sizes are columns."""
+    return F.ceil(percent * (na + nb) / (100 + percent))
+
+
+def may_be_alike(a, b, percent):
+    """Whether sets of one list may be alike by their sizes and by what they can share.
+
+    `a` and `b` are pairs of columns: size, and `most` of `shared_postings`.
+    """
+    (na, ma), (nb, mb) = a, b
+    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (overlap_needed(na, nb, percent) <= F.least(ma, mb))
 
 
 def lists_needed(na, nb, percent):
@@ -220,14 +230,24 @@ def lists_needed(na, nb, percent):
     What they share beyond the fronts lies in the rest of the set whose front ends first.
     """
     rest = [F.ceil(percent * n / 100) - 1 for n in (na, nb)]
-    return F.greatest(F.ceil(percent * (na + nb) / (100 + percent)) - F.greatest(*rest), F.lit(1))
+    return F.greatest(overlap_needed(na, nb, percent) - F.greatest(*rest), F.lit(1))
 
 
-def shared_postings(rows):
-    """Postings whose list holds another set."""
-    order = W.partitionBy("shingle").orderBy("place", "sig")
-    near = rows.withColumns({"before": F.lag("sig").over(order), "after": F.lead("sig").over(order)})
-    return near.filter((F.col("before") != F.col("sig")) | (F.col("after") != F.col("sig"))).drop("before", "after")
+def shared_postings(rows, percent):
+    """shingle, sig, n, most: the postings whose list holds another set that this one may be alike to.
+
+    `most` is how many shingles the set can share with another one of the list: what two
+    sets share ahead of a list lies in lists as well, so all shingles ahead of it but
+    those without a list are a set's own. Frequent shingles come last in the order, so
+    that of many copies of one text those that are changed too much go here, without pairs.
+    """
+    order, whole = W.partitionBy("shingle").orderBy("place", "sig"), W.partitionBy("shingle")
+    near = rows.withColumns({"before": F.lag("sig").over(order), "low": F.min("sig").over(whole), "high": F.max("sig").over(whole)})
+    # A set that several tasks have seen stands in a list once.
+    shared = near.filter("low <> high and (before is null or before <> sig)").select(
+        "shingle", "sig", F.shiftright("place", 32).alias("n"), F.expr("place & 4294967295").alias("rank"))
+    own = F.col("rank") + 1 - F.row_number().over(W.partitionBy("sig").orderBy("rank"))
+    return shared.withColumn("most", F.col("n") - own).filter(F.col("most") >= F.ceil(percent * F.col("n") / 100)).drop("rank")
 
 
 def _bits(rows, column):
@@ -282,39 +302,46 @@ def verified(pairs, sets, percent):
 def unjoined_pairs(lists, roots, light, percent):
     """Pairs that share a list, may be alike, and are in different components."""
     root = F.coalesce("root", "sig")
-    placed = lists.select("shingle", "sig", "place").join(roots.withColumnRenamed("node", "sig"), "sig", "left").select(
-        "shingle", "sig", "place", root.alias("root"))
+    placed = lists.join(roots.withColumnRenamed("node", "sig"), "sig", "left").select("shingle", "sig", "n", "most", root.alias("root"))
     # The component with most sets in a list stays on one side only, so that its own pairs are never made.
-    sizes = placed.groupBy("shingle", "root").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("shingle").agg(F.max(F.struct("n", "root")).alias("m"), F.count("*").alias("roots")).filter("roots > 1").select(
-        F.bitwise_not("shingle").alias("__shingle"), F.col("m.root").alias("main"))
-    mixed = placed.join(main, F.bitwise_not("shingle") == F.col("__shingle")).drop("__shingle")
-    other = mixed.filter("root <> main").select("shingle", F.col("sig").alias("a"), F.col("place").alias("pa"), F.col("root").alias("ra"))
-    every = mixed.select("shingle", F.col("sig").alias("b"), F.col("place").alias("pb"), F.col("root").alias("rb"), (F.col("root") == F.col("main")).alias("in_main"))
+    sizes = placed.groupBy("shingle", "root").agg(F.count("*").alias("c"), F.min("n").alias("low"), F.max("n").alias("high"))
+    main = sizes.groupBy("shingle").agg(
+        F.max(F.struct("c", "root")).alias("m"), F.count("*").alias("roots"), F.min("low").alias("low"), F.max("high").alias("high"),
+    ).filter("roots > 1").select(F.bitwise_not("shingle").alias("__shingle"), F.col("m.root").alias("main"), "low", "high")
+    # The sizes a set's partner may have, by what it can share, against the sizes in the list.
+    largest = F.least(100 * F.col("n") / percent, (100 + percent) * F.col("most") / percent - F.col("n"))
+    mixed = placed.join(main, F.bitwise_not("shingle") == F.col("__shingle")).filter(
+        (F.col("low") <= largest) & (100 * F.col("high") >= percent * F.col("n")))
+    other = mixed.filter("root <> main").select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("sig", "n", "most", "root")])
+    every = mixed.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("sig", "n", "most", "root")], (F.col("root") == F.col("main")).alias("in_main"))
     met = other.join(every, "shingle").filter(
-        (F.col("ra") != F.col("rb")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & sizes_fit(F.col("pa"), F.col("pb"), percent)
-        & (F.shiftright(F.greatest("pa", "pb"), 32) > light))
+        (F.col("root_a") != F.col("root_b")) & (F.col("in_main") | (F.col("sig_a") < F.col("sig_b")))
+        & may_be_alike((F.col("n_a"), F.col("most_a")), (F.col("n_b"), F.col("most_b")), percent)
+        & (F.greatest("n_a", "n_b") > light))
     counted = met.select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"),
-        F.shiftright(F.greatest("pa", "pb"), 32).alias("na"), F.shiftright(F.least("pa", "pb"), 32).alias("nb"),
+        F.greatest("sig_a", "sig_b").alias("a"), F.least("sig_a", "sig_b").alias("b"),
+        F.greatest("n_a", "n_b").alias("na"), F.least("n_a", "n_b").alias("nb"),
     ).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("lists"))
     return counted.filter(F.col("lists") >= lists_needed(F.col("na"), F.col("nb"), percent)).select("a", "b")
 
 
 def neighbours(lists, percent):
-    """Pairs of sets that often stand close to each other in the lists and so are likely alike.
+    """Pairs of sets that are likely alike: that stand close to each other in the lists, or with a list's purest set.
 
     Each list is in the same order of sizes and digests, so that near copies have the
-    same few neighbours in most of their lists.
+    same few neighbours in most of their lists. The purest set, with the fewest shingles
+    of its own, is the text that a group of copies was made from, if it is there.
     """
-    order = W.partitionBy("shingle").orderBy("n", "sig").rowsBetween(-NEIGHBOURS, -1)
-    rows = lists.select("shingle", "sig", F.shiftright("place", 32).alias("n"))
-    around = rows.withColumn("around", F.collect_list(F.struct("sig", "n")).over(order))
-    beside = around.withColumn("near", F.explode("around")).select(
+    order, whole = W.partitionBy("shingle").orderBy("n", "sig").rowsBetween(-NEIGHBOURS, -1), W.partitionBy("shingle")
+    around = lists.withColumns({
+        "around": F.collect_list(F.struct("sig", "n", "most")).over(order),
+        "purest": F.min(F.struct((F.col("n") - F.col("most")).alias("own"), "sig", "n", "most")).over(whole)})
+    purest = F.struct("purest.sig", "purest.n", "purest.most")
+    beside = around.withColumn("near", F.explode(F.array_union("around", F.array(purest)))).filter("sig <> near.sig").filter(
+        may_be_alike((F.col("n"), F.col("most")), (F.col("near.n"), F.col("near.most")), percent)).select(
         F.greatest("sig", "near.sig").alias("a"), F.least("sig", "near.sig").alias("b"),
-        F.col("n").alias("na"), F.col("near.n").alias("nb")).filter("a <> b")
-    fit = beside.filter(100 * F.col("nb") >= percent * F.col("na"))
-    counted = fit.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("lists"))
+        F.greatest("n", "near.n").alias("na"), F.least("n", "near.n").alias("nb"))
+    counted = beside.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("lists"))
     return counted.filter(2 * F.col("lists") >= lists_needed(F.col("na"), F.col("nb"), percent)).select("a", "b")
 
 
@@ -330,7 +357,12 @@ def near_duplicates(df, key="doc_id", text="text", percent=PERCENT):
     component_id is the smallest key of the documents that links lead to. A text without
     words, or NULL, has no shingles and is alone. Rows with a NULL key have a NULL
     component_id unless another document is linked to them. Repeated rows stay repeated.
+    The result is a written table; what is staged on the way goes when it is done.
     """
+    return finished(df.sparkSession, "near-duplicates", lambda: _near_duplicates(df, key, text, percent))
+
+
+def _near_duplicates(df, key, text, percent):
     rows = staged(described(df, key, text, percent), "described")
     sets = staged(rows.filter("n > 0").groupBy("sig").agg(
         F.min(F.struct("rank", "body")).alias("rep"),
@@ -340,7 +372,7 @@ def near_duplicates(df, key="doc_id", text="text", percent=PERCENT):
     light = boundary(counts, percent)
     least = -(-percent * (light + 1) // 100)
     small = light_links(sets, light, percent)
-    lists = staged(shared_postings(postings(df, key, text, frequent(df, text, percent), least, percent)), "lists")
+    lists = staged(shared_postings(postings(df, key, text, frequent(df, text, percent), least, percent), percent), "lists")
     tried = staged(neighbours(lists, percent), "tried")
     whole = staged(whole_sets(df, key, text, wanted_of(tried, sets)), "whole")
     links = staged(verified(tried, whole, percent).unionAll(small).distinct(), "first-links")
