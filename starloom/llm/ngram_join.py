@@ -157,12 +157,7 @@ def light_links(sets, light, percent):
         F.col("sig").alias("a"), first.alias("b")).filter("a <> b").distinct()
 
 
-def _counted(n, percent):
-    """How many shingles of a set are counted: those that its front may reach."""
-    return min(n, front(n, percent) * 4 // 3 + 1)
-
-
-def frequent(df, text, percent):
+def frequent(df, text):
     """The first 32 bits of the shingles that most documents hold, MOST_FREQUENT at most, sorted.
 
     They only choose the order of shingles; any choice gives the same links.
@@ -170,7 +165,7 @@ def frequent(df, text, percent):
     def run(batches):
         for batch in batches:
             for _, texts in chunks(batch, "text", 500_000):
-                heads = [(s[: _counted(len(s), percent)] >> np.uint64(32)).astype(np.uint32) for s in shingle_sets(texts)]
+                heads = [(s >> np.uint64(32)).astype(np.uint32) for s in shingle_sets(texts)]
                 yield _batch((np.concatenate(heads).view(np.int32),), (pa.int32(),), ["head"])
 
     counted = df.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "head int").groupBy("head").agg(
@@ -372,7 +367,7 @@ def _near_duplicates(df, key, text, percent):
     light = boundary(counts, percent)
     least = -(-percent * (light + 1) // 100)
     small = light_links(sets, light, percent)
-    lists = staged(shared_postings(postings(df, key, text, frequent(df, text, percent), least, percent), percent), "lists")
+    lists = staged(shared_postings(postings(df, key, text, frequent(df, text), least, percent), percent), "lists")
     tried = staged(neighbours(lists, percent), "tried")
     whole = staged(whole_sets(df, key, text, wanted_of(tried, sets)), "whole")
     links = staged(verified(tried, whole, percent).unionAll(small).distinct(), "first-links")
