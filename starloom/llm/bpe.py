@@ -189,25 +189,28 @@ class CachedEncoder:
         new = pieces - self.pieces.keys()
         if len(self.pieces) + len(new) > CACHED_PIECES:  # only what this chunk needs stays
             self.pieces = {p: self.pieces[p] for p in pieces if p in self.pieces}
+        # A run of letters is one word; Python's tables have none of the letters of LATER_ASSIGNED.
+        whole = {p for p in new if p.isalpha()}
         cut = self.vocabulary.cut_words
-        parts = {p: cut(p) for p in new}
-        words = set().union(*parts.values()) if parts else set()
+        parts = {p: cut(p) for p in new - whole}
+        words = whole.union(*parts.values())
         missing = words - self.words.keys()
         if len(self.words) + len(missing) > CACHED_WORDS:
             self.words = {w: self.words[w] for w in words if w in self.words}
         if missing:
             self.words.update(self.encode_words(missing))
         known = self.words
+        self.pieces.update({p: known[p] for p in whole})
         self.pieces.update({p: b"".join([known[w] for w in ws]) for p, ws in parts.items()})
 
     def encode(self, texts):
         """Ids of each text as little-endian unsigned 32-bit integers, one after the other."""
         split = [self.vocabulary.split(t or "") for t in texts]
-        self._learn({p for parts in split for pieces, _ in parts for p in pieces or ()})
-        known = self.pieces
+        self._learn(set().union(*(pieces for parts in split for pieces, _ in parts if pieces)))
+        ids_of = self.pieces.__getitem__
         return [
             b"".join([
-                token.to_bytes(4, "little") if pieces is None else b"".join([known[p] for p in pieces])
+                token.to_bytes(4, "little") if pieces is None else b"".join(map(ids_of, pieces))
                 for pieces, token in parts
             ])
             for parts in split
