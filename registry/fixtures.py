@@ -9,9 +9,10 @@ import re
 
 from pyspark.sql import functions as F
 
-from starloom import folders, schemas
+from starloom import schemas
 from starloom.plans.stars import derived, ingested, merged
 from starloom.session import staging_path
+from starloom.sinks.files import write_files
 from starloom.sources.tables import star_table
 
 TABLES = (
@@ -274,14 +275,8 @@ def write_text_files(lines, path, compression="none", file_column="file_no"):
 
 def write_named_files(files, path):
     """One file per row (filename, content), under its own name, its text ended by a line feed."""
-    spark, parts = files.sparkSession, f"{path}-parts"
-    files.select(F.col("filename").alias("name"), "content").repartition("name").write.partitionBy("name").text(parts)
-    folders.make(spark, path)
-    for folder in folders.names(spark, parts):
-        if folder.startswith("name="):
-            part = next(n for n in folders.names(spark, f"{parts}/{folder}") if n.startswith("part-"))
-            folders.moved_in(spark, f"{parts}/{folder}/{part}", f"{path}/{folder.removeprefix('name=')}")
-    return path
+    texts = files.select("filename", F.concat(F.coalesce("content", F.lit("")), F.lit("\n")).cast("binary").alias("content"))
+    return write_files(texts, path)
 
 
 def write_source_files(raw, path):

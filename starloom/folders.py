@@ -17,6 +17,12 @@ def names(spark, path):
     return sorted(s.getPath().getName() for s in store.listStatus(target)) if store.exists(target) else []
 
 
+def qualified(spark, path):
+    """The path with the store that Spark takes it to be in."""
+    store, target = _at(spark, path)
+    return store.makeQualified(target).toString()
+
+
 def make(spark, path):
     store, target = _at(spark, path)
     return store.mkdirs(target)

@@ -33,13 +33,19 @@ def listed_files(spark, path, pattern=None):
     return reader.load(path).select("path", "length")
 
 
-def opened(path):
-    """An input stream of a file named by its full path."""
+def store_of(path):
+    """The store of a file or folder named by its full path, and its place there."""
     scheme, authority, place = re.fullmatch(r"(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/]*))?(/.*)", path).groups()
     if scheme in (None, "file"):
-        return fs.LocalFileSystem().open_input_stream(place, compression=None)
+        return fs.LocalFileSystem(), place
     store, base = fs.FileSystem.from_uri(f"{scheme}://{authority or ''}/")
-    return store.open_input_stream(base.rstrip("/") + place, compression=None)
+    return store, base.rstrip("/") + place
+
+
+def opened(path):
+    """An input stream of a file named by its full path."""
+    store, place = store_of(path)
+    return store.open_input_stream(place, compression=None)
 
 
 def stream_digest(source, algorithm, piece=PIECE):
