@@ -83,25 +83,20 @@ class KeyedTable:
     # Places
 
     def _placed(self, df, ranges):
-        """`df` with the range of each key, by binary search among the ranges' lowest keys."""
+        """`df` with the range of each key, by binary search among the ranges' lowest keys.
+
+        The search is one column per halving, which Spark compiles. Filters on the range
+        would be pushed through all of them: stage the rows ahead of joins by range.
+        """
         lows = [r["low"] for r in ranges[1:]]
         table = F.split(F.lit(",".join(map(str, lows))), ",").cast("array<bigint>")
-        key = F.col(self.key).cast("bigint")
-        at = F.lit(0)
-        if lows:
-            steps = F.sequence(F.lit(1), F.lit(max(1, len(lows).bit_length())))
-
-            def halve(span, _):
-                middle = F.call_function("div", span["low"] + span["high"], F.lit(2)).cast("int")
-                right = F.get(table, middle) <= key
-                active = span["low"] < span["high"]
-                return F.struct(F.when(active & right, middle + 1).otherwise(span["low"]).alias("low"),
-                                F.when(active & ~right, middle).otherwise(span["high"]).alias("high"))
-
-            found = F.aggregate(steps, F.struct(F.lit(0).alias("low"), F.lit(len(lows)).alias("high")), halve)
-            at = F.coalesce(F.when(key.isNotNull(), found["low"]), F.lit(0))
         names = F.split(F.lit(",".join(str(r["range"]) for r in ranges)), ",").cast("array<int>")
-        return df.withColumn(RANGE, F.get(names, at))
+        key, at = F.col(self.key).cast("bigint"), F.col(RANGE)
+        out = df.withColumn(RANGE, F.lit(0))
+        for step in [1 << n for n in reversed(range(len(lows).bit_length()))]:
+            # Beyond the table, and for a NULL key, there is nothing to compare.
+            out = out.withColumn(RANGE, at + F.when(F.get(table, at + (step - 1)) <= key, step).otherwise(0))
+        return out.withColumn(RANGE, F.get(names, at))
 
     def _slots(self):
         return max(1, self.range_rows * BITS_PER_ROW // 64)
@@ -133,10 +128,9 @@ class KeyedTable:
     def _load(self, batch, order, replace):
         with staging(self.spark):
             total = staged(batch, "batch")
-            latest = staged(one_per_key(total, [self.key], order), "latest")
             ranges = [r.asDict() for r in self.ranges()] or [{"range": 0, "low": None, "writes": [], "rows": 0}]
             by_id = {r["range"]: r for r in ranges}
-            placed = self._placed(latest, ranges)
+            placed = staged(self._placed(one_per_key(total, [self.key], order), ranges), "placed")
             asked = {r[RANGE]: r["n"] for r in placed.groupBy(RANGE).agg(F.count("*").alias("n")).collect()}
             read = self._possible(placed, [by_id[r] for r in asked])
             known, fresh = {}, placed

@@ -106,3 +106,15 @@ def test_loads_equal_a_dictionary(spark, tmp_path_factory, loads):
             first.setdefault(k, f"{n}-{i}")
         want = want | first if replace else first | want
     assert (content(table) if table.rows() is not None else []) == sorted(want.items(), key=repr)
+
+
+def test_places_by_compiled_search(spark, table):
+    """Every number of ranges, with keys at, between, below and beyond the lows; no search is interpreted."""
+    keys = [None, -(2**63), -7, 0, 9, 10, 11, 55, 90, 2**63 - 1]
+    df = spark.createDataFrame([(k,) for k in keys], "source_id bigint")
+    for n in (1, 2, 3, 4, 9, 10):
+        ranges = [{"range": 100 - i, "low": None if i == 0 else 10 * i} for i in range(n)]
+        placed = table._placed(df, ranges)
+        want = {k: 100 - (0 if k is None else sum(10 * i <= k for i in range(1, n))) for k in keys}
+        assert {r["source_id"]: r["_range"] for r in placed.collect()} == want
+        assert "lambda" not in placed._jdf.queryExecution().optimizedPlan().toString()
