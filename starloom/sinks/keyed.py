@@ -26,6 +26,7 @@ from starloom.session import staged, staging
 RANGE_ROWS = 1 << 20  # rows a range is made for; one of twice as many is split
 BITS_PER_ROW = 16
 MOST_WRITES = 16  # a range of more writes is put together when it is next touched
+LISTING, LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism", 64
 RANGE, SLOT, BIT = "_range", "_slot", "_bit"
 VERSION = "range int, low bigint, writes array<string>, rows bigint"
 
@@ -70,10 +71,19 @@ class KeyedTable:
     def _paths(self, kind, ranges):
         return [f"{self.path}/{kind}/write={w}/range={r['range']}" for r in ranges for w in r["writes"]]
 
+    def _read(self, kind, paths):
+        """The files below `paths`. By default a task lists one path, and there are as many paths as ranges."""
+        before = self.spark.conf.get(LISTING)
+        self.spark.conf.set(LISTING, min(LISTING_TASKS, int(before)))
+        try:
+            rows = self.spark.read.option("basePath", f"{self.path}/{kind}").parquet(*paths)
+        finally:
+            self.spark.conf.set(LISTING, before)
+        return rows.withColumnRenamed("range", RANGE).drop("write")
+
     def _stored(self, kind, ranges):
         paths = self._paths(kind, ranges)
-        rows = self.spark.read.option("basePath", f"{self.path}/{kind}").parquet(*paths) if paths else None
-        return rows.withColumnRenamed("range", RANGE).drop("write") if rows is not None else None
+        return self._read(kind, paths) if paths else None
 
     def rows(self):
         """The table, or None before the first load."""
@@ -136,10 +146,14 @@ class KeyedTable:
             known, fresh = {}, placed
             if read:
                 stored = self._stored("rows", [by_id[r] for r in read]).select(self.key)
-                found = null_safe(placed.select(self.key, RANGE), stored, self.key, "left_semi")
-                known = {r[RANGE]: r["n"] for r in found.groupBy(RANGE).agg(F.count("*").alias("n")).collect()}
-                if known and not replace:
-                    fresh = null_safe(placed, stored, self.key, "left_anti")
+                # One join tells the known keys from the new ones: an upsert asks for the first, an insert for the second.
+                if replace:
+                    found = null_safe(placed.select(self.key, RANGE), stored, self.key, "left_semi")
+                    known = {r[RANGE]: r["n"] for r in found.groupBy(RANGE).agg(F.count("*").alias("n")).collect()}
+                else:
+                    fresh = staged(null_safe(placed, stored, self.key, "left_anti"), "fresh")
+                    left = {r[RANGE]: r["n"] for r in fresh.groupBy(RANGE).agg(F.count("*").alias("n")).collect()}
+                    known = {r: n - left.get(r, 0) for r, n in asked.items() if n > left.get(r, 0)}
             held, given = sum(known.values()), sum(asked.values())
             counts = asked if replace else {r: n - known.get(r, 0) for r, n in asked.items() if n > known.get(r, 0)}
             rewritten = self._write(fresh, ranges, by_id, counts, known if replace else {}) if counts else []
@@ -169,7 +183,7 @@ class KeyedTable:
         # A range is bounded, so it is one task.
         out = rows.repartition(RANGE).sortWithinPartitions(RANGE, self.key).withColumnRenamed(RANGE, "range")
         out.write.partitionBy("range").parquet(f"{self.path}/rows/write={write}")
-        written = self.spark.read.parquet(f"{self.path}/rows/write={write}").withColumnRenamed("range", RANGE)
+        written = self._read("rows", [f"{self.path}/rows/write={write}"])
         # Rows of a range stand together already, so its words need no second shuffle of rows.
         words = self._digested(written.select(self.key, RANGE)).groupBy(RANGE, SLOT).agg(
             F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col(BIT))).alias("word"))

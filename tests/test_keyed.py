@@ -118,3 +118,16 @@ def test_places_by_compiled_search(spark, table):
         want = {k: 100 - (0 if k is None else sum(10 * i <= k for i in range(1, n))) for k in keys}
         assert {r["source_id"]: r["_range"] for r in placed.collect()} == want
         assert "lambda" not in placed._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_many_ranges_are_listed_by_few_tasks(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "many"), range_rows=10)
+    table.insert_new(frame(spark, range(900), "a"), ["rank"])
+    assert len(table.ranges()) > 70
+    before, ahead = spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism"), set(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    rows = table.rows()
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in set(tracker.getJobIdsForGroup(None)) - ahead]
+    assert max(tracker.getStageInfo(s).numTasks for j in jobs for s in j.stageIds) <= 64
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == before
+    assert rows.count() == 900 and table.insert_new(frame(spark, range(890, 910), "b"), ["rank"])[:3] == (10, 0, 10)
