@@ -13,12 +13,14 @@ of near copies are linked without all their pairs: neighbours within many lists
 verified first, and those with the set that has least of its own in a list; then only
 sets that are still in different components: every pair of them that shares as many
 lists as alike sets of their sizes must, and has not too much of its own ahead of any of
-these lists, is verified.
+these lists, is verified. Such pairs meet in few of their lists: in the shortest ones,
+one more than alike sets can miss.
 
 Shingles are 64-bit digests, and so are the sets; the rest is exact.
 """
 
 from itertools import combinations
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,8 @@ VERIFY_COST = 6  # of a posting and its verification, against one of a subset
 FREQUENT = 16
 MOST_FREQUENT = 1_000_000
 FILTER_BITS = 26  # the filter of documents to verify has 2^26 bits: 8 MB
+LARGE = 16  # sets of a component that is a class of its own in lists
+SIZE_STEP = 1.1
 NO_KEY = -(2**63)
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
 
@@ -294,30 +298,61 @@ def verified(pairs, sets, percent):
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
-def unjoined_pairs(lists, roots, light, percent):
-    """Pairs that share a list, may be alike, and are in different components."""
-    root = F.coalesce("root", "sig")
-    placed = lists.join(roots.withColumnRenamed("node", "sig"), "sig", "left").select("shingle", "sig", "n", "most", root.alias("root"))
-    # The component with most sets in a list stays on one side only, so that its own pairs are never made.
-    sizes = placed.groupBy("shingle", "root").agg(F.count("*").alias("c"), F.min("n").alias("low"), F.max("n").alias("high"))
-    main = sizes.groupBy("shingle").agg(
-        F.max(F.struct("c", "root")).alias("m"), F.count("*").alias("roots"), F.min("low").alias("low"), F.max("high").alias("high"),
-    ).filter("roots > 1").select(F.bitwise_not("shingle").alias("__shingle"), F.col("m.root").alias("main"), "low", "high")
-    # The sizes a set's partner may have, by what it can share, against the sizes in the list.
-    largest = F.least(100 * F.col("n") / percent, (100 + percent) * F.col("most") / percent - F.col("n"))
-    mixed = placed.join(main, F.bitwise_not("shingle") == F.col("__shingle")).filter(
-        (F.col("low") <= largest) & (100 * F.col("high") >= percent * F.col("n")))
-    other = mixed.filter("root <> main").select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("sig", "n", "most", "root")])
-    every = mixed.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("sig", "n", "most", "root")], (F.col("root") == F.col("main")).alias("in_main"))
-    met = other.join(every, "shingle").filter(
-        (F.col("root_a") != F.col("root_b")) & (F.col("in_main") | (F.col("sig_a") < F.col("sig_b")))
+def fewest_lists(n, low, high, percent):
+    """The least of `lists_needed` for n and the sizes from low to high, or one less.
+
+    Without its roundings it is concave in the other size, and so least at an end.
+    """
+    def at(other):
+        return F.floor(percent * (n + other) / (100 + percent) - percent * F.greatest(n, other) / 100) + 1
+
+    return F.when(low == high, lists_needed(n, low, percent)).otherwise(F.greatest(F.least(at(low), at(high)), F.lit(1)))
+
+
+def meetings(lists, roots, light, percent):
+    """a, b: pairs of different components that may be alike, once per list in which they meet.
+
+    The members of each list are dealt into classes by size, and by component where it
+    is large. Two alike sets share `lists_needed` lists at least. So a set with s lists
+    that have members of a class, k of which it must share with any one of them, meets
+    all that it may be alike to in any s - k + 1 of these; the shortest ones are taken.
+    """
+    counted = roots.groupBy("root").agg(F.count("*").alias("members"))
+    named = roots.join(counted, "root").withColumnRenamed("node", "sig")
+    root, members = F.coalesce("root", "sig"), F.coalesce("members", F.lit(1))
+    placed = lists.join(named, "sig", "left").select(
+        "shingle", "sig", "n", "most", F.struct(members.alias("members"), root.alias("root")).alias("component"),
+        F.when(members >= LARGE, root).otherwise(0).alias("of"), F.floor(F.log("n") / log(SIZE_STEP)).alias("about"))
+    classes = placed.groupBy("shingle", "of", "about").agg(
+        F.count("*").alias("length"), F.min("n").alias("low"), F.max("n").alias("high"), F.max("component").alias("largest"),
+    ).withColumnRenamed("shingle", "__shingle")
+    # Sets look for those of larger components only, so that the largest one's own pairs are never made.
+    near = placed.select("shingle", "sig", "n", "most", "component").join(classes, F.col("shingle") == F.col("__shingle")).withColumns({
+        "low": F.greatest("low", F.ceil(percent * F.col("n") / 100)), "high": F.least("high", F.floor(100 * F.col("n") / percent))}).filter(
+        (F.col("component") < F.col("largest")) & (F.col("low") <= F.col("high"))
+        & (overlap_needed(F.col("n"), F.col("low"), percent) <= F.col("most")))
+    whole = W.partitionBy("sig", "of", "about")
+    chosen = near.withColumns({
+        "s": F.count("*").over(whole), "low": F.min("low").over(whole), "high": F.max("high").over(whole),
+        "place": F.row_number().over(whole.orderBy("length", "shingle"))}).filter(
+        F.col("place") <= F.col("s") - fewest_lists(F.col("n"), F.col("low"), F.col("high"), percent) + 1)
+    seeking = chosen.select("shingle", "of", "about", *[F.col(c).alias(f"{c}_a") for c in ("sig", "n", "most", "component")])
+    sought = placed.select("shingle", "of", "about", *[F.col(c).alias(f"{c}_b") for c in ("sig", "n", "most", "component")])
+    met = seeking.join(sought, ["shingle", "of", "about"]).filter(
+        (F.col("component_a") < F.col("component_b"))
         & may_be_alike((F.col("n_a"), F.col("most_a")), (F.col("n_b"), F.col("most_b")), percent)
         & (F.greatest("n_a", "n_b") > light))
-    counted = met.select(
-        F.greatest("sig_a", "sig_b").alias("a"), F.least("sig_a", "sig_b").alias("b"),
-        F.greatest("n_a", "n_b").alias("na"), F.least("n_a", "n_b").alias("nb"),
-    ).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("lists"))
-    return counted.filter(F.col("lists") >= lists_needed(F.col("na"), F.col("nb"), percent)).select("a", "b")
+    return met.select(F.greatest("sig_a", "sig_b").alias("a"), F.least("sig_a", "sig_b").alias("b"))
+
+
+def unjoined_pairs(lists, roots, light, percent):
+    """Pairs that share as many lists as alike sets of their sizes must, may be alike, and are in different components."""
+    # The complement as key: no plan takes the partitioning over, so that adaptive
+    # execution can split the pairs of a set that very many have met.
+    fronts = lists.groupBy("sig").agg(F.first("n").alias("n"), F.collect_list("shingle").alias("lists")).withColumn("sig", F.bitwise_not("sig"))
+    a, b = [fronts.select(*[F.col(c).alias(f"{c}_{side}") for c in fronts.columns]) for side in "ab"]
+    both = meetings(lists, roots, light, percent).distinct().join(a, F.bitwise_not("a") == F.col("sig_a")).join(b, F.bitwise_not("b") == F.col("sig_b"))
+    return both.filter(F.size(F.array_intersect("lists_a", "lists_b")) >= lists_needed(F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
 
 
 def neighbours(lists, percent):

@@ -135,3 +135,26 @@ def test_components(spark):
                 changed = True
     got = components(spark.createDataFrame(links, "a bigint, b bigint"))
     assert {tuple(r) for r in got.collect()} == set(root.items())
+
+
+@given(st.integers(1, 4000), st.integers(0, 300), st.integers(0, 300))
+@settings(deadline=None, max_examples=200)
+def test_fewest_lists_bounds_all_sizes(n, below, above):
+    """The same formulas in plain Python: no size between the ends needs fewer lists."""
+    low, high = max(-(-75 * n // 100), n - below), min(100 * n // 75, n + above)
+    needed = lambda m: max(-(-75 * (n + m) // 175) + 1 - max(-(-75 * n // 100), -(-75 * m // 100)), 1)
+    at = lambda m: (3 * (n + m) * 4 - 3 * max(n, m) * 7) // 28 + 1
+    assert max(min(at(low), at(high)), 1) <= min(needed(m) for m in range(low, high + 1))
+
+
+def test_sets_of_a_group_meet_in_few_lists(spark):
+    """40 sets that share 17 lists with each of 200 linked ones, which is as many as alike ones need."""
+    group = [(shingle, sig, 146, 141) for sig in range(200) for shingle in range(17 + sig % 10)]
+    others = [(shingle, sig, 146, 126) for sig in range(1000, 1040) for shingle in range(17)]
+    lists = spark.createDataFrame(group + others, "shingle bigint, sig bigint, n int, most int").selectExpr("shingle", "sig", "n", "most")
+    roots = spark.createDataFrame([(sig, 0) for sig in range(200)], "node bigint, root bigint")
+    expected = {(other, sig) for other in range(1000, 1040) for sig in range(200)} | set(
+        (b, a) for a, b in combinations(range(1000, 1040), 2))
+    assert ngram_join.meetings(lists, roots, 6, 75).count() <= len(expected)
+    found = [(r["a"], r["b"]) for r in ngram_join.unjoined_pairs(lists, roots, 6, 75).collect()]
+    assert len(found) == len(set(found)) and set(found) == expected
