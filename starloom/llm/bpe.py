@@ -238,6 +238,12 @@ def encoder(path):
     return Encoder(path)
 
 
+def forget():
+    """Frees what this worker process has kept for encoding, for tasks of other operations."""
+    encoder.cache_clear()
+    vocabulary.cache_clear()
+
+
 def chunks(batch, column, most=CHUNK_CHARS):
     """Slices of a batch whose texts hold about `most` characters, or one row."""
     texts, start, size = batch.column(column).to_pylist(), 0, 0

@@ -22,9 +22,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
+from starloom.llm.bpe import forget
 from starloom.session import staged
 
 MIN_WORDS = 30
+ROWS_AT_ONCE = 256
 NO_KEY = -(2**63)
 WHITE = r"[\x09-\x0D\x20\xA0]"
 # Letters of scripts that are written without spaces, which count as a word each.
@@ -151,12 +153,23 @@ def shortest_runs(lines, words, min_words=MIN_WORDS):
     return out
 
 
+def _parts(batches, most=ROWS_AT_ONCE):
+    """The rows of batches as Python values, which are several times as large: lists of a few rows.
+
+    What an encoder has remembered in this worker goes first; a later one reads it anew.
+    """
+    forget()
+    for batch in batches:
+        for start in range(0, batch.num_rows, most):
+            yield list(zip(*(c.to_pylist() for c in batch.slice(start, most).columns)))
+
+
 def _led(min_words):
     """What leads a document to an earlier one: its distinct lines that have words, and its shortest runs."""
     def run(batches):
-        for batch in batches:
+        for part in _parts(b.select(["rank", "sig", "lines", "words"]) for b in batches):
             out = ([], [], [])
-            for rank, sig, lines, words in zip(*(batch.column(c).to_pylist() for c in ("rank", "sig", "lines", "words"))):
+            for rank, sig, lines, words in part:
                 led = {x for x, n in zip(lines, words) if n}
                 led.update(shortest_runs(lines, words, min_words))
                 out[0].extend([rank] * len(led))
@@ -201,9 +214,9 @@ def cuts(df, key="doc_id", text="text", min_words=MIN_WORDS):
         "rank", "sig", "rank0", "lines0", "lines", "words")
 
     def run(batches):
-        for batch in batches:
+        for part in _parts(batches):
             out = ([], [], [], [])
-            for rank, sig, rank0, lines0, lines, words in zip(*(c.to_pylist() for c in batch.columns)):
+            for rank, sig, rank0, lines0, lines, words in part:
                 cut = common_blocks(lines0, lines, words, min_words)
                 if cut:
                     for column, value in zip(out, (rank, sig, rank0, cut)):

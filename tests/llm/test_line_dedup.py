@@ -1,12 +1,15 @@
 """Line dedup against plain Python."""
 
 import random
+import tracemalloc
 
+import public_tokenizers
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from odd_rows import TEXTS
-from starloom.llm import line_dedup
+from starloom.llm import bpe, line_dedup
 
 lines = st.lists(st.sampled_from("abcdefgh"), max_size=14)
 
@@ -145,3 +148,19 @@ def test_odd_rows(odd_texts, no_texts):
     assert line_dedup.deduplicated(no_texts).count() == 0
     again = odd_texts.unionAll(odd_texts.filter("doc_id = 6").selectExpr("9 AS doc_id", "text", "score", "n_words", "cut", "label"))
     assert line_dedup.deduplicated(again).filter("doc_id = 9").select("text", "sources").first() == ("", [6])
+
+
+def test_tasks_hold_few_rows_and_no_encoder():
+    """A batch of 5000 documents of 60 lines is taken in parts, and an earlier encoder's memory is freed."""
+    bpe.encoder(public_tokenizers.path("word_bpe_49k.json")).encode(["some text"])
+    rnd, n = random.Random(2), 5000
+    columns = [pa.array(range(n), pa.int64()), pa.array(range(n), pa.int64()),
+               pa.array([[rnd.getrandbits(62) for _ in range(60)] for _ in range(n)], pa.list_(pa.int64())),
+               pa.array([[10] * 60] * n, pa.list_(pa.int32()))]
+    batch = pa.RecordBatch.from_arrays(columns, names=["rank", "sig", "lines", "words"])
+    tracemalloc.start()
+    rows = sum(part.num_rows for part in line_dedup._led(30)([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == n * (60 + 58) and peak < 20e6
+    assert bpe.encoder.cache_info().currsize == bpe.vocabulary.cache_info().currsize == 0
