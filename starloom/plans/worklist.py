@@ -6,7 +6,7 @@ from starloom import fixed
 from starloom.functions.text import digest_as, digest_matches, element_name, sky_area
 from starloom.operators.filters import file_gate_of
 from starloom.operators.sizing import small
-from starloom.sources.streams import listed_files, with_digests
+from starloom.sources.streams import listed_by_tasks, with_digests
 
 
 def areas(digest, suffix):
@@ -53,7 +53,7 @@ def verify_folder(spark, path, checksums, pattern=None):
     filename, length, digest, intact (NULL without a checksum) and error, the reason why a
     file could not be read. Files may have any size.
     """
-    files = listed_files(spark, path, pattern).withColumn("filename", F.element_at(F.split("path", "/"), -1))
+    files = listed_by_tasks(spark, path, pattern).withColumn("filename", F.element_at(F.split("path", "/"), -1))
     sums = checksums.withColumnRenamed("filename", "_file")
     asked = files.join(small(sums), files["filename"] == sums["_file"], "left").drop("_file")
     return with_digests(asked).select(

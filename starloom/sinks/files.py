@@ -1,10 +1,12 @@
 """Files of their own names, written by the tasks that hold their content."""
 
+import os
 import sys
 import uuid
 import zlib
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
@@ -18,6 +20,23 @@ TASKS_PER_CORE = 8
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def _put(store, begun, place, content):
+    """A file that takes its name once it is complete."""
+    if isinstance(store, fs.LocalFileSystem):
+        # A quarter of the time that Arrow takes for a small file.
+        file, rest = os.open(begun, os.O_WRONLY | os.O_CREAT | os.O_TRUNC, 0o666), memoryview(content)
+        try:
+            while len(rest):
+                rest = rest[os.write(file, rest):]
+        finally:
+            os.close(file)
+        os.replace(begun, place)
+    else:
+        with store.open_output_stream(begun, compression=None) as out:
+            out.write(content)
+        store.move(begun, place)
+
+
 def write_files(files, path, spread=FOLDERS):
     """One file per row (filename, content) in folders below `path`, dealt by the names' digests.
 
@@ -36,10 +55,7 @@ def write_files(files, path, spread=FOLDERS):
                     store.create_dir(folder, recursive=True)
                     made.add(folder)
                 # Spark passes over names that begin with a dot.
-                begun = f"{folder}/.{uuid.uuid4().hex}"
-                with store.open_output_stream(begun, compression=None) as out:
-                    out.write(content.as_buffer())
-                store.move(begun, f"{folder}/{name}")
+                _put(store, f"{folder}/.{uuid.uuid4().hex}", f"{folder}/{name}", content.as_buffer())
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
 
     # By name, so that two rows of one name are written by one task.
